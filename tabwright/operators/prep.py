@@ -139,6 +139,24 @@ class PrepModel:
         frame, columns = self.columns(df)
         return frame.select(*[F.col(quoted(c)) for c in keep], *columns)
 
+    def filled(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        """``keep`` columns and every feature with its missing values replaced, not yet encoded."""
+        values = [
+            F.coalesce(clean_value(df, p), F.lit(p.fill)).alias(p.name) for p in self.plans if not p.empty
+        ]
+        return df.select(*[F.col(quoted(c)) for c in keep], *values)
+
+    def statistics(self, spark: SparkSession) -> DataFrame:
+        """What was learned, one row per feature."""
+        rows = [
+            (p.name, p.encoding, None if p.fill is None else str(p.fill), float(p.center), float(p.scale), p.kept, p.has_rare)
+            for p in self.plans
+        ]
+        return spark.createDataFrame(
+            rows,
+            "feature string, encoding string, fill string, center double, scale double, kept array<string>, has_rare boolean",
+        )
+
     def save(self, spark: SparkSession, path: str) -> None:
         text = json.dumps([asdict(plan) for plan in self.plans])
         spark.createDataFrame([(text,)], "plans string").coalesce(1).write.mode("overwrite").json(f"{path}/plans")
