@@ -2,8 +2,12 @@
 
 ``percentile`` keeps every distinct value of a group in one buffer. Here the value range is
 narrowed around the wanted ranks instead: each round is one map-side aggregate over the
-columns in question (counts and a bounded sketch), and the exact order statistics are read
-from a grouped value table once a bracket holds a bounded number of distinct values.
+columns in question, and the exact order statistics are read from a grouped value table once a
+bracket holds a bounded number of distinct values.
+
+The next bracket is guessed from a sketch of about a million rows, so the sketches that reach
+the last task stay small however many tasks there are. The guess needs no trust: the next
+round counts all rows below and inside the bracket, and a bracket that misses a rank is undone.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ from pyspark.sql import functions as F
 
 EVERY_ROW = None
 GRID = 1000
+SKETCH_ROWS = 1_000_000
 # one text literal: a thousand number literals per column would burden the analyzer
 _GRID_POINTS = "cast(split('" + ",".join(str(p / GRID) for p in range(GRID + 1)) + "', ',') as array<double>)"
 
@@ -32,6 +37,7 @@ class _Search:
     high: float | None = None
     outer: tuple[float | None, float | None] = (None, None)
     slack: int = 3
+    sketch_share: float = 0.0  # share of the rows inside the bracket that the sketch takes
     probing: bool = False  # the bracket leaves out both ends of ``outer``, which are heavy values
 
     def inside(self) -> Column:
@@ -47,7 +53,10 @@ class _Search:
     def separate(self) -> list[_Search]:
         """One search per mask, for masks whose quantiles lie far apart."""
         return [
-            _Search(self.name, _masked(self.value, mask), {key: EVERY_ROW}, self.low, self.high, self.outer)
+            _Search(
+                self.name, _masked(self.value, mask), {key: EVERY_ROW}, self.low, self.high, self.outer,
+                sketch_share=self.sketch_share,
+            )
             for key, mask in self.masks.items()
         ]
 
@@ -86,6 +95,9 @@ def exact_quantiles(
                 waiting.append(search)
             elif measured.distinct <= distinct_limit or (search.low is not None and search.low == search.high):
                 ready.append((search, measured))
+            elif measured.points is None:
+                search.sketch_share = min(1.0, SKETCH_ROWS / measured.n_rows)
+                waiting.append(search)
             else:
                 waiting += _narrow(search, measured, q)
         if ready:
@@ -105,8 +117,9 @@ def _masked(value: Column, mask: Column | None) -> Column:
 
 @dataclass
 class _Measured:
+    n_rows: int
     distinct: int
-    points: list[float]
+    points: list[float] | None
     smallest: float
     largest: float
     n_in: dict[Hashable, int]
@@ -137,11 +150,18 @@ class _Measured:
 def _measure(df: DataFrame, searches: list[_Search]) -> list[_Measured]:
     aggregates = []
     grid = F.expr(_GRID_POINTS)
+    if any(search.sketch_share for search in searches):
+        df = df.withColumn("_pick", F.rand(11))
     for i, search in enumerate(searches):
         inside, below = search.inside(), search.below()
+        if search.sketch_share:
+            sketched = inside if search.sketch_share == 1 else F.when(F.col("_pick") < search.sketch_share, inside)
+            aggregates.append(F.percentile_approx(sketched, grid, 4 * GRID).alias(f"points_{i}"))
+        else:
+            aggregates.append(F.lit(None).alias(f"points_{i}"))
         aggregates += [
+            F.count(inside).alias(f"rows_{i}"),
             F.approx_count_distinct(inside).alias(f"distinct_{i}"),
-            F.percentile_approx(inside, grid, 4 * GRID).alias(f"points_{i}"),
             F.min(inside).alias(f"smallest_{i}"),
             F.max(inside).alias(f"largest_{i}"),
         ]
@@ -154,6 +174,7 @@ def _measure(df: DataFrame, searches: list[_Search]) -> list[_Measured]:
     row = df.agg(*aggregates).first()
     return [
         _Measured(
+            row[f"rows_{i}"],
             row[f"distinct_{i}"],
             row[f"points_{i}"],
             row[f"smallest_{i}"],
@@ -176,6 +197,8 @@ def _narrow(search: _Search, measured: _Measured, q: float) -> list[_Search]:
     stuck = (low, high) == (search.low, search.high)
     if (stuck or last - first > GRID // 10) and list(search.masks.values()) != [EVERY_ROW]:
         return search.separate()
+    expected = max(1.0, measured.n_rows * (last - first) / GRID)
+    search.sketch_share = min(1.0, SKETCH_ROWS / expected)
     search.outer, search.probing = (search.low, search.high), stuck
     if stuck:
         low, high = math.nextafter(low, math.inf), math.nextafter(high, -math.inf)

@@ -36,7 +36,7 @@ from pyspark.ml.regression import (
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators.metrics import REGRESSION
+from tabwright.operators.metrics import REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FEATURES
 from tabwright.session import ensure_checkpointing
 
@@ -116,6 +116,10 @@ class FittedEstimator:
         if self.task == REGRESSION:
             model = self.models[0]
             return model.setFeaturesCol(FEATURES).setPredictionCol(output).transform(df)
+        if _shares_by_regression(self.algorithm, self.task):
+            share = f"_{output}_share"
+            df = self.models[0].setFeaturesCol(FEATURES).setPredictionCol(share).transform(df)
+            return df.withColumn(output, F.array(1 - F.col(share), F.col(share))).drop(share)
         vectors = [f"_{output}_{i}" for i in range(len(self.models))]
         for model, vector in zip(self.models, vectors):
             model = model.setFeaturesCol(FEATURES).setProbabilityCol(vector)
@@ -138,8 +142,19 @@ class FittedEstimator:
         return cls(algorithm, task, n_classes, [reader.load(f"{path}/{i}") for i in range(n_models)])
 
 
+def _shares_by_regression(algorithm: str, task: str) -> bool:
+    """Whether class shares come from regression trees on the 0/1 label.
+
+    MLlib's classification trees merge leaves of equal predicted class, which loses their
+    differing probabilities and with them the ranking. For two classes the variance of the
+    label is half the Gini impurity, so regression trees make the same splits and their leaf
+    means are the class shares.
+    """
+    return task == TWO_CLASS and algorithm in ("random_forest", "decision_tree")
+
+
 def _model_class(algorithm: str, task: str) -> type:
-    regression = task == REGRESSION
+    regression = task == REGRESSION or _shares_by_regression(algorithm, task)
     return {
         "logistic_regression": LogisticRegressionModel,
         "lasso": LinearRegressionModel,
@@ -169,12 +184,11 @@ def build_learner(algorithm: str, params: dict, task: str, weighted: bool, weigh
     tree = {"maxDepth": min(int(params["max_depth"]), MLLIB_MAX_DEPTH), "seed": seed, "maxBins": MAX_BINS}
     if algorithm in ("random_forest", "decision_tree"):
         tree["minInstancesPerNode"] = int(params["min_samples_leaf"])
+        by_regression = regression or _shares_by_regression(algorithm, task)
         if algorithm == "decision_tree":
-            return (DecisionTreeRegressor if regression else DecisionTreeClassifier)(**tree, **common)
-        tree["numTrees"] = int(params["n_estimators"])
-        if regression:
-            return RandomForestRegressor(featureSubsetStrategy="all", **tree, **common)
-        return RandomForestClassifier(featureSubsetStrategy="sqrt", **tree, **common)
+            return (DecisionTreeRegressor if by_regression else DecisionTreeClassifier)(**tree, **common)
+        tree |= {"numTrees": int(params["n_estimators"]), "featureSubsetStrategy": "all" if regression else "sqrt"}
+        return (RandomForestRegressor if by_regression else RandomForestClassifier)(**tree, **common)
     if algorithm == "gradient_boosting":
         tree["minInstancesPerNode"] = int(params["min_samples_leaf"])
     else:

@@ -15,20 +15,39 @@ from tabwright.functions.quantiles import EVERY_ROW, exact_quantiles
 FOLD_COLUMN = "_fold"
 
 
+SPLIT_COLUMN, TRAIN, TEST = "split", "train", "test"
+
+
 @dataclass
 class Split:
-    train: DataFrame
-    test: DataFrame
+    """Rows labelled ``train`` or ``test``; the sides are filters of that one table."""
+
+    labelled: DataFrame
     cut: float | None = None
 
+    @property
+    def train(self) -> DataFrame:
+        return self.side(TRAIN)
+
+    @property
+    def test(self) -> DataFrame:
+        return self.side(TEST)
+
+    def side(self, name: str) -> DataFrame:
+        return self.labelled.where(F.col(SPLIT_COLUMN) == name).drop(SPLIT_COLUMN)
+
     def sizes(self) -> DataFrame:
-        """Rows per side, in one row per side."""
-        return self.labelled().groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+        """Rows per side, in one pass."""
+        return self.labelled.groupBy(SPLIT_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
+
+    def write(self, path: str) -> Split:
+        """Write both sides in one pass, and go on from the written table."""
+        self.labelled.write.mode("overwrite").partitionBy(SPLIT_COLUMN).parquet(path)
+        return Split(self.labelled.sparkSession.read.parquet(path), self.cut)
+
 
-    def labelled(self) -> DataFrame:
-        return self.train.withColumn("split", F.lit("train")).unionByName(
-            self.test.withColumn("split", F.lit("test"))
-        )
+def _labelled(df: DataFrame, train_side: Column) -> DataFrame:
+    return df.withColumn(SPLIT_COLUMN, F.when(train_side, TRAIN).otherwise(TEST))
 
 
 def in_train(keys: Sequence[str], ratio: float, seed: int) -> Column:
@@ -40,8 +59,7 @@ def random_split(df: DataFrame, ratio: float, seed: int, keys: Sequence[str] | N
 
     Without a key all columns are hashed; equal rows then fall on the same side.
     """
-    train_side = in_train(keys or df.columns, ratio, seed)
-    return Split(df.where(train_side), df.where(~train_side))
+    return Split(_labelled(df, in_train(keys or df.columns, ratio, seed)))
 
 
 def epoch_seconds(name: str) -> Column:
@@ -55,9 +73,7 @@ def time_split(df: DataFrame, time_column: str, ratio: float) -> Split:
     """
     seconds = epoch_seconds(time_column)
     cut = exact_quantiles(df, {"cut": seconds}, ratio)[EVERY_ROW, "cut"]
-    if cut is None:
-        return Split(df.limit(0), df.limit(0))
-    return Split(df.where(seconds < F.lit(cut)), df.where(seconds >= F.lit(cut)), cut)
+    return Split(_labelled(df.where(seconds.isNotNull()), seconds < F.lit(cut)), cut)
 
 
 def with_folds(df: DataFrame, k: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:

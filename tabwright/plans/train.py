@@ -42,7 +42,6 @@ from tabwright.plans.model import SCORES, TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.spec import TrainSpec
 from tabwright.plans.tracking import Run, Tracker
-from tabwright.sources.tables import read_table, write_table
 
 
 @dataclass
@@ -94,12 +93,7 @@ def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -
         split = time_split(df, spec.time_column, spec.train_ratio)
     else:
         split = random_split(df, spec.train_ratio, spec.seed, spec.key)
-    if table_path is None:
-        return split
-    for side, frame in (("train", split.train), ("test", split.test)):
-        write_table(frame, f"{table_path}/{side}")
-    spark = df.sparkSession
-    return Split(read_table(spark, f"{table_path}/train"), read_table(spark, f"{table_path}/test"), split.cut)
+    return split.write(table_path) if table_path else split
 
 
 def fit_one(
