@@ -163,6 +163,23 @@ def search_score(
     return found.select(*keys, F.col(metric).alias("score"))
 
 
+def all_metrics(df: DataFrame, task: str, n_classes: int, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Every metric of the task for each candidate. Expects ``label`` and ``scores`` or ``prediction``.
+
+    For classes ``df`` is read twice, for the rates and for the ranking.
+    """
+    if task == REGRESSION:
+        return regression_metrics(df, "label", "prediction", keys)
+    predicted = df.withColumn("prediction", most_likely(F.col("scores")))
+    if task == TWO_CLASS:
+        rates = binary_metrics(predicted, "label", "prediction", 1, keys)
+        ranking = binary_auc(df, "label", F.element_at("scores", -1), keys, rows)
+    else:
+        rates = macro_metrics(predicted, "label", "prediction", keys)
+        ranking = one_vs_one_auc(df, "label", F.col("scores"), n_classes, keys, rows)
+    return rates.join(ranking, list(keys), "left")
+
+
 def most_likely(scores: Column) -> Column:
     """The class number with the largest score; the first of equals. Null scores give null."""
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")

@@ -108,28 +108,30 @@ def weight_total(df: DataFrame, weight_column: str | None) -> float:
     return float(df.agg(total).first()[0] or 0)
 
 
+def model_outputs(rows: DataFrame, fitted: dict[str, FittedEstimator], task: str) -> DataFrame:
+    """(model, label, scores or prediction): many fitted models applied in one pass over prepared rows."""
+    outputs = {name: f"_out_{i}" for i, name in enumerate(fitted)}
+    for name, model in fitted.items():
+        rows = model.predict(rows, outputs[name])
+    value = "prediction" if task == REGRESSION else "scores"
+    each = F.array(*[F.struct(F.lit(n).alias("model"), F.col(o).alias(value)) for n, o in outputs.items()])
+    label = F.col(LABEL) if task == REGRESSION else F.col(LABEL).cast("int").alias(LABEL)
+    return rows.select(label, F.explode(each).alias("m")).select(LABEL, "m.*")
+
+
 def score_candidates(
     held_out: DataFrame, fitted: Sequence[FittedEstimator], metric: str, task: str, n_classes: int
 ) -> dict[int, float]:
-    """One metric for many fitted models over the same rows, in one pass over the rows."""
-    outputs = [f"_out_{i}" for i in range(len(fitted))]
-    frame = held_out
-    for model, output in zip(fitted, outputs):
-        frame = model.predict(frame, output)
-    value = "prediction" if task == REGRESSION else "scores"
-    each = F.array(*[F.struct(F.lit(i).alias("model"), F.col(o).alias(value)) for i, o in enumerate(outputs)])
-    long = frame.select(LABEL, F.explode(each).alias("m")).select(LABEL, "m.*")
-    if task != REGRESSION:
-        long = long.withColumn(LABEL, F.col(LABEL).cast("int"))
+    """One metric of each fitted model on the held-out rows."""
+    outputs = model_outputs(held_out, {str(i): model for i, model in enumerate(fitted)}, task)
     rows = None
     if metric == "roc_auc":
         # the ranking reads the scores more than once
-        long = long.persist(StorageLevel.MEMORY_AND_DISK)
-        rows = long.count()
-    found = search_score(long, metric, task, n_classes, ["model"], rows).collect()
-    if metric == "roc_auc":
-        long.unpersist()
-    return {row["model"]: row["score"] for row in found}
+        outputs = outputs.persist(StorageLevel.MEMORY_AND_DISK)
+        rows = outputs.count()
+    found = search_score(outputs, metric, task, n_classes, ["model"], rows).collect()
+    outputs.unpersist()
+    return {int(row["model"]): row["score"] for row in found}
 
 
 def cv_results(fold_scores: DataFrame) -> DataFrame:

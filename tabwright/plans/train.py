@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -11,20 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import quoted
-from tabwright.operators.estimators import LABEL, WEIGHT, FittedEstimator, class_index, class_label, fit_estimator
+from tabwright.operators.estimators import LABEL, FittedEstimator, class_index, class_label, fit_estimator
 from tabwright.operators.metrics import (
     MULTI_CLASS,
     REGRESSION,
     TWO_CLASS,
-    binary_auc,
-    binary_metrics,
-    macro_metrics,
+    all_metrics,
     metric_key,
-    most_likely,
-    one_vs_one_auc,
-    regression_metrics,
 )
-from tabwright.operators.prep import WHOLE, FeatureSpec, PrepModel, fit_prep_per_fold
+from tabwright.operators.prep import WHOLE, PrepModel, fit_prep_per_fold
 from tabwright.operators.quality import check_training_table
 from tabwright.operators.search import (
     FOLD_SCORES,
@@ -33,12 +29,13 @@ from tabwright.operators.search import (
     cross_validate,
     cv_results,
     draw_candidates,
+    model_outputs,
     prepared,
     weight_total,
 )
 from tabwright.operators.split import Split, random_split, time_split, with_folds
 from tabwright.operators.weights import WEIGHT_COLUMN, class_list, with_class_weights
-from tabwright.plans.model import SCORES, TrainedModel
+from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.spec import TrainSpec
 from tabwright.plans.tracking import Run, Tracker
@@ -117,26 +114,17 @@ def as_model(spec: TrainSpec, classes: list, df: DataFrame, prep: PrepModel, est
     return TrainedModel(spec.task, spec.target, target_type, classes, [f.name for f in spec.features], prep, estimator)
 
 
-def evaluate(model: TrainedModel, df: DataFrame) -> DataFrame:
-    """All test metrics of a model, in one row."""
-    scored = model.scores(df, [model.target])
-    if model.task == REGRESSION:
-        return regression_metrics(scored, model.target, SCORES)
-    index = class_index(F.col(quoted(model.target)), model.classes)
-    scored = scored.select(
-        index.alias(LABEL), F.col(SCORES), most_likely(F.col(SCORES)).alias("prediction")
-    ).persist(StorageLevel.MEMORY_AND_DISK)  # read twice: per row metrics, then the ranking
-    if model.task == TWO_CLASS:
-        metrics = binary_metrics(scored, LABEL, "prediction", 1)
-    else:
-        metrics = macro_metrics(scored, LABEL, "prediction")
-    rows = scored.count()
-    if model.task == TWO_CLASS:
-        auc = binary_auc(scored, LABEL, F.element_at(SCORES, -1), rows=rows)
-    else:
-        auc = one_vs_one_auc(scored, LABEL, F.col(SCORES), len(model.classes), rows=rows)
-    # both sides are one row
-    return metrics.withColumn("_one", F.lit(1)).join(auc.withColumn("_one", F.lit(1)), "_one", "left").drop("_one")
+def evaluate(models: Sequence[TrainedModel], df: DataFrame, spec: TrainSpec) -> DataFrame:
+    """All test metrics of models that share one preparation: one row per algorithm."""
+    first = models[0]
+    rows = prepared(df, first.prep, label_column(spec, first.classes), None)
+    outputs = model_outputs(rows, {m.estimator.algorithm: m.estimator for m in models}, spec.task)
+    count = None
+    if spec.task != REGRESSION:
+        # read twice: for the rates, then for the ranking
+        outputs = outputs.persist(StorageLevel.MEMORY_AND_DISK)
+        count = outputs.count()
+    return all_metrics(outputs, spec.task, len(first.classes), ["model"], count).withColumnRenamed("model", "algorithm")
 
 
 def train(
@@ -191,24 +179,31 @@ def train(
 
     fitting = prepared(split.train, preps[WHOLE], label, weight).persist(StorageLevel.MEMORY_AND_DISK)
     total = weight_total(fitting, weight)
-    models, test_metrics, board, finals = {}, {}, [], {}
+    models, refit_seconds = {}, {}
     for algorithm, row in chosen.items():
         params = by_key[algorithm, row["candidate"]].params
         started = time.monotonic()
         estimator = fit_estimator(
             fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
         )
-        seconds = time.monotonic() - started
+        refit_seconds[algorithm] = time.monotonic() - started
         models[algorithm] = as_model(spec, classes, split.train, preps[WHOLE], estimator)
-        measured = evaluate(models[algorithm], split.test).first().asDict()
-        test_metrics[algorithm] = {f"test_{k}": v for k, v in measured.items() if k != "n_rows"}
+    fitting.unpersist()
+
+    test_metrics, board, finals = {}, [], {}
+    for measured in evaluate(list(models.values()), split.test, spec).collect():  # one row per algorithm
+        algorithm, row = measured["algorithm"], chosen[measured["algorithm"]]
+        seconds = refit_seconds[algorithm]
+        test_metrics[algorithm] = {f"test_{k}": v for k, v in measured.asDict().items() if k not in ("n_rows", "algorithm")}
         scores = {f"{k}_score": v for k, v in test_metrics[algorithm].items()}
         finals[algorithm] = Run(
-            f"{spec.model_name}_{stamp}_final_model", algorithm, "final", params,
+            f"{spec.model_name}_{stamp}_final_model",
+            algorithm,
+            "final",
+            by_key[algorithm, row["candidate"]].params,
             {"whole_dataset_refit_time": seconds, **scores},
         )
         board.append((algorithm, row["candidate"], row["best_score"], seconds, test_metrics[algorithm], algorithm == winner))
-    fitting.unpersist()
     runs += finals.values()
 
     leaderboard = spark.createDataFrame(
