@@ -11,7 +11,6 @@ from catalog.common import LINE_KEY, LINE_KEY_SQL, SEED, rounded, sql_fold, sql_
 from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FeatureSpec, fit_prep_per_fold
 from tabwright.operators.search import FOLD_SCORES, cross_validate, draw_candidates
-from tabwright.operators.split import with_folds
 from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.score import score
@@ -26,7 +25,7 @@ RATIO = 0.8
 def fit_on_split(df: DataFrame, spec: TrainSpec, algorithm: str, params: dict) -> tuple[TrainedModel, DataFrame]:
     """Weights, split, preparation and one fit; returns the model and the test rows."""
     classes = target_classes(df, spec)
-    split = split_table(df, spec)
+    split = split_table(df, spec, f"{work_folder(df.sparkSession)}/split")
     return fit_one(split.train, spec, classes, algorithm, params), split.test
 
 
@@ -187,7 +186,8 @@ def cross_validated_lasso(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Preparation and fit without each fold in turn, scored on that fold."""
     spec = lasso_spec(800.0)
     lines = revenue_lines(spark, sf_dir)
-    folded = with_folds(split_table(lines, spec).train, 3, SEED, LINE_KEY)
+    split = split_table(lines, spec, f"{work_folder(spark)}/split")
+    folded = split.folded_train(3, SEED, LINE_KEY)
     preps = fit_prep_per_fold(folded, spec.features, 3)
     candidates = draw_candidates(spec.algorithms, REGRESSION, 1, SEED)
     rows = cross_validate(folded, preps, candidates, label_column(spec, []), "r2", REGRESSION, 0, None, SEED)

@@ -9,7 +9,7 @@ from catalog.common import LINE_KEY, LINE_KEY_SQL, SEED, rounded, sql_fold, sql_
 from tabwright.operators.estimators import class_index
 from tabwright.operators.prep import FeatureSpec, fit_prep, fit_prep_per_fold
 from tabwright.operators.quality import feature_report, target_report, time_report
-from tabwright.operators.split import FOLD_COLUMN, example_record, random_split, sample_rows, time_split, with_folds
+from tabwright.operators.split import FOLD_COLUMN, SPLIT_COLUMN, example_record, random_split, sample_rows, time_split, with_folds
 from tabwright.operators.weights import class_counts, class_list, class_values, with_class_weights
 from tabwright.sources.tables import (
     AVERAGE,
@@ -112,7 +112,7 @@ SELECT event_id, event_type, CAST(i AS INTEGER) AS class_index FROM events JOIN
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return random_split(table(spark, sf_dir, "orders").select("o_orderkey"), RATIO, SEED, ["o_orderkey"]).labelled
+    return random_split(table(spark, sf_dir, "orders").select("o_orderkey"), RATIO, SEED, ["o_orderkey"]).labelled.withColumnRenamed(SPLIT_COLUMN, "split")
 
 
 HASH_SPLIT = f"""
@@ -120,7 +120,7 @@ SELECT o_orderkey, CASE WHEN {sql_unit(["o_orderkey"], SEED)} < {RATIO} THEN 'tr
 
 
 def split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return random_split(table(spark, sf_dir, "lineitem"), RATIO, SEED, LINE_KEY).sizes()
+    return random_split(table(spark, sf_dir, "lineitem"), RATIO, SEED, LINE_KEY).sizes().withColumnRenamed(SPLIT_COLUMN, "split")
 
 
 SPLIT_SIZES = f"""
@@ -130,7 +130,7 @@ FROM lineitem GROUP BY 1"""
 
 def time_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    return time_split(orders, "o_orderdate", RATIO).labelled
+    return time_split(orders, "o_orderdate", RATIO).labelled.withColumnRenamed(SPLIT_COLUMN, "split")
 
 
 TIME_SPLIT = f"""

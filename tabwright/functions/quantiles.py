@@ -67,18 +67,24 @@ def exact_quantiles(
     q: float,
     masks: dict[Hashable, Column | None] | None = None,
     distinct_limit: int = 100_000,
+    known: dict[str, tuple[int, dict[Hashable, int]]] | None = None,
 ) -> dict[tuple[Hashable, str], float | None]:
     """The interpolated ``q`` quantile of each numeric expression over the rows of each mask.
 
     Nulls and NaN do not count. Returns {(mask key, column name): quantile}; the mask
-    ``EVERY_ROW`` stands for the whole table. All columns share each pass over ``df``.
+    ``EVERY_ROW`` stands for the whole table. All columns share each pass over ``df``. ``known``
+    may give (bound on the distinct values, {mask key: values}) of a column where the caller has
+    counted before; that saves the first pass.
     """
     masks = masks or {EVERY_ROW: EVERY_ROW}
     searches = [_Search(name, _number(value), dict(masks)) for name, value in columns.items()]
     result: dict[tuple[Hashable, str], float | None] = {}
+    measures = None
+    if known is not None:
+        measures = [_Measured.from_known(*known[search.name]) for search in searches]
     while searches:
         ready, waiting = [], []
-        for search, measured in zip(searches, _measure(df, searches)):
+        for search, measured in zip(searches, measures or _measure(df, searches)):
             for key in [k for k in search.masks if measured.total(k) == 0]:
                 result[key, search.name] = None
                 del search.masks[key]
@@ -102,7 +108,7 @@ def exact_quantiles(
                 waiting += _narrow(search, measured, q)
         if ready:
             result.update(_read_off(df, ready, q))
-        searches = waiting
+        searches, measures = waiting, None
     return result
 
 
@@ -120,12 +126,17 @@ class _Measured:
     n_rows: int
     distinct: int
     points: list[float] | None
-    smallest: float
-    largest: float
+    smallest: float | None
+    largest: float | None
     n_in: dict[Hashable, int]
     n_below: dict[Hashable, int]
     n_all: dict[Hashable, int]
 
+    @classmethod
+    def from_known(cls, distinct: int, counts: dict[Hashable, int]) -> _Measured:
+        below = dict.fromkeys(counts, 0)
+        return cls(max(counts.values()), distinct, None, None, None, dict(counts), below, dict(counts))
+
     def total(self, key: Hashable) -> int:
         return self.n_all[key]
 

@@ -7,11 +7,11 @@ regression) and, when weighted, ``weight``.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     DecisionTreeClassifier,
@@ -225,15 +225,32 @@ def fit_estimator(
         columns = [c for c in train.columns if c != LABEL]
         return learner.fit(train.select(*columns, class_label(one, [0, 1])))
 
-    models = run_parallel(against_rest, range(n_classes), parallelism)
+    models = run_parallel(train.sparkSession, against_rest, range(n_classes), parallelism)
     return FittedEstimator(algorithm, task, n_classes, models)
 
 
-def run_parallel(work, items: Sequence, parallelism: int) -> list:
+def keep_for_fitting(df: DataFrame, weighted: bool) -> tuple[DataFrame, float]:
+    """Keep prepared rows for the passes of a fit; also returns the sum of their weights.
+
+    Input that came in fewer pieces than there are cores (a few small files) is spread out
+    once. Large input has far more pieces and is not moved.
+    """
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    total = float(kept.agg(F.sum(WEIGHT) if weighted else F.count(F.lit(1))).first()[0] or 0)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if kept.rdd.getNumPartitions() >= cores:
+        return kept, total
+    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()
+    kept.unpersist()
+    return spread, total
+
+
+def run_parallel(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:
     """Run driver-side submissions of Spark jobs from a bounded pool, keeping order."""
     items = list(items)
     if parallelism <= 1 or len(items) <= 1:
         return [work(item) for item in items]
     with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        futures = [pool.submit(inheritable_thread_target(work), item) for item in items]
+        futures = [pool.submit(inheritable_thread_target(spark)(work), item) for item in items]
         return [future.result() for future in futures]

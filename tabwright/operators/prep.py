@@ -19,7 +19,7 @@ from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -279,8 +279,10 @@ def _fit_numeric(df: DataFrame, specs: list[FeatureSpec], sets: list[int]) -> di
             F.min(x).alias(f"low_{i}"),
             F.max(x).alias(f"high_{i}"),
         ]
+        if spec.imputation == MEDIAN:
+            aggregates.append(F.approx_count_distinct(x).alias(f"distinct_{i}"))
     by_fold = df.groupBy(FOLD_COLUMN).agg(*aggregates).collect()  # one row per fold
-    medians = _medians(df, [s for s in specs if s.imputation == MEDIAN], sets)
+    medians = _medians(df, specs, sets, by_fold)
     modes = _numeric_modes(df, [s for s in specs if s.imputation == MOST_FREQUENT], sets)
 
     plans = {}
@@ -319,12 +321,22 @@ def _numeric_plan(spec: FeatureSpec, moments: _Moments, fill: float | None) -> C
     return ColumnPlan(spec.name, spec.encoding, fill, center, scale or 1.0)
 
 
-def _medians(df: DataFrame, specs: list[FeatureSpec], sets: list[int]) -> dict[tuple[int, str], float | None]:
-    if not specs:
+def _medians(
+    df: DataFrame, specs: list[FeatureSpec], sets: list[int], by_fold: list[Row]
+) -> dict[tuple[int, str], float | None]:
+    chosen = {i: spec for i, spec in enumerate(specs) if spec.imputation == MEDIAN}
+    if not chosen:
         return {}
-    columns = {spec.name: clean_value(df, spec) for spec in specs}
+    columns = {spec.name: clean_value(df, spec) for spec in chosen.values()}
     masks = {left_out: None if left_out == WHOLE else F.col(FOLD_COLUMN) != left_out for left_out in sets}
-    return exact_quantiles(df, columns, 0.5, masks)
+    known = {}
+    for i, spec in chosen.items():
+        counts = {
+            left_out: sum(r[f"n_{i}"] for r in by_fold if left_out == WHOLE or r[FOLD_COLUMN] != left_out)
+            for left_out in sets
+        }
+        known[spec.name] = (sum(r[f"distinct_{i}"] for r in by_fold), counts)
+    return exact_quantiles(df, columns, 0.5, masks, known=known)
 
 
 def _value_counts(df: DataFrame, specs: list[FeatureSpec], k: int) -> DataFrame:

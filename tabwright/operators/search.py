@@ -12,9 +12,9 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.estimators import LABEL, WEIGHT, FittedEstimator, fit_estimator, run_parallel
+from tabwright.operators.estimators import LABEL, WEIGHT, FittedEstimator, fit_estimator, keep_for_fitting, run_parallel
 from tabwright.operators.metrics import REGRESSION, search_score, signed
-from tabwright.operators.prep import FEATURES, PrepModel
+from tabwright.operators.prep import PrepModel
 from tabwright.operators.split import FOLD_COLUMN
 
 
@@ -72,10 +72,9 @@ def cross_validate(
     """
     results = []
     for fold in sorted(f for f in preps if f >= 0):
-        fitting = prepared(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column)
-        fitting.persist(StorageLevel.MEMORY_AND_DISK)
+        rest = prepared(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column)
+        fitting, total = keep_for_fitting(rest, weight_column is not None)
         held_out = prepared(train.where(F.col(FOLD_COLUMN) == fold), preps[fold], label, None)
-        total = weight_total(fitting, weight_column)
 
         def fit(candidate: Candidate) -> tuple[FittedEstimator, float]:
             started = time.monotonic()
@@ -85,7 +84,7 @@ def cross_validate(
             )
             return fitted, time.monotonic() - started
 
-        fits = run_parallel(fit, candidates, parallelism)
+        fits = run_parallel(train.sparkSession, fit, candidates, parallelism)
         scores = score_candidates(held_out, [fitted for fitted, _ in fits], metric, task, n_classes)
         for position, (candidate, (_, seconds)) in enumerate(zip(candidates, fits)):
             results.append((candidate.algorithm, candidate.number, fold, signed(metric, scores.get(position)), seconds))
@@ -103,11 +102,6 @@ def prepared(df: DataFrame, prep: PrepModel, label: Column, weight_column: str |
     return prep.transform(df, keep)
 
 
-def weight_total(df: DataFrame, weight_column: str | None) -> float:
-    total = F.sum(WEIGHT) if weight_column else F.count(F.lit(1))
-    return float(df.agg(total).first()[0] or 0)
-
-
 def model_outputs(rows: DataFrame, fitted: dict[str, FittedEstimator], task: str) -> DataFrame:
     """(model, label, scores or prediction): many fitted models applied in one pass over prepared rows."""
     outputs = {name: f"_out_{i}" for i, name in enumerate(fitted)}

@@ -13,9 +13,10 @@ from tabwright.functions.hashing import quoted, row_digest, unit_hash
 from tabwright.functions.quantiles import EVERY_ROW, exact_quantiles
 
 FOLD_COLUMN = "_fold"
+NO_FOLD = -1  # the fold of test rows
 
 
-SPLIT_COLUMN, TRAIN, TEST = "split", "train", "test"
+SPLIT_COLUMN, TRAIN, TEST = "_split", "train", "test"
 
 
 @dataclass
@@ -34,17 +35,33 @@ class Split:
         return self.side(TEST)
 
     def side(self, name: str) -> DataFrame:
-        return self.labelled.where(F.col(SPLIT_COLUMN) == name).drop(SPLIT_COLUMN)
+        return self.labelled.where(F.col(SPLIT_COLUMN) == name).drop(SPLIT_COLUMN, FOLD_COLUMN)
+
+    def folded_train(self, k: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
+        """The train side with its fold column."""
+        if FOLD_COLUMN in self.labelled.columns:
+            return self.labelled.where(F.col(SPLIT_COLUMN) == TRAIN).drop(SPLIT_COLUMN)
+        return with_folds(self.train, k, seed, keys)
 
     def sizes(self) -> DataFrame:
         """Rows per side, in one pass."""
         return self.labelled.groupBy(SPLIT_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def write(self, path: str) -> Split:
-        """Write both sides in one pass, and go on from the written table."""
-        self.labelled.write.mode("overwrite").partitionBy(SPLIT_COLUMN).parquet(path)
+    def write(self, path: str, k: int, seed: int, keys: Sequence[str] | None = None) -> Split:
+        """Write both sides in one pass, and go on from the written table.
+
+        Sides and folds are partitions of the table: a job that leaves out a fold, or reads only
+        one, opens no file of the others and hashes nothing again.
+        """
+        fold = F.when(F.col(SPLIT_COLUMN) == TRAIN, fold_number(k, seed, keys or self.columns)).otherwise(NO_FOLD)
+        writer = self.labelled.withColumn(FOLD_COLUMN, fold).write.mode("overwrite")
+        writer.partitionBy(SPLIT_COLUMN, FOLD_COLUMN).parquet(path)
         return Split(self.labelled.sparkSession.read.parquet(path), self.cut)
 
+    @property
+    def columns(self) -> list[str]:
+        return [c for c in self.labelled.columns if c not in (SPLIT_COLUMN, FOLD_COLUMN)]
+
 
 def _labelled(df: DataFrame, train_side: Column) -> DataFrame:
     return df.withColumn(SPLIT_COLUMN, F.when(train_side, TRAIN).otherwise(TEST))
@@ -78,8 +95,11 @@ def time_split(df: DataFrame, time_column: str, ratio: float) -> Split:
 
 def with_folds(df: DataFrame, k: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
     """Add the fold number 0..k-1, by a hash independent of the split's."""
-    fold = F.floor(unit_hash(keys or df.columns, seed, "fold") * F.lit(float(k))).cast("int")
-    return df.withColumn(FOLD_COLUMN, fold)
+    return df.withColumn(FOLD_COLUMN, fold_number(k, seed, keys or df.columns))
+
+
+def fold_number(k: int, seed: int, keys: Sequence[str]) -> Column:
+    return F.floor(unit_hash(keys, seed, "fold") * F.lit(float(k))).cast("int")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -12,7 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import quoted
-from tabwright.operators.estimators import LABEL, FittedEstimator, class_index, class_label, fit_estimator
+from tabwright.operators.estimators import (
+    LABEL,
+    FittedEstimator,
+    class_index,
+    class_label,
+    fit_estimator,
+    keep_for_fitting,
+    run_parallel,
+)
 from tabwright.operators.metrics import (
     MULTI_CLASS,
     REGRESSION,
@@ -31,14 +40,14 @@ from tabwright.operators.search import (
     draw_candidates,
     model_outputs,
     prepared,
-    weight_total,
 )
-from tabwright.operators.split import Split, random_split, time_split, with_folds
+from tabwright.operators.split import Split, random_split, time_split
 from tabwright.operators.weights import WEIGHT_COLUMN, class_list, with_class_weights
 from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.spec import TrainSpec
 from tabwright.plans.tracking import Run, Tracker
+from tabwright.session import checkpoint_dir
 
 
 @dataclass
@@ -90,7 +99,7 @@ def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -
         split = time_split(df, spec.time_column, spec.train_ratio)
     else:
         split = random_split(df, spec.train_ratio, spec.seed, spec.key)
-    return split.write(table_path) if table_path else split
+    return split.write(table_path, spec.folds, spec.seed, spec.key) if table_path else split
 
 
 def fit_one(
@@ -100,10 +109,9 @@ def fit_one(
     if prep is None:
         prep = fit_prep_per_fold(train, spec.features, 0)[WHOLE]
     weight = WEIGHT_COLUMN if spec.weighted else None
-    fitting = prepared(train, prep, label_column(spec, classes), weight).persist(StorageLevel.MEMORY_AND_DISK)
+    fitting, total = keep_for_fitting(prepared(train, prep, label_column(spec, classes), weight), spec.weighted)
     estimator = fit_estimator(
-        fitting, algorithm, params, spec.task, len(classes), spec.weighted, weight_total(fitting, weight), spec.seed,
-        spec.parallelism,
+        fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
     )
     fitting.unpersist()
     return as_model(spec, classes, train, prep, estimator)
@@ -136,8 +144,10 @@ def train(
 ) -> TrainResult:
     """Search, evaluate and compare all algorithms of the specification.
 
-    ``workdir`` (shared storage) receives the train and test tables and the run tables; the
-    search then reads the written train table. With a registry the best model is registered.
+    ``workdir`` (shared storage) receives the train and test tables and the run tables. Without
+    it the tables go to the session's checkpoint folder and no runs are kept. The search reads
+    the written table, so lost executors cost a re-read, not the whole lineage. With a registry
+    the best model is registered.
     """
     spark = df.sparkSession
     features = [f.name for f in spec.features]
@@ -145,11 +155,12 @@ def train(
     metric = metric_key(spec.metric, spec.task)
     stamp = datetime.now(timezone.utc).strftime("%Y_%m_%d_%H_%M_%S")
     classes = target_classes(df, spec)
-    split = split_table(df, spec, f"{workdir}/tables/{spec.model_name}_{stamp}" if workdir else None)
+    folder = workdir or f"{checkpoint_dir(spark).rstrip('/')}/train-{uuid.uuid4().hex}"
+    split = split_table(df, spec, f"{folder}/tables/{spec.model_name}_{stamp}")
 
     weight = WEIGHT_COLUMN if spec.weighted else None
     label = label_column(spec, classes)
-    folded = with_folds(split.train, spec.folds, spec.seed, spec.key)
+    folded = split.folded_train(spec.folds, spec.seed, spec.key)
     preps = fit_prep_per_fold(folded, spec.features, spec.folds)
     candidates = draw_candidates(spec.algorithms, spec.task, spec.n_iter, spec.seed)
     rows = cross_validate(
@@ -177,23 +188,24 @@ def train(
         for key, c in by_key.items()
     ]
 
-    fitting = prepared(split.train, preps[WHOLE], label, weight).persist(StorageLevel.MEMORY_AND_DISK)
-    total = weight_total(fitting, weight)
-    models, refit_seconds = {}, {}
-    for algorithm, row in chosen.items():
-        params = by_key[algorithm, row["candidate"]].params
+    fitting, total = keep_for_fitting(prepared(split.train, preps[WHOLE], label, weight), spec.weighted)
+
+    def refit(algorithm: str) -> tuple[FittedEstimator, float]:
+        params = by_key[algorithm, chosen[algorithm]["candidate"]].params
         started = time.monotonic()
         estimator = fit_estimator(
             fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
         )
-        refit_seconds[algorithm] = time.monotonic() - started
-        models[algorithm] = as_model(spec, classes, split.train, preps[WHOLE], estimator)
+        return estimator, time.monotonic() - started
+
+    refits = dict(zip(chosen, run_parallel(spark, refit, list(chosen), spec.parallelism)))
+    models = {a: as_model(spec, classes, split.train, preps[WHOLE], estimator) for a, (estimator, _) in refits.items()}
     fitting.unpersist()
 
     test_metrics, board, finals = {}, [], {}
     for measured in evaluate(list(models.values()), split.test, spec).collect():  # one row per algorithm
         algorithm, row = measured["algorithm"], chosen[measured["algorithm"]]
-        seconds = refit_seconds[algorithm]
+        seconds = refits[algorithm][1]
         test_metrics[algorithm] = {f"test_{k}": v for k, v in measured.asDict().items() if k not in ("n_rows", "algorithm")}
         scores = {f"{k}_score": v for k, v in test_metrics[algorithm].items()}
         finals[algorithm] = Run(

@@ -20,6 +20,8 @@ def build_session(app_name: str = "tabwright", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.scheduler.mode", "FAIR")
+        # the split table has four partitions: write them side by side instead of sorting rows first
+        .config("spark.sql.maxConcurrentOutputFileWriters", "16")
     )
     if master:
         builder = builder.master(master)
