@@ -24,7 +24,8 @@ def work_folder(spark: SparkSession) -> str:
 
 
 def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({n: F.round(n, digits) for n in names})
+    # adding zero turns a rounded -0.0 into 0.0
+    return df.withColumns({n: F.round(n, digits) + F.lit(0.0) for n in names})
 
 
 def sql_unit(keys: list[str], *salt: object) -> str:

@@ -252,7 +252,7 @@ def _scale_sql(column: str, fill: str, scaled: str) -> str:
     return f"""WITH {LINES_WITH_GAPS},
 full_lines AS (SELECT {LINE_KEY_SQL}, coalesce({column}, ({fill})) AS x FROM lines),
 stats AS (SELECT avg(x) AS m, stddev_pop(x) AS s, min(x) AS lo, max(x) AS hi FROM full_lines)
-SELECT {LINE_KEY_SQL}, round({scaled}, 6) AS {column} FROM full_lines, stats"""
+SELECT {LINE_KEY_SQL}, round({scaled}, 6) + 0 AS {column} FROM full_lines, stats"""
 
 
 SCALE_STANDARD = _scale_sql("price", "SELECT quantile_cont(price, 0.5) FROM lines", "(x - m) / s")
@@ -367,7 +367,7 @@ full_rows AS (
 stats AS (SELECT avg(price) AS m, stddev_pop(price) AS s, min(quantity) AS lo, max(quantity) AS hi FROM full_rows),
 flags AS (SELECT flag, row_number() OVER (ORDER BY flag) - 1 AS slot FROM (SELECT DISTINCT flag FROM joined)),
 types AS (SELECT p_type, row_number() OVER (ORDER BY p_type) - 1 AS code FROM (SELECT DISTINCT p_type FROM joined))
-SELECT {LINE_KEY_SQL}, round((price - m) / s, 6) AS price, round((quantity - lo) / (hi - lo), 6) AS quantity,
+SELECT {LINE_KEY_SQL}, round((price - m) / s, 6) + 0 AS price, round((quantity - lo) / (hi - lo), 6) + 0 AS quantity,
        CAST(p_size AS DOUBLE) AS p_size,
        {", ".join(f"CAST(CASE WHEN slot = {i} THEN 1 ELSE 0 END AS DOUBLE) AS flag_{i}" for i in range(3))},
        CAST(code AS DOUBLE) AS p_type
