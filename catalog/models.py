@@ -45,7 +45,7 @@ def quality_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "document_quality", "quality", TWO_CLASS, features, [AlgoSpec("logistic_regression")], "ROC AUC", key=["doc_id"]
     )
     model, test = fit_on_split(df, spec, "logistic_regression", {"C": 1.0})
-    return rounded(evaluate([model], test, spec).drop("algorithm"), "accuracy", "f1", "precision", "recall", "roc_auc", digits=4)
+    return rounded(evaluate(model, test, spec), "accuracy", "f1", "precision", "recall", "roc_auc", digits=4)
 
 
 # ------------------------------------------------------------------ logistic regression
@@ -156,7 +156,7 @@ def train_lasso(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One feature, so the fit is a soft threshold of its covariance with the target."""
     spec = lasso_spec(500.0)
     model, test = fit_on_split(revenue_lines(spark, sf_dir), spec, "lasso", {"alpha": 500.0})
-    return rounded(evaluate([model], test, spec).drop("algorithm"), "r2", "mae", "mse", "rmse", digits=3)
+    return rounded(evaluate(model, test, spec), "r2", "mae", "mse", "rmse", digits=3)
 
 
 REVENUE_LINES = f"""

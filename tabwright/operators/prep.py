@@ -27,6 +27,7 @@ from tabwright.functions.hashing import quoted
 from tabwright.functions.quantiles import exact_quantiles
 from tabwright.functions.ranking import dense_codes
 from tabwright.operators.split import FOLD_COLUMN
+from tabwright.session import cut_lineage
 from tabwright.sources.tables import (
     AVERAGE,
     CONSTANT,
@@ -43,6 +44,7 @@ from tabwright.sources.tables import (
 
 FEATURES = "features"
 WHOLE = -1  # the training set that leaves out no fold
+COLUMNS_PER_PASS = 60  # a wider aggregate would no longer compile; each pass reads only its columns
 BROADCAST_VALUES = 200_000
 BROADCAST_CHARS = 32_000_000
 
@@ -221,8 +223,8 @@ def fit_prep_per_fold(df: DataFrame, specs: Sequence[FeatureSpec], k: int) -> di
     categorical = [s for s in specs if s.encoding in (DUMMY, ORDINAL)]
 
     plans: dict[tuple[int, str], ColumnPlan] = {}
-    if numeric:
-        plans |= _fit_numeric(df, numeric, sets)
+    for start in range(0, len(numeric), COLUMNS_PER_PASS):
+        plans |= _fit_numeric(df, numeric[start : start + COLUMNS_PER_PASS], sets)
     dictionaries: dict[int, DataFrame] = {}
     if categorical:
         counts = _value_counts(df, categorical, k).persist(StorageLevel.MEMORY_AND_DISK)
@@ -230,8 +232,7 @@ def fit_prep_per_fold(df: DataFrame, specs: Sequence[FeatureSpec], k: int) -> di
         ordinal = [s.name for s in categorical if s.encoding == ORDINAL]
         if ordinal:
             dictionaries = _fit_dictionaries(counts, ordinal, sets, plans)
-        else:
-            counts.unpersist()
+        counts.unpersist()
     return {
         left_out: PrepModel([plans[left_out, s.name] for s in specs], dictionaries.get(left_out))
         for left_out in sets
@@ -482,7 +483,7 @@ def _fit_dictionaries(
     values = _per_set(counts.where(F.col("feature").isin(ordinal) & F.col("value").isNotNull()), sets)
     largest = max(plans[left_out, name].dictionary_rows for left_out in sets for name in ordinal)
     codes = dense_codes(values.select("left_out", "feature", "value"), ["left_out", "feature"], "value", largest)
-    codes = codes.persist(StorageLevel.MEMORY_AND_DISK)
+    codes = cut_lineage(codes)  # read at every scoring
     return {
         left_out: codes.where(F.col("left_out") == left_out).select("feature", "value", "code") for left_out in sets
     }

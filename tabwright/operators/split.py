@@ -6,6 +6,7 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -115,9 +116,11 @@ def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = N
     candidates = df
     bound = (n + 10 * math.sqrt(n) + 10) / total
     if bound < 0.5:
-        below = df.where(unit_hash(keys, seed) < F.lit(bound))
+        below = df.where(unit_hash(keys, seed) < F.lit(bound)).persist(StorageLevel.MEMORY_AND_DISK)
         if below.count() >= n:  # always so unless the key repeats heavily
             candidates = below
+        else:
+            below.unpersist()
     order = [row_digest(keys, seed), *[F.col(quoted(k)) for k in keys]]
     return candidates.orderBy(*order).limit(n)
 

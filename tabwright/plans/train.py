@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import quoted
@@ -122,7 +122,7 @@ def as_model(spec: TrainSpec, classes: list, df: DataFrame, prep: PrepModel, est
     return TrainedModel(spec.task, spec.target, target_type, classes, [f.name for f in spec.features], prep, estimator)
 
 
-def evaluate(models: Sequence[TrainedModel], df: DataFrame, spec: TrainSpec) -> DataFrame:
+def measure(models: Sequence[TrainedModel], df: DataFrame, spec: TrainSpec) -> list[Row]:
     """All test metrics of models that share one preparation: one row per algorithm."""
     first = models[0]
     rows = prepared(df, first.prep, label_column(spec, first.classes), None)
@@ -132,7 +132,15 @@ def evaluate(models: Sequence[TrainedModel], df: DataFrame, spec: TrainSpec) ->
         # read twice: for the rates, then for the ranking
         outputs = outputs.persist(StorageLevel.MEMORY_AND_DISK)
         count = outputs.count()
-    return all_metrics(outputs, spec.task, len(first.classes), ["model"], count).withColumnRenamed("model", "algorithm")
+    metrics = all_metrics(outputs, spec.task, len(first.classes), ["model"], count)
+    found = metrics.withColumnRenamed("model", "algorithm").collect()
+    outputs.unpersist()
+    return found
+
+
+def evaluate(model: TrainedModel, df: DataFrame, spec: TrainSpec) -> DataFrame:
+    """All test metrics of one model, in one row."""
+    return df.sparkSession.createDataFrame(measure([model], df, spec)).drop("algorithm")
 
 
 def train(
@@ -203,7 +211,7 @@ def train(
     fitting.unpersist()
 
     test_metrics, board, finals = {}, [], {}
-    for measured in evaluate(list(models.values()), split.test, spec).collect():  # one row per algorithm
+    for measured in measure(list(models.values()), split.test, spec):
         algorithm, row = measured["algorithm"], chosen[measured["algorithm"]]
         seconds = refits[algorithm][1]
         test_metrics[algorithm] = {f"test_{k}": v for k, v in measured.asDict().items() if k not in ("n_rows", "algorithm")}
