@@ -375,6 +375,78 @@ def search_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _board(train(lines, spec).leaderboard)
 
 
+def squared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quantity = F.col("l_quantity")
+    return table(spark, sf_dir, "lineitem").select(
+        *LINE_KEY, "l_quantity", (quantity * quantity + F.col("l_extendedprice") / 100).alias("amount")
+    )
+
+
+def closed_form_spec() -> TrainSpec:
+    """One lasso and one split of the same feature: both have a closed form, so the whole search has."""
+    algorithms = [
+        AlgoSpec("lasso", {"alpha": (20.0, 20.0)}),
+        AlgoSpec("decision_tree", {"max_depth": (1, 1), "min_samples_leaf": (1, 1)}),
+    ]
+    features = [FeatureSpec("l_quantity", STANDARD, AVERAGE)]
+    return TrainSpec("amount", "amount", REGRESSION, features, algorithms, "MSE", seed=SEED, n_iter=1, key=LINE_KEY)
+
+
+def search_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-validation, refit, test and choice, all of it checked."""
+    board = train(squared_lines(spark, sf_dir), closed_form_spec()).leaderboard
+    metrics = [F.round(F.col("test_metrics")[f"test_{m}"], 3).alias(f"test_{m}") for m in ("r2", "mae", "mse", "rmse")]
+    return board.select("algorithm", "candidate", F.round("best_score", 3).alias("best_score"), "is_best", *metrics)
+
+
+def _scored_by_both(name: str, learn: str, apply: str) -> str:
+    """CTE ``<name>``: algorithm, y and prediction f of the rows where ``apply``, learned where ``learn``."""
+    rows = f"(SELECT * FROM lines WHERE {learn})"
+    return f"""
+{name}_runs AS (
+  SELECT x, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER () AS nt, sum(s) OVER () AS st
+  FROM (SELECT x, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s FROM {rows} GROUP BY x) WINDOW w AS (ORDER BY x)
+),
+{name}_split AS (
+  SELECT x AS cut, sl / nl AS below, (st - sl) / (nt - nl) AS above FROM {name}_runs WHERE nl < nt
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1
+),
+{name} AS (
+  SELECT 'lasso' AS algorithm, y, b0 + b * (x - m) / s AS f FROM lines, ({_lasso_fit_sql(rows, 20.0)}) WHERE {apply}
+  UNION ALL
+  SELECT 'decision_tree', y, CASE WHEN x <= cut THEN below ELSE above END FROM lines, {name}_split WHERE {apply}
+)"""
+
+
+_SEARCHED = f"""
+WITH lines AS (
+  SELECT l_quantity AS x, l_quantity * l_quantity + l_extendedprice / 100 AS y,
+         {sql_unit(LINE_KEY, SEED)} < {RATIO} AS in_train, {sql_fold(LINE_KEY)} AS fold
+  FROM lineitem
+),
+{",".join(_scored_by_both(f"fold{f}", f"in_train AND fold <> {f}", f"in_train AND fold = {f}") for f in range(3))},
+{_scored_by_both("final", "in_train", "NOT in_train")},
+searched AS (
+  SELECT algorithm, avg(score) AS best_score FROM (
+    {" UNION ALL ".join(f"SELECT algorithm, -avg((y - f) * (y - f)) AS score FROM fold{f} GROUP BY algorithm" for f in range(3))}
+  ) GROUP BY algorithm
+),
+tested AS (
+  SELECT algorithm, 1 - avg((y - f) * (y - f)) / var_pop(y) AS test_r2, avg(abs(y - f)) AS test_mae,
+         avg((y - f) * (y - f)) AS test_mse, sqrt(avg((y - f) * (y - f))) AS test_rmse
+  FROM final GROUP BY algorithm
+)"""
+SEARCH_CLOSED_FORM = f"""{_SEARCHED}
+SELECT algorithm, 1 AS candidate, round(best_score, 3) AS best_score,
+       best_score = (SELECT max(best_score) FROM searched) AS is_best,
+       {", ".join(f"round(test_{m}, 3) AS test_{m}" for m in ("r2", "mae", "mse", "rmse"))}
+FROM searched JOIN tested USING (algorithm)"""
+TRACKED_RUNS = f"""{_SEARCHED}
+SELECT algorithm, 'cv' AS kind, 'mean_test_mse' AS metric, round(best_score, 3) AS value FROM searched
+UNION ALL SELECT algorithm, 'cv', 'rank_test_score', 1 FROM searched
+{" ".join(f"UNION ALL SELECT algorithm, 'final', 'test_{m}_score', round(test_{m}, 3) FROM tested" for m in ("r2", "mae", "mse", "rmse"))}"""
+
+
 def _board(leaderboard: DataFrame) -> DataFrame:
     return leaderboard.select(
         "algorithm", "candidate", F.round("best_score", 4).alias("best_score"), "is_best",
@@ -469,6 +541,7 @@ QUERIES = {
     ),
     "two_rounds_xgb_regression": (_stump("revenue", REGRESSION, "xgb", TWO_ROUNDS), _two_rounds_sql(_REVENUE, 0.5)),
     "two_rounds_lgbm_regression": (_stump("revenue", REGRESSION, "lgbm", TWO_ROUNDS), _two_rounds_sql(_REVENUE, 0.5)),
+    "search_closed_form": (search_closed_form, SEARCH_CLOSED_FORM),
     "search_two_class": (search_two_class, None),
     "search_multi_class": (search_multi_class, None),
     "search_regression": (search_regression, None),

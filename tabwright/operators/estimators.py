@@ -95,6 +95,8 @@ def class_label(position: Column, classes: Sequence) -> Column:
 
 def class_index(column: Column, classes: Sequence) -> Column:
     """Position of a target value among the sorted classes; null for other values."""
+    if isinstance(classes[0], float):
+        column = column.cast("double")
     found = F.array_position(F.array(*[F.lit(c) for c in classes]), column)
     return F.when(found > 0, (found - 1).cast("int"))
 

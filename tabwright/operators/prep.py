@@ -311,7 +311,7 @@ def _fit_numeric(df: DataFrame, specs: list[FeatureSpec], sets: list[int]) -> di
 
 
 def _numeric_plan(spec: FeatureSpec, moments: _Moments, fill: float | None) -> ColumnPlan:
-    if fill is None:
+    if fill is None or moments.n + moments.missing == 0:
         return ColumnPlan(spec.name, spec.encoding, empty=True)
     moments = moments.filled(fill)
     center, scale = 0.0, 1.0

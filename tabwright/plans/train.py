@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row
@@ -71,7 +72,7 @@ def target_classes(df: DataFrame, spec: TrainSpec) -> list:
     """The target's values, sorted, the positive class last."""
     if spec.task == REGRESSION:
         return []
-    classes = class_list(df, spec.target)
+    classes = [float(c) if isinstance(c, Decimal) else c for c in class_list(df, spec.target)]
     if spec.task == TWO_CLASS and len(classes) != 2:
         raise ValueError(f"target {spec.target!r} has {len(classes)} values, not two")
     if len(classes) < 2:

@@ -252,3 +252,14 @@ def test_parameters_reach_the_learners(spark):
     assert build_learner("xgb", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 2
     assert build_learner("gradient_boosting", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 3
     assert build_learner("logistic_regression", {"C": 2.0}, TWO_CLASS, False, 50.0, 1).getRegParam() == 0.01
+
+
+@pytest.mark.parametrize("kind", ["bigint", "smallint", "float", "double", "decimal(10,2)"])
+def test_target_types_come_back_in_predictions(spark, sf, tmp_path, kind):
+    df = orders(spark, sf).withColumn("dear", F.col("dear").cast(kind))
+    algorithms = [AlgoSpec("decision_tree", {"max_depth": (2, 2)})]
+    registry = Registry(spark, str(tmp_path / "registry"))
+    train(df, spec_for(df, algorithms=algorithms, n_iter=1, folds=2), None, registry, "P")
+    scored = score(df, registry, "P_m")
+    assert dict(scored.dtypes)["PREDICTION"] == kind
+    assert scored.where(F.col("PREDICTION") == F.col("dear")).count() > 0.95 * df.count()
