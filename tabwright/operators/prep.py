@@ -21,7 +21,6 @@ from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabwright.functions.hashing import quoted
 from tabwright.functions.quantiles import exact_quantiles

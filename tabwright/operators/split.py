@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 from tabwright.functions.hashing import quoted, row_digest, unit_hash
 from tabwright.functions.quantiles import EVERY_ROW, exact_quantiles
 
-FOLD_COLUMN = "_fold"
+FOLD_COLUMN = "split_fold"
 NO_FOLD = -1  # the fold of test rows
 
 
-SPLIT_COLUMN, TRAIN, TEST = "_split", "train", "test"
+SPLIT_COLUMN, TRAIN, TEST = "split_side", "train", "test"
 
 
 @dataclass

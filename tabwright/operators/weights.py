@@ -36,14 +36,18 @@ def with_class_weights(df: DataFrame, target: str, weights_from: DataFrame | Non
     a missing target are no class and get a null weight.
     """
     source = df if weights_from is None else weights_from
-    name = quoted(target)
-    counts = class_counts(source.where(F.col(name).isNotNull()), target).persist()
-    # one row; it also fills the cache, so the join below does not scan the source again
+    counts = class_counts(source.where(F.col(quoted(target)).isNotNull()), target).persist()
+    # one row; it also fills the cache, so the join does not scan the source again
     totals = counts.agg(F.count(F.lit(1)).alias("k"), F.sum("n_rows").alias("n")).first()
+    return join_class_weights(df, target, counts, totals["k"], totals["n"] or 0)
+
+
+def join_class_weights(df: DataFrame, target: str, counts: DataFrame, n_classes: int, n_rows: int) -> DataFrame:
+    """Add the weights that follow from counted classes; small class tables are broadcast."""
     weights = counts.select(
-        F.col(name),
-        (F.lit(float(totals["n"] or 0)) / (F.lit(float(totals["k"])) * F.col("n_rows"))).alias(WEIGHT_COLUMN),
+        F.col(quoted(target)),
+        (F.lit(float(n_rows)) / (F.lit(float(n_classes)) * F.col("n_rows"))).alias(WEIGHT_COLUMN),
     )
-    if totals["k"] <= BROADCAST_CLASSES:
+    if n_classes <= BROADCAST_CLASSES:
         weights = F.broadcast(weights)
     return df.join(weights, [target], "left").select(*[quoted(c) for c in df.columns], WEIGHT_COLUMN)

@@ -24,7 +24,6 @@ from tabwright.operators.estimators import (
     run_parallel,
 )
 from tabwright.operators.metrics import (
-    MULTI_CLASS,
     REGRESSION,
     TWO_CLASS,
     all_metrics,

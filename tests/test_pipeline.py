@@ -6,7 +6,8 @@ from tabwright.operators.estimators import MLLIB_MAX_DEPTH, build_learner
 from tabwright.operators.search import best_algorithm, best_candidates, candidate_table, cv_results, draw_candidates
 from tabwright.plans.registry import MODEL_ID_TAG, PARENT_MODEL, PROJECT_TAG, stale_entries
 from tabwright.plans.tracking import Tracker
-from tabwright.plans.train import label_column, split_table, target_classes
+from tabwright.plans.model import TrainedModel
+from tabwright.plans.train import fit_one, label_column, split_table, target_classes
 from tabwright.sources.tables import ORDINAL, read_table
 from tabwright.streaming.score_stream import score_stream
 
@@ -150,7 +151,7 @@ def test_stale_entries_need_both_tags(spark):
 def test_multi_class_with_one_against_rest_boosting(spark, sf, tmp_path):
     df = orders(spark, sf)
     algorithms = [AlgoSpec("gradient_boosting", {"n_estimators": (3, 3), "max_depth": (2, 2)})]
-    spec = spec_for(df, target="band", task=MULTI_CLASS, algorithms=algorithms, metric="F1 Score", n_iter=1, model_name="bands")
+    spec = spec_for(df, target="band", task=MULTI_CLASS, algorithms=algorithms, metric="F1 Score", n_iter=1, folds=2, model_name="bands")
     registry = Registry(spark, str(tmp_path / "registry"))
     result = train(df, spec, None, registry, "P")
     assert len(result.best_model.estimator.models) == 4 and result.best_model.classes == [1, 2, 3, 4]
@@ -165,7 +166,7 @@ def test_regression_errors_are_minimised(spark, sf):
     algorithms = [AlgoSpec("lasso", {"alpha": (1e7, 1e7)}), AlgoSpec("decision_tree", {"max_depth": (4, 4)})]
     features = feature_specs(df, ["band", "o_orderpriority"])
     spec = spec_for(
-        df, target="o_totalprice", task=REGRESSION, algorithms=algorithms, features=features, metric="MAE", n_iter=1,
+        df, target="o_totalprice", task=REGRESSION, algorithms=algorithms, features=features, metric="MAE", n_iter=1, folds=2,
         time_column="o_orderdate",
     )
     result = train(df, spec)
@@ -257,9 +258,9 @@ def test_parameters_reach_the_learners(spark):
 @pytest.mark.parametrize("kind", ["bigint", "smallint", "float", "double", "decimal(10,2)"])
 def test_target_types_come_back_in_predictions(spark, sf, tmp_path, kind):
     df = orders(spark, sf).withColumn("dear", F.col("dear").cast(kind))
-    algorithms = [AlgoSpec("decision_tree", {"max_depth": (2, 2)})]
-    registry = Registry(spark, str(tmp_path / "registry"))
-    train(df, spec_for(df, algorithms=algorithms, n_iter=1, folds=2), None, registry, "P")
-    scored = score(df, registry, "P_m")
+    spec = spec_for(df, class_weights=False)
+    model = fit_one(df, spec, target_classes(df, spec), "decision_tree", {"max_depth": 2, "min_samples_leaf": 1})
+    model.save(spark, str(tmp_path / "model"))
+    scored = TrainedModel.load(spark, str(tmp_path / "model")).score(df)
     assert dict(scored.dtypes)["PREDICTION"] == kind
     assert scored.where(F.col("PREDICTION") == F.col("dear")).count() > 0.95 * df.count()
