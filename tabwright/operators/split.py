@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.functions.hashing import quoted, row_digest, unit_hash
+from tabwright.functions.hashing import hash_below, hash_bucket, quoted, row_digest
 from tabwright.functions.quantiles import EVERY_ROW, exact_quantiles
 
 FOLD_COLUMN = "split_fold"
@@ -69,7 +69,7 @@ def _labelled(df: DataFrame, train_side: Column) -> DataFrame:
 
 
 def in_train(keys: Sequence[str], ratio: float, seed: int) -> Column:
-    return unit_hash(keys, seed) < F.lit(float(ratio))
+    return hash_below(keys, ratio, seed)
 
 
 def random_split(df: DataFrame, ratio: float, seed: int, keys: Sequence[str] | None = None) -> Split:
@@ -100,7 +100,7 @@ def with_folds(df: DataFrame, k: int, seed: int, keys: Sequence[str] | None = No
 
 
 def fold_number(k: int, seed: int, keys: Sequence[str]) -> Column:
-    return F.floor(unit_hash(keys, seed, "fold") * F.lit(float(k))).cast("int")
+    return hash_bucket(keys, k, seed, "fold")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
@@ -116,7 +116,7 @@ def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = N
     candidates = df
     bound = (n + 10 * math.sqrt(n) + 10) / total
     if bound < 0.5:
-        below = df.where(unit_hash(keys, seed) < F.lit(bound)).persist(StorageLevel.MEMORY_AND_DISK)
+        below = df.where(hash_below(keys, bound, seed)).persist(StorageLevel.MEMORY_AND_DISK)
         if below.count() >= n:  # always so unless the key repeats heavily
             candidates = below
         else:
