@@ -48,6 +48,7 @@ class TrainSpec:
     n_iter: int = 4
     folds: int = 3
     class_weights: bool = True
+    weights_from: str = "all"  # or "train": which rows' class shares decide the weights
     time_column: str | None = None
     key: Sequence[str] | None = None
     positive_class: object = None
@@ -65,6 +66,8 @@ class TrainSpec:
             raise ValueError("the seed must be an integer")
         if not isinstance(self.n_iter, int) or self.n_iter < 1:
             raise ValueError("n_iter must be a positive integer")
+        if self.weights_from not in ("all", "train"):
+            raise ValueError("weights come from all rows or from the train rows")
         if not self.features:
             raise ValueError("choose at least one feature")
         if not self.algorithms:

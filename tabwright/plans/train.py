@@ -41,7 +41,7 @@ from tabwright.operators.search import (
     model_outputs,
     prepared,
 )
-from tabwright.operators.split import Split, random_split, time_split
+from tabwright.operators.split import SPLIT_COLUMN, TEST, TRAIN, Split, random_split, time_split
 from tabwright.operators.weights import WEIGHT_COLUMN, class_list, with_class_weights
 from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
@@ -58,6 +58,7 @@ class TrainResult:
     best: str
     test_metrics: dict[str, dict[str, float]]
     split: Split
+    row_counts: dict[str, int]  # input, train, test, and rows dropped for want of a target or time
     registered: str | None = None
     version: str | None = None
     runs: list[Run] = field(default_factory=list)
@@ -93,12 +94,14 @@ def label_column(spec: TrainSpec, classes: list) -> Column:
 def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -> Split:
     """Drop rows without a target, weigh the classes, split, and write both sides if asked to."""
     df = df.where(F.col(quoted(spec.target)).isNotNull())
-    if spec.weighted:
+    if spec.weighted and spec.weights_from == "all":
         df = with_class_weights(df, spec.target)
     if spec.time_column:
         split = time_split(df, spec.time_column, spec.train_ratio)
     else:
         split = random_split(df, spec.train_ratio, spec.seed, spec.key)
+    if spec.weighted and spec.weights_from == "train":
+        split = Split(with_class_weights(split.labelled, spec.target, split.train), split.cut)
     return split.write(table_path, spec.folds, spec.seed, spec.key) if table_path else split
 
 
@@ -231,7 +234,10 @@ def train(
         "algorithm string, candidate int, best_score double, refit_seconds double, "
         "test_metrics map<string,double>, is_best boolean",
     )
-    result = TrainResult(leaderboard, results, models, winner, test_metrics, split, runs=runs)
+    counts = {row[SPLIT_COLUMN]: row["n_rows"] for row in split.sizes().collect()}  # at most two rows
+    counts["input"] = df.count()
+    counts["dropped"] = counts["input"] - counts.get(TRAIN, 0) - counts.get(TEST, 0)
+    result = TrainResult(leaderboard, results, models, winner, test_metrics, split, counts, runs=runs)
     if workdir:
         Tracker(spark, f"{workdir}/tracking").log(runs)
     if registry is not None:

@@ -56,6 +56,7 @@ def test_training_leaves_runs_models_and_tables(spark, trained):
     assert "max_depth" in {r["key"] for r in tracker.params().collect()}
     assert result.split.train.count() + result.split.test.count() == df.count()
     assert "SAMPLE_WEIGHTS" in result.split.train.columns
+    assert result.row_counts["train"] == result.split.train.count() and result.row_counts["dropped"] == 0
 
 
 def test_reloaded_model_scores_as_in_memory(spark, trained):
@@ -194,6 +195,13 @@ def test_rows_without_target_are_no_class(spark, sf):
     assert split.labelled.agg(F.sum("SAMPLE_WEIGHTS")).first()[0] == pytest.approx(df.where("dear is not null").count())
 
 
+def test_weights_can_come_from_the_train_rows(spark, sf):
+    df = orders(spark, sf)
+    split = split_table(df, spec_for(df, weights_from="train"))
+    assert split.train.agg(F.sum("SAMPLE_WEIGHTS")).first()[0] == pytest.approx(split.train.count())
+    assert split.test.where("SAMPLE_WEIGHTS is null").count() == 0
+
+
 def test_specifications_are_checked(spark, sf):
     df = orders(spark, sf)
     good = spec_for(df)
@@ -205,6 +213,7 @@ def test_specifications_are_checked(spark, sf):
         {"algorithms": []},
         {"features": []},
         {"metric": "R2"},
+        {"weights_from": "test"},
         {"task": "clustering"},
         {"algorithms": [AlgoSpec("lasso")]},
         {"algorithms": [AlgoSpec("decision_tree", {"max_depth": (5, 2)})]},
