@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,5 +65,19 @@ def range_of(value: Column, bounds: list[int]) -> Column:
     return F.when(value.isNull(), F.lit(0)).otherwise(block * step + within).cast("int")
 
 
-def empty_like(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, evaluated once however often the body uses it, inside lambdas too."""
+    return F.transform(F.array(value), body)[0]
+
+
+def map_batches(df: DataFrame, function: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow``, with this package on the workers' path where they share the driver's disk.
+
+    On a cluster without a common installation ship it with ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+    return df.mapInArrow(function, schema)

@@ -10,7 +10,7 @@ Bands of equal coordinates give candidates. Each band bucket first compares its
 least and its greatest one; what these links leave in different groups is then compared member by
 member, so that no pair of a bucket with a possible link stays unseen and none is compared inside
 a group that is already one. A pair is dropped unseen only if its sketches agree in far fewer
-coordinates than a link could (more than eight standard deviations). All other candidates are
+coordinates than those of a link do (over four standard deviations). All other candidates are
 confirmed on the full shingle sets.
 """
 
@@ -20,21 +20,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import stored
+from tabwright.llm.common import map_batches, stored
 from tabwright.llm.components import components
 from tabwright.llm.wordhash import NOT_BLANK, _BASE, mix, run_hashes, shares, text_bytes, word_bounds, word_hashes
 
 SHINGLE = 5
 BANDS, ROWS = 56, 6
 T = BANDS * ROWS
-#: A pair with a similarity of 0.75 agrees in 252 +- 8 of 336 coordinates.
-LEAST_AGREEMENT = 0.55
+#: A pair with a similarity of 0.75 agrees in 252 +- 8 of 336 coordinates: 4.2 deviations below.
+LEAST_AGREEMENT = 218
+#: The filter that spares texts a shuffle has at most so many bits (16 MB) and at least so many.
+MOST_BITS, LEAST_BITS = 27, 16
+#: Shingles of texts compared lately that a task keeps.
+KEPT_SHINGLES = 1 << 21
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>, coordinates binary"
+SKETCH_SCHEMA = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>, coordinates array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -84,7 +88,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _BASE).view(np.int64)
             low = np.array([np.bitwise_xor.reduce(s) if len(s) else 0 for s in sets], np.uint64)
             high = np.array([mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
-            codes = mix(rows).astype(np.uint8)
+            codes = mix(rows).astype(np.uint8).view(np.int64)
             bands_at = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([BANDS * bool(len(s)) for s in sets], out=bands_at[1:])
             yield pa.RecordBatch.from_arrays(
@@ -94,7 +98,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     pa.array(low.view(np.int64)),
                     pa.array(high.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(bands_at), pa.array(bands[[bool(len(s)) for s in sets]].ravel())),
-                    pa.array([c.tobytes() for c in codes], pa.binary()),
+                    pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), T // 8).cast(pa.list_(pa.int64())),
                 ],
                 names=["doc_id", "n_shingles", "set_low", "set_high", "bands", "coordinates"],
             )
@@ -102,53 +106,111 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def sketch(docs: DataFrame) -> DataFrame:
     """doc_id, size and hash of the shingle set, band hashes and a byte of each coordinate."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_sketch_batches, SKETCH_SCHEMA)
+    return map_batches(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), _sketch_batches, SKETCH_SCHEMA)
 
 
-def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        left, right = (
-            np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, T) for i in (2, 3)
-        )
-        keep = (left == right).sum(axis=1) >= LEAST_AGREEMENT * T
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
+def _agreement(left: Column, right: Column) -> Column:
+    """The number of equal bytes of two arrays of longs."""
+
+    def unequal(x: Column, y: Column) -> Column:
+        t = x.bitwiseXOR(y)
+        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
+            t = t.bitwiseOR(F.shiftrightunsigned(t, shift)).bitwiseAND(F.lit(mask))
+        return F.bit_count(t)
+
+    return T - F.aggregate(F.zip_with(left, right, unequal), F.lit(0), lambda a, n: a + n)
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kept: dict[int, np.ndarray] = {}
+    size = 0
     for batch in batches:
-        n, step = batch.num_rows, 256
-        for at in range(0, n, step):
-            part = batch.slice(at, step)
-            left, right = (shingle_sets(*text_bytes(part.column(i))) for i in (2, 3))
-            keep = []
-            for x, y in zip(left, right):
+        keep = []
+        for at in range(0, batch.num_rows, 64):
+            part = batch.slice(at, 64)
+            names = [part.column(i).to_pylist() for i in (0, 1)]
+            texts = {}
+            for side in (0, 1):
+                for row, name in enumerate(names[side]):
+                    if name not in kept and name not in texts:
+                        texts[name] = part.column(side + 2)[row].as_py()
+            if size > KEPT_SHINGLES:
+                kept, size, texts = {}, 0, {}
+                for side in (0, 1):
+                    texts.update((name, part.column(side + 2)[row].as_py()) for row, name in enumerate(names[side]))
+            found = shingle_sets(*text_bytes(pa.array(texts.values(), pa.large_string())))
+            kept.update(zip(texts, found))
+            size += sum(map(len, found))
+            for a, b in zip(*names):
+                x, y = kept[a], kept[b]
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= 75 * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def _close(n: str, m: str) -> Column:
+    return 100 * F.least(n, m) >= 75 * F.greatest(n, m)
 
 
 def _plausible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose sizes and sketches admit a link."""
-    one = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n_a"), F.col("coordinates").alias("left"))
-    two = sets.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("n_b"), F.col("coordinates").alias("right"))
-    close = (100 * F.least("n_a", "n_b") >= 75 * F.greatest("n_a", "n_b"))
-    return pairs.join(one, "a").join(two, "b").where(close).select("a", "b", "left", "right").mapInArrow(_agree, "a long, b long")
+    one = sets.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("n"), F.col("coordinates").alias("left"))
+    two = sets.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("m"), F.col("coordinates").alias("right"))
+    alike = _agreement(F.col("left"), F.col("right")) >= LEAST_AGREEMENT
+    return pairs.join(one, "a").join(two, "b").where(_close("n", "m") & alike).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
     two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
-    return pairs.join(two, "b").join(one, "a").select("a", "b", "left", "right").mapInArrow(_confirm, "a long, b long")
+    return map_batches(pairs.join(two, "b").join(one, "a").select("a", "b", "left", "right"), _confirm, "a long, b long")
+
+
+def _holder(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit filter of the ids of at most ``2 ** MOST_BITS`` bits, two of them per id, and its mask."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (16 * ids.count()).bit_length()))
+    mask = (1 << bits) - 1
+    h = F.xxhash64("doc_id")
+    places = ids.select(F.explode(F.array(h.bitwiseAND(F.lit(mask)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(mask)))).alias("p"))
+    words = places.groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits")).toArrow()
+    held = np.zeros((mask >> 6) + 1, np.int64)
+    held[words["w"].to_numpy()] = words["bits"].to_numpy()
+    return held.view(np.uint8), mask
 
 
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """doc_id and text of the documents in ``pairs``; most others are left out before the shuffle."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi")
+    ids = stored(ids, "pair-ids")
+    held, mask = _holder(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(held)
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            h = batch.column(2).to_numpy().view(np.uint64)
+            keep = np.ones(len(h), bool)
+            for place in (h & np.uint64(mask), (h >> np.uint64(32)) & np.uint64(mask)):
+                keep &= (shared.value[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            yield batch.select([0, 1]).filter(pa.array(keep))
+
+    named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("doc_id").cast("long"))).where("doc_id IS NOT NULL")
+    texts = map_batches(named, maybe, "doc_id long, text string").join(ids, "doc_id", "left_semi")
     return stored(texts.dropDuplicates(["doc_id"]), "pair-texts")
 
 
+def _across_groups(members: DataFrame, seen: DataFrame) -> DataFrame:
+    """Pairs of a bucket from different groups that sizes and sketches admit, without those in ``seen``.
+
+    Each pair comes out of the least of its common buckets only.
+    """
+    one = members.toDF("a", "bucket", "c", "n", "left", "left_bands")
+    two = members.toDF("b", "bucket", "d", "m", "right", "right_bands")
+    first = F.array_min(F.array_intersect("left_bands", "right_bands")) == one["bucket"]
+    alike = _agreement(F.col("left"), F.col("right")) >= LEAST_AGREEMENT
+    found = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _close("n", "m") & first & alike)
+    return found.select("a", "b").join(seen, ["a", "b"], "left_anti")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
 
@@ -183,16 +245,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grouped = shared.select("bucket", "doc_id").join(joined.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     grouped = grouped.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-    open_ = grouped.join(mixed.select("bucket"), "bucket", "left_semi").join(sets.select("doc_id", "n_shingles"), "doc_id")
-    open_ = stored(open_, "open-buckets")
-    one = open_.select("bucket", F.col("doc_id").alias("a"), F.col("component").alias("c"), F.col("n_shingles").alias("n"))
-    two = open_.select("bucket", F.col("doc_id").alias("b"), F.col("component").alias("d"), F.col("n_shingles").alias("m"))
-    close = (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & (100 * F.least("n", "m") >= 75 * F.greatest("n", "m"))
-    rest = one.join(two, "bucket").where(close).select("a", "b").distinct().join(seen, ["a", "b"], "left_anti")
-    rest = stored(_plausible(rest, sets), "other-pairs")
-    more = stored(_confirmed(rest, _texts_of(rest, docs)), "other-links")
-
-    final = components(links.unionAll(more))
+    open_ = grouped.join(mixed.select("bucket"), "bucket", "left_semi").join(sets, "doc_id")
+    open_ = open_.select("doc_id", "bucket", "component", "n_shingles", "coordinates", "bands")
+    rest = stored(_across_groups(stored(open_, "open-buckets"), seen), "other-pairs")
+    final = joined
+    if not rest.isEmpty():
+        more = stored(_confirmed(rest, _texts_of(rest, docs)), "other-links")
+        if not more.isEmpty():
+            final = components(links.unionAll(more))
     groups = classes.join(final.withColumnRenamed("node", "class_id"), "class_id", "left")
     groups = groups.select(*same, F.coalesce("component", "class_id").alias("group"))
     out = found.select("doc_id", *same).join(groups, same, "left")
