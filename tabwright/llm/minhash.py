@@ -29,16 +29,21 @@ from tabwright.llm.wordhash import NOT_BLANK, _BASE, mix, run_hashes, shares, te
 
 SHINGLE = 5
 BANDS, ROWS = 56, 6
-T = BANDS * ROWS
-#: A pair with a similarity of 0.75 agrees in 252 +- 8 of 336 coordinates: 4.2 deviations below.
-LEAST_AGREEMENT = 218
+#: The bands take the first third; all coordinates tell a similarity of 0.70 from one of 0.75.
+T = 3 * BANDS * ROWS
+#: A pair with a similarity of 0.75 agrees in 756 +- 14 of 1008 coordinates: 4.2 deviations below.
+LEAST_AGREEMENT = 698
+#: One bit of each coordinate: a similarity of 0.75 differs in 126 +- 10.5 of 1008 bits; again 4.2 deviations.
+BITS, MOST_DIFFERENCE = 16, 170
+#: Texts sketched together.
+TEXTS = 512
 #: The filter that spares texts a shuffle has at most so many bits (16 MB) and at least so many.
 MOST_BITS, LEAST_BITS = 27, 16
 #: Shingles of texts compared lately that a task keeps.
 KEPT_SHINGLES = 1 << 21
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-SKETCH_SCHEMA = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>, coordinates array<long>"
+SKETCH_SCHEMA = "doc_id long, n_shingles long, set_low long, set_high long, bands array<long>, bits array<long>, coordinates array<long>"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -57,38 +62,48 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
 
 def sketches(sets: list[np.ndarray]) -> np.ndarray:
     """One row of T coordinates per set; a set without shingles has no filled coordinate."""
-    sizes = np.array([len(s) for s in sets])
-    filled = np.full(len(sets) * T, _EMPTY, np.uint64)
-    shingles = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
-    owner = np.repeat(np.arange(len(sets), dtype=np.int64) * T, sizes)
-    round_ = 0
-    while len(shingles) and round_ < 2 * T:
+    out = np.full((len(sets), T), _EMPTY, np.uint64)
+    live = np.flatnonzero([len(s) > 0 for s in sets])
+    if not len(live):
+        return out
+    table = np.full((len(live), T), _EMPTY, np.uint64)
+    shingles = np.concatenate([sets[k] for k in live])
+    owner = np.repeat(np.arange(len(live), dtype=np.int64), [len(sets[k]) for k in live])
+    for round_ in range(2 * T):
         h = mix(shingles + np.uint64((round_ + 1) * int(_BASE) % (1 << 64)))
         value = (np.uint64(round_) << np.uint64(48)) | (h >> np.uint64(16))
-        place = owner + ((h & np.uint64(0xFFFF)) * np.uint64(T) >> np.uint64(16)).astype(np.int64) if round_ < T else owner + (round_ - T)
-        np.minimum.at(filled, place, value)
-        round_ += 1
-        waiting = (filled.reshape(-1, T) == _EMPTY).any(axis=1)
-        active = waiting[owner // T]
-        if not active.all():
-            shingles, owner = shingles[active], owner[active]
-    return filled.reshape(-1, T)
+        place = ((h & np.uint64(0xFFFF)) * np.uint64(T) >> np.uint64(16)).astype(np.int64) if round_ < T else round_ - T
+        np.minimum.at(table.reshape(-1), owner * T + place, value)
+        if round_ % 4 == 3 or round_ == 2 * T - 1:
+            # filled sets leave; a round too many would change nothing
+            done = ~(table == _EMPTY).any(axis=1)
+            if done.any():
+                out[live[done]] = table[done]
+                live, table = live[~done], table[~done]
+                if not len(live):
+                    break
+                stay = ~done[owner]
+                shingles, owner = shingles[stay], (np.cumsum(~done) - 1)[owner[stay]]
+    return out
 
 
 def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column(1))
-        for begin, stop in shares(offsets):
+        for begin, stop in ((a, min(a + TEXTS, b)) for low, b in shares(offsets) for a in range(low, b, TEXTS)):
             own = offsets[begin : stop + 1]
             sets = shingle_sets(data[own[0] : own[-1]], own - own[0])
             rows = sketches(sets)
             bands = np.zeros((len(sets), BANDS), np.uint64)
             for i in range(ROWS):
-                bands = bands * _BASE + rows.reshape(-1, BANDS, ROWS)[:, :, i]
+                bands = bands * _BASE + rows[:, : BANDS * ROWS].reshape(-1, BANDS, ROWS)[:, :, i]
             bands = mix(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * _BASE).view(np.int64)
             low = np.array([np.bitwise_xor.reduce(s) if len(s) else 0 for s in sets], np.uint64)
             high = np.array([mix(s).sum(dtype=np.uint64) if len(s) else 0 for s in sets], np.uint64)
-            codes = mix(rows).astype(np.uint8).view(np.int64)
+            mixed = mix(rows)
+            codes = mixed.astype(np.uint8).view(np.int64)
+            bits = np.zeros((len(sets), 8 * BITS), np.uint8)
+            bits[:, : T // 8] = np.packbits((mixed >> np.uint64(63)).astype(bool), axis=1)
             bands_at = np.zeros(len(sets) + 1, np.int32)
             np.cumsum([BANDS * bool(len(s)) for s in sets], out=bands_at[1:])
             yield pa.RecordBatch.from_arrays(
@@ -98,9 +113,10 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     pa.array(low.view(np.int64)),
                     pa.array(high.view(np.int64)),
                     pa.ListArray.from_arrays(pa.array(bands_at), pa.array(bands[[bool(len(s)) for s in sets]].ravel())),
+                    pa.FixedSizeListArray.from_arrays(pa.array(bits.view(np.int64).ravel()), BITS).cast(pa.list_(pa.int64())),
                     pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), T // 8).cast(pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "set_low", "set_high", "bands", "coordinates"],
+                names=["doc_id", "n_shingles", "set_low", "set_high", "bands", "bits", "coordinates"],
             )
 
 
@@ -148,6 +164,11 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _near(left: str, right: str) -> Column:
+    """A first look at one bit of each coordinate: a few machine instructions."""
+    return sum((F.bit_count(F.col(left)[i].bitwiseXOR(F.col(right)[i])) for i in range(BITS)), F.lit(0)) <= MOST_DIFFERENCE
+
+
 def _close(n: str, m: str) -> Column:
     return 100 * F.least(n, m) >= 75 * F.greatest(n, m)
 
@@ -203,11 +224,12 @@ def _across_groups(members: DataFrame, seen: DataFrame) -> DataFrame:
 
     Each pair comes out of the least of its common buckets only.
     """
-    one = members.toDF("a", "bucket", "c", "n", "left", "left_bands")
-    two = members.toDF("b", "bucket", "d", "m", "right", "right_bands")
+    one = members.toDF("a", "bucket", "c", "n", "left", "left_bits", "left_bands")
+    two = members.toDF("b", "bucket", "d", "m", "right", "right_bits", "right_bands")
+    near = _near("left_bits", "right_bits")
     first = F.array_min(F.array_intersect("left_bands", "right_bands")) == one["bucket"]
     alike = _agreement(F.col("left"), F.col("right")) >= LEAST_AGREEMENT
-    found = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _close("n", "m") & first & alike)
+    found = one.join(two, (one["bucket"] == two["bucket"]) & (F.col("a") < F.col("b")) & (F.col("c") != F.col("d")) & _close("n", "m") & near & first & alike)
     return found.select("a", "b").join(seen, ["a", "b"], "left_anti")
 
 
@@ -246,7 +268,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     grouped = grouped.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("component"))
     mixed = grouped.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
     open_ = grouped.join(mixed.select("bucket"), "bucket", "left_semi").join(sets, "doc_id")
-    open_ = open_.select("doc_id", "bucket", "component", "n_shingles", "coordinates", "bands")
+    open_ = open_.select("doc_id", "bucket", "component", "n_shingles", "coordinates", "bits", "bands")
     rest = stored(_across_groups(stored(open_, "open-buckets"), seen), "other-pairs")
     final = joined
     if not rest.isEmpty():
