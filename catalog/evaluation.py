@@ -168,6 +168,34 @@ FROM (SELECT y, rank() OVER (ORDER BY p{i}) + (count(*) OVER (PARTITION BY p{i})
     return f"WITH {SCORED_EVENTS}, sides AS (" + "\nUNION ALL".join(sides) + ") SELECT round(avg(auc), 6) AS roc_auc FROM sides"
 
 
+MANY = 100
+
+
+def auc_one_vs_one_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A hundred classes: the work grows with rows times classes, not with pairs of classes."""
+    part = F.col("l_partkey").cast("double")
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") % MANY).cast("int").alias("y"),
+        F.transform(F.sequence(F.lit(0), F.lit(MANY - 1)), lambda i: (part * (i + 3)) % 101).alias("scores"),
+    )
+    return rounded(one_vs_one_auc(lines, "y", F.col("scores"), MANY), "roc_auc")
+
+
+AUC_OVO_MANY = f"""
+WITH per AS (
+  SELECT i, l_suppkey % {MANY} AS y, CAST((l_partkey * (i + 3)) % 101 AS DOUBLE) AS score, count(*) AS n
+  FROM lineitem, (SELECT unnest(range({MANY})) AS i) GROUP BY 1, 2, 3
+),
+own AS (SELECT i, score, n FROM per WHERE i = y),
+sizes AS (SELECT i, y, sum(n) AS n FROM per GROUP BY 1, 2),
+wins AS (
+  SELECT p.i, p.y, sum(p.n * (CASE WHEN o.score > p.score THEN o.n WHEN o.score = p.score THEN o.n / CAST(2 AS DOUBLE) ELSE 0 END)) AS wins
+  FROM per p JOIN own o ON p.i = o.i AND p.y <> p.i GROUP BY 1, 2
+)
+SELECT round(avg(w.wins / (CAST(a.n AS DOUBLE) * b.n)), 6) AS roc_auc
+FROM wins w JOIN sizes a ON w.i = a.i AND a.y = w.i JOIN sizes b ON w.i = b.i AND w.y = b.y"""
+
+
 def threshold_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two classes: strictly above the threshold is the last class; no score, no prediction."""
     scored = scored_orders(spark, sf_dir).withColumn("p", F.expr("nullif(p, 0.99D)"))
@@ -256,6 +284,7 @@ QUERIES = {
     "auc_binary": (auc_binary, AUC_BINARY),
     "auc_by_candidate": (auc_by_candidate, AUC_BY_CANDIDATE),
     "auc_one_vs_one": (auc_one_vs_one, _ovo_sql()),
+    "auc_one_vs_one_many": (auc_one_vs_one_many, AUC_OVO_MANY),
     "threshold_predictions": (threshold_predictions, THRESHOLD),
     "most_likely_predictions": (most_likely_predictions, MOST_LIKELY),
     "ranked_candidates": (ranked_candidates, RANKED_CANDIDATES),

@@ -271,6 +271,16 @@ LEVEL = _learned_sql("CAST(CASE WHEN l_quantity <= 15 THEN 10 WHEN l_quantity <=
 STUMP_FEATURES = [FeatureSpec(c, NO_RESCALING, MEDIAN) for c in ("l_quantity", "l_discount", "l_tax")]
 
 
+def features_with_reserved_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stump with features called as the columns that learners read."""
+    names = {"l_quantity": "label", "l_discount": "weight", "l_tax": "features"}
+    lines = banded_lines(spark, sf_dir).withColumnsRenamed(names)
+    features = [FeatureSpec(c, NO_RESCALING, MEDIAN) for c in names.values()]
+    spec = TrainSpec("stump", "dear", TWO_CLASS, features, [AlgoSpec("decision_tree")], "ROC AUC", seed=SEED, class_weights=False, key=LINE_KEY)
+    model, test = fit_on_split(lines, spec, "decision_tree", ONE_SPLIT)
+    return model.score(test).groupBy(F.round("PREDICT_PROBA_1", 4).alias("prediction")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def _stump(target: str, task: str, algorithm: str, params: dict) -> Callable[[SparkSession, str], DataFrame]:
     """Trees of depth one: SQL can try every split."""
 
@@ -534,6 +544,7 @@ QUERIES = {
     "train_gradient_boosting_regression": (_learned("level", REGRESSION, "gradient_boosting", GRADIENT), LEVEL),
     "train_decision_tree_regression": (_learned("level", REGRESSION, "decision_tree", TREE), LEVEL),
     "one_split_decision_tree": (_stump("dear", TWO_CLASS, "decision_tree", ONE_SPLIT), _stump_sql(_DEAR)),
+    "features_with_reserved_names": (features_with_reserved_names, _stump_sql(_DEAR)),
     "one_split_decision_tree_regression": (_stump("revenue", REGRESSION, "decision_tree", ONE_SPLIT), _stump_sql(_REVENUE)),
     "two_rounds_gradient_boosting_regression": (
         _stump("revenue", REGRESSION, "gradient_boosting", TWO_ROUNDS),

@@ -300,6 +300,26 @@ SELECT {LINE_KEY_SQL}, {", ".join(f"CAST(CASE WHEN slot = {i} THEN 1 ELSE 0 END
 FROM full_lines JOIN slots USING (flag)"""
 
 
+def encode_ordinal_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of a numeric column follow the numbers, not their spelling."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return fit_prep(part, [FeatureSpec("p_size", ORDINAL, MOST_FREQUENT)]).transform_columns(part, ["p_partkey"])
+
+
+ENCODE_ORDINAL_NUMBER = "SELECT p_partkey, CAST(dense_rank() OVER (ORDER BY p_size) - 1 AS DOUBLE) AS p_size FROM part"
+
+
+def encode_dummy_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nine most frequent sizes in rising order, of equals the larger ones, and one column for the rest."""
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size")
+    prep = fit_prep(part, [FeatureSpec("p_size", DUMMY, MOST_FREQUENT)])
+    names = {name: f"d{i}" for i, name in enumerate(prep.outputs)}
+    return prep.transform_columns(part, ["p_partkey"]).withColumnsRenamed(names)
+
+
+ENCODE_DUMMY_NUMBER = ENCODE_DUMMY.replace("p_brand", "p_size")
+
+
 def encode_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted on small parts of low-numbered brands, applied to all: unseen brands get -1 or all zeros."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
@@ -423,12 +443,14 @@ PREPARATION_PER_FOLD = _per_fold_sql()
 
 
 def quality_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing are nulls and NaN alike."""
     labels = table(spark, sf_dir, "labels")
-    return target_report(labels.withColumn("target", F.when(F.col("toxic") == 0, F.col("quality"))), "target")
+    target = F.when(F.col("doc_id") % 7 == 0, F.lit(float("nan"))).when(F.col("toxic") == 0, F.col("quality").cast("double"))
+    return target_report(labels.withColumn("target", target), "target")
 
 
 QUALITY_TARGET = """
-WITH t AS (SELECT CASE WHEN toxic = 0 THEN quality END AS target FROM labels),
+WITH t AS (SELECT CASE WHEN doc_id % 7 <> 0 AND toxic = 0 THEN CAST(quality AS DOUBLE) END AS target FROM labels),
 c AS (SELECT target, count(*) AS n FROM t GROUP BY target)
 SELECT CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (WHERE target IS NULL), 0) AS BIGINT) AS n_missing,
        count(target) AS n_classes, min(n) FILTER (WHERE target IS NOT NULL) AS smallest_class,
@@ -482,6 +504,8 @@ QUERIES = {
     "encode_dummy": (encode_dummy, ENCODE_DUMMY),
     "encode_dummy_filled": (encode_dummy_filled, ENCODE_DUMMY_FILLED),
     "encode_ordinal": (encode_ordinal, ENCODE_ORDINAL),
+    "encode_ordinal_number": (encode_ordinal_number, ENCODE_ORDINAL_NUMBER),
+    "encode_dummy_number": (encode_dummy_number, ENCODE_DUMMY_NUMBER),
     "encode_unseen": (encode_unseen, ENCODE_UNSEEN),
     "feature_matrix": (feature_matrix, FEATURE_MATRIX),
     "preparation_per_fold": (preparation_per_fold, PREPARATION_PER_FOLD),

@@ -13,25 +13,25 @@ from tabwright.session import cut_lineage
 ROWS_PER_BUCKET = 2_000_000
 
 
-def dense_codes(values: DataFrame, keys: Sequence[str], value: str, largest: int) -> DataFrame:
-    """Number distinct (keys, value) rows 0, 1, ... in value order within each key.
+def dense_codes(values: DataFrame, keys: Sequence[str], value: str | Sequence[str], largest: int) -> DataFrame:
+    """Number distinct (keys, value) rows 0, 1, ... in the order of one or more value columns within each key.
 
     ``largest`` is the size of the largest group. Up to the bucket size a window per group
     does. Beyond it rows are range-partitioned once, numbered inside their partition and
     shifted by the sizes of the partitions before it (a table of one row per partition).
     """
-    keys = list(keys)
+    keys, value = list(keys), [value] if isinstance(value, str) else list(value)
     if largest <= ROWS_PER_BUCKET:
-        order = Window.partitionBy(*keys).orderBy(value)
+        order = Window.partitionBy(*keys).orderBy(*value)
         return values.withColumn("code", F.row_number().over(order) - 1)
     # written once: a retried range partitioning could place rows elsewhere
     placed = cut_lineage(
-        values.repartitionByRange(*keys, value).withColumn("_part", F.spark_partition_id())
+        values.repartitionByRange(*keys, *value).withColumn("_part", F.spark_partition_id())
     )
     sizes = placed.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.withColumn("_shift", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
-    order = Window.partitionBy(*keys, "_part").orderBy(value)
+    order = Window.partitionBy(*keys, "_part").orderBy(*value)
     return (
         placed.withColumn("_place", F.row_number().over(order))
         .join(shifts, [*keys, "_part"])
@@ -45,64 +45,57 @@ def pair_wins(
     label: str,
     scores: Column,
     score_ids: Sequence[int],
-    n_classes: int,
     keys: Sequence[str] = (),
     rows: int | None = None,
 ) -> DataFrame:
     """Per scored class i and other class j: rows, and how often i's score ranks i above j.
 
     ``scores`` is an array with one score per entry of ``score_ids``; ``label`` is the class
-    number. Returns (keys, i, n_own, n_other array, wins array): ``wins[j]`` counts pairs of a
-    row of i and a row of j where i's row has the larger score, ties as one half.
+    number. Returns (keys, i, j, n_own, n_other, wins), with a row for each class j that occurs:
+    ``wins`` counts pairs of a row of i and a row of j where i's row has the larger score, ties
+    as one half.
 
-    No pair is ever formed. Rows are counted per distinct score, so a score shared by a third
-    of the table is one row; running counts are kept inside score buckets of bounded size and
-    a table of one row per bucket supplies what lies below each bucket. ``rows`` is the row
-    count of ``df`` where the caller knows it.
+    No pair is ever formed. Rows are counted per class and distinct score, so a score shared by a
+    third of the table is one row per class. One running count, of class i's own rows by falling
+    score, gives each row of another class the rows of i above it; with half of those beside it
+    that is what the row adds to ``wins``. So the work is one row per scored row and class, and
+    only the small result has a row per pair of classes. Running counts are kept inside score
+    buckets of bounded size; a table of one row per bucket supplies what lies above each bucket.
+    ``rows`` is the row count of ``df`` where the caller knows it.
     """
-    keys, classes = list(keys), range(n_classes)
+    keys = list(keys)
     long = df.select(
         *keys, F.col(label).alias("_y"), F.posexplode(scores).alias("_pos", "score")
     ).withColumn("i", F.get(F.array(*[F.lit(int(s)) for s in score_ids]), F.col("_pos")))
     long, bucket = _with_bucket(long, (df.count() if rows is None else rows) * len(score_ids))
-    per_score = long.groupBy(*keys, "i", *bucket, "score").agg(
-        *[F.count(F.when(F.col("_y") == j, 1)).alias(f"c{j}") for j in classes]
+    per_score = long.groupBy(*keys, "i", *bucket, "score", "_y").agg(F.count(F.lit(1)).alias("n"))
+    own = F.when(F.col("_y") == F.col("i"), F.col("n")).otherwise(0)
+    here = Window.partitionBy(*keys, "i", *bucket)
+    falling = here.orderBy(F.desc("score"))
+    upto = falling.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    beside = falling.rangeBetween(Window.currentRow, Window.currentRow)
+    placed = per_score.select(
+        *keys, "i", *bucket, "_y", "n", F.sum(own).over(upto).alias("reached"), F.sum(own).over(beside).alias("tied")
     )
-    below = Window.partitionBy(*keys, "i", *bucket).orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    own = F.get(F.array(*[F.col(f"c{j}") for j in classes]), F.col("i")).cast("double")
-    inside = per_score.select(
-        *keys,
-        "i",
-        *bucket,
-        own.alias("own"),
-        *[F.col(f"c{j}") for j in classes],
-        *[F.coalesce(F.sum(f"c{j}").over(below), F.lit(0)).alias(f"below{j}") for j in classes],
-    )
-    per_bucket = inside.groupBy(*keys, "i", *bucket).agg(
-        F.sum("own").alias("own"),
-        *[F.sum(f"c{j}").alias(f"c{j}") for j in classes],
-        *[F.sum(F.col("own") * (F.col(f"below{j}") + F.col(f"c{j}") / 2)).alias(f"wins{j}") for j in classes],
+    # own rows above and half of those tied; the rows of class i itself carry the class's size
+    per_class = placed.groupBy(*keys, "i", *bucket, "_y").agg(
+        F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("reached") - F.col("tied") / 2)).alias("wins")
     )
     if bucket:
-        earlier = Window.partitionBy(*keys, "i").orderBy(*bucket).rowsBetween(Window.unboundedPreceding, -1)
-        per_bucket = per_bucket.select(
-            "*", *[F.coalesce(F.sum(f"c{j}").over(earlier), F.lit(0)).alias(f"before{j}") for j in classes]
-        )
-        shifted = {j: F.col(f"wins{j}") + F.col("own") * F.col(f"before{j}") for j in classes}
-    else:
-        shifted = {j: F.col(f"wins{j}") for j in classes}
-    return per_bucket.groupBy(*keys, "i").agg(
-        F.sum("own").alias("n_own"),
-        F.array(*[F.sum(F.col(f"c{j}")) for j in classes]).alias("n_other"),
-        F.array(*[F.sum(shifted[j]) for j in classes]).alias("wins"),
-    )
+        sizes = per_class.groupBy(*keys, "i", *bucket).agg(F.sum(own).alias("_own"))
+        later = Window.partitionBy(*keys, "i").orderBy(F.desc(*bucket)).rowsBetween(Window.unboundedPreceding, -1)
+        above = sizes.select(*keys, "i", *bucket, F.coalesce(F.sum("_own").over(later), F.lit(0)).alias("_above"))
+        per_class = per_class.join(above, [*keys, "i", *bucket]).withColumn("wins", F.col("wins") + F.col("n") * F.col("_above"))
+    found = per_class.groupBy(*keys, "i", "_y").agg(F.sum("n").alias("n"), F.sum("wins").alias("wins"))
+    own_size = F.sum(own).over(Window.partitionBy(*keys, "i"))
+    return found.select(*keys, "i", F.col("_y").alias("j"), own_size.alias("n_own"), F.col("n").alias("n_other"), F.col("wins").cast("double").alias("wins"))
 
 
 def _with_bucket(long: DataFrame, rows: int) -> tuple[DataFrame, list[str]]:
     """Add a bucket of about ``ROWS_PER_BUCKET`` rows by score; none when one bucket would do."""
     if rows <= ROWS_PER_BUCKET:
         return long, []
-    buckets = min(10_000, -(-rows // ROWS_PER_BUCKET))
+    buckets = -(-rows // ROWS_PER_BUCKET)
     steps = [b / buckets for b in range(1, buckets)]
     # the result does not depend on where the cuts lie, so a sample is enough to place them
     share = min(1.0, 500 * buckets / rows)

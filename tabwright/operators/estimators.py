@@ -37,10 +37,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.operators.metrics import REGRESSION, TWO_CLASS
-from tabwright.operators.prep import FEATURES
+from tabwright.operators.prep import FEATURES, OWN_PREFIX
 from tabwright.session import ensure_checkpointing
 
 LABEL, WEIGHT = "label", "weight"
+ROW = f"{OWN_PREFIX}row"
 MLLIB_MAX_DEPTH = 30
 
 # Searched parameters of each algorithm with their default ranges.
@@ -75,8 +76,10 @@ REGRESSORS = {
     "gradient_boosting": GRADIENT,
     "decision_tree": TREE,
 }
-MAX_BINS = 256
-LGBM_BINS = 255
+MAX_BINS = 256  # cut points of a continuous feature plus one, unless an AlgoSpec says otherwise
+TREES = ("random_forest", "xgb", "lgbm", "gradient_boosting", "decision_tree")
+ROWS_PER_PIECE = 50_000
+LEAST_PIECES = 8
 HISTOGRAM_MB = 512  # per task; more nodes per pass over the rows than with the default of 256
 
 
@@ -184,7 +187,7 @@ def build_learner(algorithm: str, params: dict, task: str, weighted: bool, weigh
         return LinearRegression(
             regParam=params["alpha"], elasticNetParam=1.0, standardization=False, maxIter=1000, tol=1e-9, **common
         )
-    tree = {"maxDepth": min(int(params["max_depth"]), MLLIB_MAX_DEPTH), "seed": seed, "maxBins": MAX_BINS}
+    tree = {"maxDepth": int(params["max_depth"]), "seed": seed, "maxBins": int(params.get("max_bins", MAX_BINS))}
     tree["maxMemoryInMB"] = HISTOGRAM_MB
     if algorithm in ("random_forest", "decision_tree"):
         tree["minInstancesPerNode"] = int(params["min_samples_leaf"])
@@ -199,8 +202,6 @@ def build_learner(algorithm: str, params: dict, task: str, weighted: bool, weigh
         # a leaf's hessian is its row count for squared loss and at most a quarter of it for log loss
         rows = params["min_child_weight"] * (1 if regression else 4)
         tree["minInstancesPerNode"] = max(1, math.ceil(rows))
-    if algorithm == "lgbm":
-        tree["maxBins"] = LGBM_BINS
     tree |= {"maxIter": int(params["n_estimators"]), "stepSize": float(params["learning_rate"])}
     return (GBTRegressor if regression else GBTClassifier)(**tree, **common)
 
@@ -236,18 +237,16 @@ def fit_estimator(
 def keep_for_fitting(df: DataFrame, weighted: bool) -> tuple[DataFrame, float]:
     """Keep prepared rows for the passes of a fit; also returns the sum of their weights.
 
-    Input that came in fewer pieces than there are cores (a few small files) is spread out
-    once. Large input has far more pieces and is not moved.
+    Learners draw samples and add up per piece and in row order. So that a fit depends on the rows
+    alone, they are dealt out by ``ROW``, a hash of their raw values, into a number of pieces that
+    follows from the row count, and sorted within each; how the input was cut and how many cores
+    there are changes nothing.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    total = float(kept.agg(F.sum(WEIGHT) if weighted else F.count(F.lit(1))).first()[0] or 0)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if kept.rdd.getNumPartitions() >= cores:
-        return kept, total
-    spread = kept.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
-    spread.count()
-    kept.unpersist()
-    return spread, total
+    sums = df.agg(F.count(F.lit(1)), F.sum(WEIGHT) if weighted else F.count(F.lit(1))).first()
+    pieces = max(LEAST_PIECES, -(-sums[0] // ROWS_PER_PIECE))
+    kept = df.repartition(pieces, ROW).sortWithinPartitions(ROW, LABEL).drop(ROW).persist(StorageLevel.MEMORY_AND_DISK)
+    kept.count()
+    return kept, float(sums[1] or 0)
 
 
 def run_parallel(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:

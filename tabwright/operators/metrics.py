@@ -122,9 +122,10 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, keys: Sequenc
 
 def binary_auc(df: DataFrame, label: str, score: Column, keys: Sequence[str] = (), rows: int | None = None) -> DataFrame:
     """Area under the ROC curve; ``label`` is 0/1. Null where only one class occurs."""
-    wins = pair_wins(df, label, F.array(score), [1], 2, keys, rows)
-    pairs = F.col("n_own") * F.get("n_other", F.lit(0))
-    return wins.select(*keys, F.when(pairs > 0, F.get("wins", F.lit(0)) / pairs).alias("roc_auc"))
+    wins = pair_wins(df, label, F.array(score), [1], keys, rows)
+    # a row per class that occurs: the pairs are those with class 0
+    auc = F.max(F.when((F.col("j") == 0) & (F.col("n_own") > 0), F.col("wins") / (F.col("n_own") * F.col("n_other"))))
+    return wins.groupBy(*keys).agg(auc.alias("roc_auc"))
 
 
 def one_vs_one_auc(
@@ -134,13 +135,10 @@ def one_vs_one_auc(
 
     Pairs with a class that does not occur are left out.
     """
-    wins = pair_wins(df, label, scores, range(n_classes), n_classes, keys, rows)
-    each = wins.select(*keys, "i", "n_own", F.posexplode(F.arrays_zip("n_other", "wins")).alias("j", "o")).select(
-        *keys, "i", "j", (F.col("o.wins") / (F.col("n_own") * F.col("o.n_other"))).alias("auc"),
-        (F.col("n_own") * F.col("o.n_other")).alias("pairs"),
-    )
+    wins = pair_wins(df, label, scores, range(n_classes), keys, rows)
     # both orders of a pair weigh the same, so the mean of all of them is the mean over pairs
-    return each.where((F.col("i") != F.col("j")) & (F.col("pairs") > 0)).groupBy(*keys).agg(F.avg("auc").alias("roc_auc"))
+    auc = F.when((F.col("i") != F.col("j")) & (F.col("n_own") > 0), F.col("wins") / (F.col("n_own") * F.col("n_other")))
+    return wins.groupBy(*keys).agg(F.avg(auc).alias("roc_auc"))
 
 
 def search_score(

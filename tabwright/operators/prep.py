@@ -21,6 +21,7 @@ from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.functions.hashing import quoted
 from tabwright.functions.quantiles import exact_quantiles
@@ -41,7 +42,8 @@ from tabwright.sources.tables import (
     role_of,
 )
 
-FEATURES = "features"
+OWN_PREFIX = "_tabwright_"  # of all columns that stand beside a user's for a while
+FEATURES = f"{OWN_PREFIX}features"
 WHOLE = -1  # the training set that leaves out no fold
 COLUMNS_PER_PASS = 60  # a wider aggregate would no longer compile; each pass reads only its columns
 BROADCAST_VALUES = 200_000
@@ -108,7 +110,7 @@ class PrepModel:
             elif plan.encoding == DUMMY:
                 columns += dummy_columns(F.coalesce(value, F.lit(plan.fill)), plan)
             else:
-                code = f"_code_{position}"
+                code = f"{OWN_PREFIX}code_{position}"
                 df = self._join_codes(df, plan, F.coalesce(value, F.lit(plan.fill)), code)
                 columns.append(F.coalesce(F.col(code), F.lit(-1.0)).alias(plan.name))
         return df, columns
@@ -124,14 +126,18 @@ class PrepModel:
 
     def transform(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """Append the feature vector to ``keep`` (default: all) columns."""
-        keep = list(df.columns if keep is None else keep)
+        return self.beside(df, [F.col(quoted(c)) for c in (df.columns if keep is None else keep)])
+
+    def beside(self, df: DataFrame, others: Sequence[Column]) -> DataFrame:
+        """The feature vector beside other expressions of the raw columns, from one projection.
+
+        Whatever the others are called, features are read from the raw columns.
+        """
         frame, columns = self.columns(df)
         if not columns:
             raise ValueError("no feature has a value to learn from")
-        slots = [f"_slot_{i}" for i in range(len(columns))]
-        frame = frame.select(
-            *[F.col(quoted(c)) for c in keep], *[c.alias(slot) for c, slot in zip(columns, slots)]
-        )
+        slots = [f"{OWN_PREFIX}slot_{i}" for i in range(len(columns))]
+        frame = frame.select(*others, *[c.alias(slot) for c, slot in zip(columns, slots)])
         assembler = VectorAssembler(inputCols=slots, outputCol=FEATURES, handleInvalid="keep")
         return assembler.transform(frame).drop(*slots)
 
@@ -176,7 +182,21 @@ class PrepModel:
 def clean_value(df: DataFrame, plan: ColumnPlan | FeatureSpec) -> Column:
     """The raw value with missing as null: a double for rescaling, text for encoding."""
     target = "string" if plan.encoding in (DUMMY, ORDINAL) else "double"
-    return F.when(~is_missing(df, plan.name), F.col(quoted(plan.name)).cast(target))
+    column, kind = F.col(quoted(plan.name)), df.schema[plan.name].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        column = F.when(column == 0, F.lit(0.0).cast(kind)).otherwise(column)  # 0.0 and -0.0 are one value
+    return F.when(~is_missing(df, plan.name), column.cast(target))
+
+
+def _numeric_names(df: DataFrame, specs: Sequence[FeatureSpec]) -> list[str]:
+    return [s.name for s in specs if role_of(df.schema[s.name].dataType) == "numeric"]
+
+
+def _number(numeric: Sequence[str]) -> Column:
+    """The value of a numeric feature as a number, by which it is ordered; null for text."""
+    if not numeric:
+        return F.lit(None).cast("double")
+    return F.when(F.col("feature").isin(list(numeric)), F.col("value").try_cast("double"))
 
 
 def dummy_columns(value: Column, plan: ColumnPlan) -> list[Column]:
@@ -227,10 +247,11 @@ def fit_prep_per_fold(df: DataFrame, specs: Sequence[FeatureSpec], k: int) -> di
     dictionaries: dict[int, DataFrame] = {}
     if categorical:
         counts = _value_counts(df, categorical, k).persist(StorageLevel.MEMORY_AND_DISK)
+        numbers = _numeric_names(df, categorical)
         plans |= _fit_categories(counts, categorical, sets, df)
         ordinal = [s.name for s in categorical if s.encoding == ORDINAL]
         if ordinal:
-            dictionaries = _fit_dictionaries(counts, ordinal, sets, plans)
+            dictionaries = _fit_dictionaries(counts, ordinal, sets, plans, numbers)
         counts.unpersist()
     return {
         left_out: PrepModel([plans[left_out, s.name] for s in specs], dictionaries.get(left_out))
@@ -387,7 +408,8 @@ def _per_set(counts: DataFrame, sets: list[int]) -> DataFrame:
 def _fit_categories(
     counts: DataFrame, specs: list[FeatureSpec], sets: list[int], df: DataFrame
 ) -> dict[tuple[int, str], ColumnPlan]:
-    per_set = _per_set(counts, sets)
+    numbers = _numeric_names(df, specs)
+    per_set = _per_set(counts, sets).withColumn("number", _number(numbers))
     present = F.col("value").isNotNull()
     overview = (
         per_set.groupBy("left_out", "feature")
@@ -395,7 +417,7 @@ def _fit_categories(
             F.sum(F.when(~present, F.col("n"))).alias("missing"),
             F.count(F.when(present, 1)).alias("n_values"),
             F.sum(F.length("value")).alias("chars"),
-            F.min_by("value", F.when(present, F.struct(-F.col("n"), F.col("value")))).alias("mode"),
+            F.min_by("value", F.when(present, F.struct(-F.col("n"), F.col("number"), F.col("value")))).alias("mode"),
         )
         .collect()  # one row per training set and feature
     )
@@ -442,7 +464,7 @@ def _frequent_values(
         [(s, name, fills[s, name], row["missing"]) for (s, name), row in seen.items() if name in most and row["missing"]],
         "left_out int, feature string, value string, imputed long",
     )
-    by_frequency = Window.partitionBy("left_out", "feature").orderBy(F.desc("n"), F.desc("value"))
+    by_frequency = Window.partitionBy("left_out", "feature").orderBy(F.desc("n"), F.desc("number"), F.desc("value"))
     rows = (
         per_set.where(F.col("value").isNotNull())
         .join(F.broadcast(limits), "feature")
@@ -451,11 +473,11 @@ def _frequent_values(
         .withColumn("place", F.row_number().over(by_frequency))
         .where(F.col("place") <= max(most.values()))  # each task passes on only its first places
         .where(F.col("place") <= F.col("most"))
-        .select("left_out", "feature", "value", "place")
+        .select("left_out", "feature", "value", "number", "place")
         .collect()
     )
     kept: dict[tuple[int, str], list[str]] = {}
-    for row in sorted(rows, key=lambda r: r["value"]):
+    for row in sorted(rows, key=lambda r: (r["number"] is not None, r["number"] or 0.0, r["value"])):
         key = (row["left_out"], row["feature"])
         if seen[key]["n_values"] <= most[row["feature"]] or row["place"] < most[row["feature"]]:
             kept.setdefault(key, []).append(row["value"])
@@ -477,11 +499,13 @@ def _numeric_modes(df: DataFrame, specs: list[FeatureSpec], sets: list[int]) ->
 
 
 def _fit_dictionaries(
-    counts: DataFrame, ordinal: list[str], sets: list[int], plans: dict[tuple[int, str], ColumnPlan]
+    counts: DataFrame, ordinal: list[str], sets: list[int], plans: dict[tuple[int, str], ColumnPlan], numbers: list[str]
 ) -> dict[int, DataFrame]:
+    """Codes in the order of the values: numbers as numbers, text as text."""
     values = _per_set(counts.where(F.col("feature").isin(ordinal) & F.col("value").isNotNull()), sets)
+    values = values.select("left_out", "feature", _number(numbers).alias("number"), "value")
     largest = max(plans[left_out, name].dictionary_rows for left_out in sets for name in ordinal)
-    codes = dense_codes(values.select("left_out", "feature", "value"), ["left_out", "feature"], "value", largest)
+    codes = dense_codes(values, ["left_out", "feature"], ["number", "value"], largest)
     codes = cut_lineage(codes)  # read at every scoring
     return {
         left_out: codes.where(F.col("left_out") == left_out).select("feature", "value", "code") for left_out in sets

@@ -8,14 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import quoted
+from tabwright.operators.prep import OWN_PREFIX
 from tabwright.sources.tables import is_missing, role_of
 
 
 def target_report(df: DataFrame, target: str) -> DataFrame:
     """Rows, missing targets, classes, smallest and largest class."""
     name = quoted(target)
-    per_class = df.groupBy(F.col(name)).agg(F.count(F.lit(1)).alias("n"))
-    present = F.col(name).isNotNull()
+    # null and NaN are one missing value
+    value = F.when(~is_missing(df, target), F.col(name))
+    per_class = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    present = F.col("value").isNotNull()
     return per_class.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
         F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).alias("n_missing"),
@@ -78,10 +81,17 @@ def feature_report(df: DataFrame, features: Sequence[str], exact: bool = False)
 
 
 def check_training_table(
-    df: DataFrame, target: str, classification: bool, features: Sequence[str], time_column: str | None = None
+    df: DataFrame, target: str, classification: bool, features: Sequence[str], time_column: str | None = None,
+    reserved: Sequence[str] = (),
 ) -> None:
-    """Refuse what training cannot use, from the schema alone."""
+    """Refuse what training cannot use, from the schema alone.
+
+    ``reserved`` are names of columns that training adds to the table.
+    """
     names = set(df.columns)
+    taken = [c for c in df.columns if c.lower() in {r.lower() for r in reserved} or c.lower().startswith(OWN_PREFIX)]
+    if taken:
+        raise ValueError(f"rename {', '.join(taken)}: training uses these names")
     for name in [target, *features, *([time_column] if time_column else [])]:
         if name not in names:
             raise ValueError(f"no column {name!r} in the training table")

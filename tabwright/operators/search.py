@@ -12,7 +12,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.operators.estimators import LABEL, WEIGHT, FittedEstimator, fit_estimator, keep_for_fitting, run_parallel
+from tabwright.functions.hashing import quoted
+from tabwright.operators.estimators import LABEL, ROW, WEIGHT, FittedEstimator, fit_estimator, keep_for_fitting, run_parallel
 from tabwright.operators.metrics import REGRESSION, search_score, signed
 from tabwright.operators.prep import PrepModel
 from tabwright.operators.split import FOLD_COLUMN
@@ -39,7 +40,7 @@ def draw_candidates(algorithms: Sequence, task: str, n_iter: int, seed: int) ->
                     params[parameter] = float(math.exp(random.uniform(math.log(low), math.log(high))))
                 else:
                     params[parameter] = float(random.uniform(low, high))
-            candidates.append(Candidate(algorithm.name, number, params))
+            candidates.append(Candidate(algorithm.name, number, {**params, **algorithm.settings}))
     return candidates
 
 
@@ -72,8 +73,7 @@ def cross_validate(
     """
     results = []
     for fold in sorted(f for f in preps if f >= 0):
-        rest = prepared(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column)
-        fitting, total = keep_for_fitting(rest, weight_column is not None)
+        fitting, total = prepared_for_fitting(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column)
         held_out = prepared(train.where(F.col(FOLD_COLUMN) == fold), preps[fold], label, None)
 
         def fit(candidate: Candidate) -> tuple[FittedEstimator, float]:
@@ -94,12 +94,15 @@ def cross_validate(
 
 def prepared(df: DataFrame, prep: PrepModel, label: Column, weight_column: str | None) -> DataFrame:
     """features, label and weight: all that the estimators read."""
-    df = df.withColumn(LABEL, label)
-    keep = [LABEL]
-    if weight_column:
-        df = df.withColumn(WEIGHT, F.col(weight_column))
-        keep.append(WEIGHT)
-    return prep.transform(df, keep)
+    weight = [F.col(quoted(weight_column)).alias(WEIGHT)] if weight_column else []
+    return prep.beside(df, [label, *weight])
+
+
+def prepared_for_fitting(df: DataFrame, prep: PrepModel, label: Column, weight_column: str | None) -> tuple[DataFrame, float]:
+    """The prepared rows in an order that follows from their raw values, kept; and the sum of their weights."""
+    row = F.xxhash64(*[F.col(quoted(plan.name)) for plan in prep.plans], label).alias(ROW)
+    weight = [F.col(quoted(weight_column)).alias(WEIGHT)] if weight_column else []
+    return keep_for_fitting(prep.beside(df, [label, *weight, row]), weight_column is not None)
 
 
 def model_outputs(rows: DataFrame, fitted: dict[str, FittedEstimator], task: str) -> DataFrame:

@@ -65,6 +65,9 @@ class Split:
 
 
 def _labelled(df: DataFrame, train_side: Column) -> DataFrame:
+    taken = [c for c in df.columns if c.lower() in (SPLIT_COLUMN, FOLD_COLUMN)]
+    if taken:
+        raise ValueError(f"rename {', '.join(taken)}: the split uses these names")
     return df.withColumn(SPLIT_COLUMN, F.when(train_side, TRAIN).otherwise(TEST))
 
 

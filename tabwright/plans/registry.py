@@ -110,6 +110,9 @@ class Registry:
         full_name = f"{project_key}_{name}"
         known = self.versions().where(F.col("model_name") == full_name).select("model_id").first()
         model_id = known["model_id"] if known else uuid.uuid4().hex[:8]
+        taken = self._read("versions", VERSIONS).where((F.col("model_name") == full_name) & (F.col("version") == version))
+        if not taken.isEmpty():
+            raise ValueError(f"version {version!r} of {full_name!r} exists; versions are never overwritten")
         path = f"{self.path}/artifacts/{full_name}/{version}"
         model.save(self.spark, path)
         tags = {APPLICATION_TAG: "tabwright", PROJECT_TAG: project_key, MODEL_ID_TAG: model_id}

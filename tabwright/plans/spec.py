@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 
-from tabwright.operators.estimators import parameter_ranges
+from tabwright.operators.estimators import MAX_BINS, MLLIB_MAX_DEPTH, TREES, parameter_ranges
 from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS, metric_key
 from tabwright.operators.prep import FeatureSpec
 from tabwright.sources.tables import default_encoding, default_imputation
@@ -16,10 +16,20 @@ from tabwright.sources.tables import default_encoding, default_imputation
 
 @dataclass(frozen=True)
 class AlgoSpec:
-    """An algorithm to try, with (smallest, largest) per searched parameter; defaults fill in the rest."""
+    """An algorithm to try, with (smallest, largest) per searched parameter; defaults fill in the rest.
+
+    ``max_bins`` bounds how finely trees cut a continuous feature: into at most so many ranges,
+    placed by quantiles.
+    """
 
     name: str
     ranges: dict[str, tuple[float, float]] = field(default_factory=dict)
+    max_bins: int = MAX_BINS
+
+    @property
+    def settings(self) -> dict:
+        """What every candidate has beside its drawn parameters."""
+        return {"max_bins": self.max_bins} if self.name in TREES else {}
 
     def draws(self, task: str) -> list[tuple[str, str, float, float]]:
         known = parameter_ranges(self.name, task)
@@ -31,6 +41,8 @@ class AlgoSpec:
             low, high = self.ranges.get(parameter, (smallest, largest))
             if low is None or high is None or low > high:
                 raise ValueError(f"{self.name}: {parameter} needs a smallest value that is not above the largest")
+            if parameter == "max_depth" and high > MLLIB_MAX_DEPTH:
+                raise ValueError(f"{self.name}: trees have at most {MLLIB_MAX_DEPTH} levels, max_depth may not reach {high}")
             chosen.append((parameter, kind, low, high))
         return chosen
 
@@ -54,6 +66,7 @@ class TrainSpec:
     positive_class: object = None
     threshold: float = 0.5
     parallelism: int = 4
+    max_classes: int | None = None  # refuse targets with more values; by default any number will do
 
     def __post_init__(self) -> None:
         if not re.fullmatch(r"[A-Za-z0-9_]+", self.model_name or ""):

@@ -20,7 +20,6 @@ from tabwright.operators.estimators import (
     class_index,
     class_label,
     fit_estimator,
-    keep_for_fitting,
     run_parallel,
 )
 from tabwright.operators.metrics import (
@@ -40,14 +39,16 @@ from tabwright.operators.search import (
     draw_candidates,
     model_outputs,
     prepared,
+    prepared_for_fitting,
 )
-from tabwright.operators.split import SPLIT_COLUMN, TEST, TRAIN, Split, random_split, time_split
+from tabwright.operators.split import FOLD_COLUMN, SPLIT_COLUMN, TEST, TRAIN, Split, random_split, time_split
 from tabwright.operators.weights import WEIGHT_COLUMN, class_list, with_class_weights
 from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.spec import TrainSpec
 from tabwright.plans.tracking import Run, Tracker
 from tabwright.session import checkpoint_dir
+from tabwright.sources.tables import is_missing
 
 
 @dataclass
@@ -72,7 +73,7 @@ def target_classes(df: DataFrame, spec: TrainSpec) -> list:
     """The target's values, sorted, the positive class last."""
     if spec.task == REGRESSION:
         return []
-    classes = [float(c) if isinstance(c, Decimal) else c for c in class_list(df, spec.target)]
+    classes = [float(c) if isinstance(c, Decimal) else c for c in class_list(df, spec.target, spec.max_classes)]
     if spec.task == TWO_CLASS and len(classes) != 2:
         raise ValueError(f"target {spec.target!r} has {len(classes)} values, not two")
     if len(classes) < 2:
@@ -92,17 +93,20 @@ def label_column(spec: TrainSpec, classes: list) -> Column:
 
 
 def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -> Split:
-    """Drop rows without a target, weigh the classes, split, and write both sides if asked to."""
-    df = df.where(F.col(quoted(spec.target)).isNotNull())
-    if spec.weighted and spec.weights_from == "all":
-        df = with_class_weights(df, spec.target)
+    """Drop rows without a target, split, weigh the classes, and write both sides if asked to.
+
+    Rows are told apart by the key, or by the input's own columns: added weights change no side.
+    """
+    df = df.where(~is_missing(df, spec.target))
+    keys = list(spec.key or df.columns)
     if spec.time_column:
         split = time_split(df, spec.time_column, spec.train_ratio)
     else:
-        split = random_split(df, spec.train_ratio, spec.seed, spec.key)
-    if spec.weighted and spec.weights_from == "train":
-        split = Split(with_class_weights(split.labelled, spec.target, split.train), split.cut)
-    return split.write(table_path, spec.folds, spec.seed, spec.key) if table_path else split
+        split = random_split(df, spec.train_ratio, spec.seed, keys)
+    if spec.weighted:
+        source = split.train if spec.weights_from == "train" else df
+        split = Split(with_class_weights(split.labelled, spec.target, source), split.cut)
+    return split.write(table_path, spec.folds, spec.seed, keys) if table_path else split
 
 
 def fit_one(
@@ -112,7 +116,7 @@ def fit_one(
     if prep is None:
         prep = fit_prep_per_fold(train, spec.features, 0)[WHOLE]
     weight = WEIGHT_COLUMN if spec.weighted else None
-    fitting, total = keep_for_fitting(prepared(train, prep, label_column(spec, classes), weight), spec.weighted)
+    fitting, total = prepared_for_fitting(train, prep, label_column(spec, classes), weight)
     estimator = fit_estimator(
         fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
     )
@@ -162,16 +166,18 @@ def train(
     """
     spark = df.sparkSession
     features = [f.name for f in spec.features]
-    check_training_table(df, spec.target, spec.is_classification, features, spec.time_column)
+    reserved = [SPLIT_COLUMN, FOLD_COLUMN, *([WEIGHT_COLUMN] if spec.weighted else [])]
+    check_training_table(df, spec.target, spec.is_classification, features, spec.time_column, reserved)
     metric = metric_key(spec.metric, spec.task)
-    stamp = datetime.now(timezone.utc).strftime("%Y_%m_%d_%H_%M_%S")
+    # two trainings of a model in one second must not share a table or a version
+    stamp = f"{datetime.now(timezone.utc):%Y_%m_%d_%H_%M_%S}_{uuid.uuid4().hex[:6]}"
     classes = target_classes(df, spec)
     folder = workdir or f"{checkpoint_dir(spark).rstrip('/')}/train-{uuid.uuid4().hex}"
     split = split_table(df, spec, f"{folder}/tables/{spec.model_name}_{stamp}")
 
     weight = WEIGHT_COLUMN if spec.weighted else None
     label = label_column(spec, classes)
-    folded = split.folded_train(spec.folds, spec.seed, spec.key)
+    folded = split.folded_train(spec.folds, spec.seed, spec.key or df.columns)
     preps = fit_prep_per_fold(folded, spec.features, spec.folds)
     candidates = draw_candidates(spec.algorithms, spec.task, spec.n_iter, spec.seed)
     rows = cross_validate(
@@ -199,7 +205,7 @@ def train(
         for key, c in by_key.items()
     ]
 
-    fitting, total = keep_for_fitting(prepared(split.train, preps[WHOLE], label, weight), spec.weighted)
+    fitting, total = prepared_for_fitting(split.train, preps[WHOLE], label, weight)
 
     def refit(algorithm: str) -> tuple[FittedEstimator, float]:
         params = by_key[algorithm, chosen[algorithm]["candidate"]].params

@@ -13,10 +13,12 @@ def score_stream(
 ) -> StreamingQuery:
     """Append scored rows to a parquet table; stateless, so it needs no watermark.
 
-    ``checkpoint`` must be on shared storage: it makes restarts exactly-once. The query stops
+    The version asked for becomes the model's default. ``checkpoint`` must be on shared storage: it makes restarts exactly-once. The query stops
     when it has scored all rows that were there.
     """
     model, row = registry.load(model_name, version)
+    if version is not None:
+        registry.set_default(model_name, version)
     scored = model.score(stream, row["threshold"])
     return (
         scored.writeStream.format("parquet")

@@ -255,9 +255,9 @@ def test_equal_scores_share_a_rank(spark):
 
 
 def test_parameters_reach_the_learners(spark):
-    deep = {"n_estimators": 7, "max_depth": 99, "min_samples_leaf": 3, "min_child_weight": 1.2, "learning_rate": 0.1}
+    deep = {"n_estimators": 7, "max_depth": 12, "max_bins": 40, "min_samples_leaf": 3, "min_child_weight": 1.2, "learning_rate": 0.1}
     forest = build_learner("random_forest", deep, MULTI_CLASS, True, 10.0, 1)
-    assert forest.getMaxDepth() == MLLIB_MAX_DEPTH and forest.getNumTrees() == 7 and forest.getWeightCol() == "weight"
+    assert forest.getMaxDepth() == 12 and forest.getMaxBins() == 40 and forest.getNumTrees() == 7 and forest.getWeightCol() == "weight"
     assert build_learner("xgb", deep, TWO_CLASS, False, 10.0, 1).getMinInstancesPerNode() == 5
     assert build_learner("xgb", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 2
     assert build_learner("gradient_boosting", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 3
@@ -273,3 +273,81 @@ def test_target_types_come_back_in_predictions(spark, sf, tmp_path, kind):
     scored = TrainedModel.load(spark, str(tmp_path / "model")).score(df)
     assert dict(scored.dtypes)["PREDICTION"] == kind
     assert scored.where(F.col("PREDICTION") == F.col("dear")).count() > 0.95 * df.count()
+
+
+def test_deeper_trees_than_the_learner_has_are_refused(spark, sf):
+    with pytest.raises(ValueError, match="at most 30 levels"):
+        spec_for(orders(spark, sf), algorithms=[AlgoSpec("decision_tree", {"max_depth": (3, MLLIB_MAX_DEPTH + 1)})])
+    drawn = draw_candidates([AlgoSpec("decision_tree", max_bins=99), AlgoSpec("logistic_regression")], TWO_CLASS, 1, 1)
+    assert drawn[0].params["max_bins"] == 99 and "max_bins" not in drawn[1].params
+
+
+@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting"])
+def test_pieces_of_the_input_do_not_change_a_model(spark, sf, algorithm):
+    df = orders(spark, sf)
+    spec = spec_for(df, class_weights=False)
+    params = {"n_estimators": 4, "max_depth": 5, "min_samples_leaf": 1, "learning_rate": 0.1}
+    sums = set()
+    for pieces in (1, 2, 4, 8):
+        model = fit_one(df.repartition(pieces), spec, [0, 1], algorithm, params)
+        sums.add(round(model.score(df).agg(F.sum("PREDICT_PROBA_1")).first()[0], 6))
+    assert len(sums) == 1
+
+
+def test_many_classes_train(spark):
+    df = spark.range(3000).select("id", (F.col("id") % 1500).cast("int").alias("y"), (F.col("id") % 1500).cast("double").alias("x"))
+    spec = TrainSpec("many", "y", MULTI_CLASS, feature_specs(df, ["x"]), [AlgoSpec("decision_tree")], "Accuracy", class_weights=False)
+    classes = target_classes(df, spec)
+    assert len(classes) == 1500
+    model = fit_one(df, spec, classes, "decision_tree", {"max_depth": 2, "min_samples_leaf": 1})
+    assert model.score(df.limit(5)).count() == 5
+    with pytest.raises(ValueError, match="more than 100"):
+        target_classes(df, TrainSpec("many", "y", MULTI_CLASS, feature_specs(df, ["x"]), [AlgoSpec("decision_tree")], "Accuracy", max_classes=100))
+
+
+def test_feature_names_of_training_columns(spark, sf):
+    """Features called as the columns that learners read are read from the table."""
+    df = orders(spark, sf).select(
+        "o_orderkey", "dear", F.rand(3).alias("label"), F.col("o_totalprice").alias("weight"), F.rand(4).alias("features"), F.rand(5).alias("prediction")
+    )
+    tree = [AlgoSpec("decision_tree", {"max_depth": (3, 3), "min_samples_leaf": (1, 1)})]
+
+    def spec_of(*names):
+        return TrainSpec("m", "dear", TWO_CLASS, feature_specs(df, names), tree, "ROC AUC", n_iter=1, key=["o_orderkey"])
+
+    spec = spec_of("label", "weight", "features", "prediction")
+    result = train(df, spec)
+    assert result.test_metrics["decision_tree"]["test_roc_auc"] > 0.99
+    without = train(df, spec_of("label", "features"))
+    assert without.test_metrics["decision_tree"]["test_roc_auc"] < 0.75
+    assert result.best_model.score(df).columns[: len(df.columns)] == df.columns
+    for name in ("split_side", "Split_Fold", "SAMPLE_WEIGHTS", "_tabwright_x"):
+        with pytest.raises(ValueError, match="rename"):
+            train(df.withColumn(name, F.lit(1)), spec)
+
+
+def test_weights_change_no_side(spark, sf):
+    df = orders(spark, sf)
+    sides = []
+    for weighted in (True, False):
+        split = split_table(df, spec_for(df, key=None, class_weights=weighted))
+        sides.append({r["o_orderkey"]: r["split_side"] for r in split.labelled.select("o_orderkey", "split_side").collect()})
+    assert sides[0] == sides[1]
+
+
+@pytest.mark.parametrize("task", [TWO_CLASS, REGRESSION])
+def test_rows_with_nan_targets_are_left_out(spark, sf, task):
+    target = F.col("dear").cast("double") if task == TWO_CLASS else F.col("o_totalprice")
+    df = orders(spark, sf).withColumn("y", F.when(F.col("o_orderkey") % 10 == 0, F.lit(float("nan"))).otherwise(target))
+    algorithm = AlgoSpec("decision_tree", {"max_depth": (2, 2)})
+    result = train(df, spec_for(df, target="y", task=task, metric="ROC AUC" if task == TWO_CLASS else "R2", algorithms=[algorithm], n_iter=1))
+    n = df.where("o_orderkey % 10 = 0").count()
+    assert result.row_counts["dropped"] == n and all(v == v for v in result.test_metrics["decision_tree"].values())
+
+
+def test_versions_are_not_overwritten(spark, trained, tmp_path):
+    _, _, _, result = trained
+    registry = Registry(spark, str(tmp_path / "registry"))
+    registry.register(result.best_model, "m", "P", "v1", "run", "{}", {})
+    with pytest.raises(ValueError, match="exists"):
+        registry.register(result.best_model, "m", "P", "v1", "run", "{}", {})

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.operators.prep import WHOLE, FeatureSpec, PrepModel, fit_prep, fit_prep_per_fold
+from tabwright.operators.prep import FEATURES, WHOLE, FeatureSpec, PrepModel, fit_prep, fit_prep_per_fold
 from tabwright.operators.split import FOLD_COLUMN
 from tabwright.plans.spec import feature_specs
 from tabwright.sources.tables import (
@@ -97,6 +97,20 @@ def test_ordinal_codes(spark):
     assert outputs(model, texts(spark, ["a", "b", "c", None, "zz"])) == [[0.0], [1.0], [2.0], [3.0], [-1.0]]
 
 
+def test_ordinal_codes_of_numbers_follow_their_size(spark):
+    values = [11.0, 9.0, 100.0, 2.0, -0.0, 1.0, 0.0, 10.0, 3.0]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, s double")
+    model = fit_prep(df, [FeatureSpec("s", ORDINAL, MOST_FREQUENT)])
+    order = sorted({v + 0.0 for v in values})
+    assert outputs(model, df) == [[float(order.index(v))] for v in values]
+
+
+def test_dummy_ties_of_numbers_follow_their_size(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate([1, 2, 9, 10, 11, 100])], "id int, s int")
+    model = fit_prep(df, [FeatureSpec("s", DUMMY, MOST_FREQUENT, max_categories=4)])
+    assert model.outputs == ["s=10", "s=11", "s=100", "s=(rare)"]
+
+
 def test_column_without_values_is_left_out(spark):
     df = spark.createDataFrame([(1, None, 1.0, None), (2, None, 2.0, None)], "id int, x double, y double, s string")
     specs = [FeatureSpec("x", STANDARD, MEDIAN), FeatureSpec("s", DUMMY, MOST_FREQUENT), FeatureSpec("y", NO_RESCALING, MEDIAN)]
@@ -111,7 +125,7 @@ def test_names_with_dots_spaces_and_quotes(spark):
     specs = feature_specs(df, ["My Col", "a.b", "c`d"], encodings={"c`d": ORDINAL})
     model = fit_prep(df, specs)
     assert outputs(model, df) == [[-1.0, 1.0, 0.0, 0.0], [1.0, 0.0, 1.0, 1.0]]
-    assert model.transform(df, ["id"]).first()["features"].size == 4
+    assert model.transform(df, ["id"]).first()[FEATURES].size == 4
 
 
 def test_boolean_features(spark):
