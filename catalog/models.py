@@ -500,6 +500,26 @@ def score_stream_two_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(spark.read.parquet(f"{folder}/scored"), "PREDICT_PROBA_0", "PREDICT_PROBA_1", digits=3)
 
 
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that scoring writes, and the train and test tables that training writes, read back by name."""
+    lines = squared_lines(spark, sf_dir)
+    folder = work_folder(spark)
+    registry = Registry(spark, f"{folder}/registry")
+    result = train(lines, closed_form_spec(), folder, registry, "CATALOG", f"{folder}/train_rows", f"{folder}/test_rows")
+    score(lines, registry, result.registered, output=f"{folder}/scored")
+    sides = [spark.read.parquet(f"{folder}/{side}_rows").select(*lines.columns, F.lit(side).alias("side")) for side in ("train", "test")]
+    scored = spark.read.parquet(f"{folder}/scored").select(*LINE_KEY, "PREDICTION")
+    return rounded(sides[0].unionByName(sides[1]).join(scored, LINE_KEY).select(*LINE_KEY, "side", "PREDICTION"), "PREDICTION", digits=3)
+
+
+def _scored_table_sql() -> str:
+    return f"""{_SEARCHED.replace("SELECT l_quantity AS x", f"SELECT {LINE_KEY_SQL}, l_quantity AS x")},
+best AS (SELECT algorithm FROM searched ORDER BY best_score DESC LIMIT 1)
+SELECT {LINE_KEY_SQL}, CASE WHEN in_train THEN 'train' ELSE 'test' END AS side,
+       round(CASE WHEN (SELECT algorithm FROM best) = 'lasso' THEN b0 + b * (x - m) / s ELSE CASE WHEN x <= cut THEN below ELSE above END END, 3) + 0 AS "PREDICTION"
+FROM lines, final_split, ({_lasso_fit_sql("(SELECT * FROM lines WHERE in_train)", 20.0)})"""
+
+
 def score_multi_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = status_orders(spark, sf_dir)
     registry, name = _registered(spark, orders, logistic_spec("status", MULTI_CLASS, False), "logistic_regression", {"C": 1e6})
@@ -544,6 +564,7 @@ QUERIES = {
     "train_gradient_boosting_regression": (_learned("level", REGRESSION, "gradient_boosting", GRADIENT), LEVEL),
     "train_decision_tree_regression": (_learned("level", REGRESSION, "decision_tree", TREE), LEVEL),
     "one_split_decision_tree": (_stump("dear", TWO_CLASS, "decision_tree", ONE_SPLIT), _stump_sql(_DEAR)),
+    "scored_table": (scored_table, _scored_table_sql()),
     "features_with_reserved_names": (features_with_reserved_names, _stump_sql(_DEAR)),
     "one_split_decision_tree_regression": (_stump("revenue", REGRESSION, "decision_tree", ONE_SPLIT), _stump_sql(_REVENUE)),
     "two_rounds_gradient_boosting_regression": (

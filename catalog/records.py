@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.common import table, work_folder
-from catalog.models import TRACKED_RUNS, closed_form_spec, logistic_spec, squared_lines, status_orders
+from catalog.models import SEARCH_CLOSED_FORM, TRACKED_RUNS, closed_form_spec, fit_on_split, logistic_spec, squared_lines, status_orders
 from tabwright.operators.metrics import TWO_CLASS
 from tabwright.plans.registry import (
     MODEL_ID_TAG,
@@ -17,7 +17,6 @@ from tabwright.plans.registry import (
     default_versions,
     stale_entries,
 )
-from tabwright.plans.spec import AlgoSpec
 from tabwright.plans.tracking import Tracker
 from tabwright.plans.train import train
 
@@ -111,17 +110,64 @@ def tracked_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cleaned_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train and register, then clean up against an empty and a full live list."""
+    """Register a model twice, remove what the orders say is gone, and read back what is left.
+
+    Live is the version whose order status has more orders; the listing, the versions left and
+    whether their files are still there are read from the registry.
+    """
     orders = status_orders(spark, sf_dir)
-    spec = logistic_spec("finished", TWO_CLASS, True)
-    spec = type(spec)(**{**spec.__dict__, "algorithms": [AlgoSpec("decision_tree", {"max_depth": (1, 3)})], "n_iter": 1})
+    model, _ = fit_on_split(orders, logistic_spec("finished", TWO_CLASS, True), "logistic_regression", {"C": 1e6})
     registry = Registry(spark, f"{work_folder(spark)}/registry")
-    train(orders, spec, None, registry, "CATALOG")
+    for version in ("F", "O"):
+        registry.register(model, "status", "CATALOG", version, "run", "{}", {})
     versions = registry.versions()
-    live = versions.select(F.col("tags")[MODEL_ID_TAG].alias("model_id"), F.lower("version").alias("version"))
-    kept = registry.cleanup(live, "CATALOG").withColumn("live_list", F.lit("all"))
-    gone = registry.cleanup(live.limit(0), "CATALOG").withColumn("live_list", F.lit("none"))
-    return kept.unionByName(gone)
+    model_id = versions.first()["tags"][MODEL_ID_TAG]
+    counts = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O")).groupBy("o_orderstatus").count()
+    most = counts.orderBy(F.desc("count"), "o_orderstatus").limit(1)
+    live = most.select(F.lit(model_id).alias("model_id"), F.lower("o_orderstatus").alias("version"))
+    before = {r["version"]: r["path"] for r in versions.select("version", "path").collect()}
+    removed = registry.cleanup(live, "CATALOG", perform_deletion=True).select("version", F.lit("removed").alias("state"))
+    left = registry.versions().select("version", F.lit("left").alias("state"))
+    rows = [(r["version"], r["state"], _has_files(spark, before[r["version"]])) for r in removed.unionByName(left).collect()]
+    return spark.createDataFrame(rows, "version string, state string, has_files boolean")
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+CLEANED_REGISTRY = """
+WITH n AS (
+  SELECT o_orderstatus AS version, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) AS place
+  FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY o_orderstatus
+)
+SELECT version, CASE WHEN place = 1 THEN 'left' ELSE 'removed' END AS state, place = 1 AS has_files FROM n"""
+
+
+def registered_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a closed-form training registers, read back: signature, metrics, tags, classes, run parameters."""
+    folder = work_folder(spark)
+    registry = Registry(spark, f"{folder}/registry")
+    train(squared_lines(spark, sf_dir), closed_form_spec(), folder, registry, "CATALOG")
+    fields = "struct<inputs:struct<fields:array<struct<name:string,type:string>>>,outputs:struct<fields:array<struct<name:string,type:string>>>>"
+    row = registry.versions().withColumn("s", F.from_json("signature", fields))
+    names = lambda side: F.array_join(F.transform(f"s.{side}.fields", lambda f: F.concat_ws(":", f["name"], f["type"])), ",")
+    params = Tracker(spark, f"{folder}/tracking").params().where(F.col("key").isin("alpha", "max_depth", "min_samples_leaf"))
+    chosen = params.groupBy("run_id").agg(
+        F.array_join(F.array_sort(F.collect_list(F.concat_ws("=", "key", F.round(F.col("value").cast("double")).cast("int")))), ",").alias("params")
+    )
+    return row.join(chosen, "run_id").select(
+        "model_name", "algorithm", "target", F.size("classes").alias("n_classes"), names("inputs").alias("inputs"), names("outputs").alias("outputs"),
+        F.col("tags")[PROJECT_TAG].alias("project"), F.round(F.col("metrics")["test_mse"], 3).alias("test_mse"), "params",
+    )
+
+
+REGISTERED_RECORD = f"""
+SELECT 'CATALOG_amount' AS model_name, algorithm, 'amount' AS target, 0 AS n_classes, 'l_quantity:double' AS inputs,
+       'PREDICTION:double' AS outputs, 'CATALOG' AS project, test_mse,
+       CASE algorithm WHEN 'lasso' THEN 'alpha=20' ELSE 'max_depth=1,min_samples_leaf=1' END AS params
+FROM ({SEARCH_CLOSED_FORM}) WHERE is_best"""
 
 
 QUERIES = {
@@ -129,5 +175,6 @@ QUERIES = {
     "surviving_versions": (surviving_versions, SURVIVING),
     "registry_cleanup": (registry_cleanup, CLEANUP),
     "tracked_runs": (tracked_runs, TRACKED_RUNS),
-    "cleaned_registry": (cleaned_registry, "SELECT 'CATALOG_order_status' AS name, 'PARENT MODEL' AS version, 'none' AS live_list"),
+    "cleaned_registry": (cleaned_registry, CLEANED_REGISTRY),
+    "registered_record": (registered_record, REGISTERED_RECORD),
 }

@@ -127,6 +127,13 @@ class Registry:
         self.set_default(full_name, version)
         return full_name
 
+    def _delete(self, path: str) -> None:
+        """Remove a folder of this registry, on whatever file system it is."""
+        if not path.startswith(f"{self.path}/artifacts/"):
+            raise ValueError(f"{path} is no model of the registry at {self.path}")
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def set_default(self, model_name: str, version: str) -> None:
         self._append("defaults", [(model_name, version, _now())], DEFAULTS)
 
@@ -152,8 +159,13 @@ class Registry:
         return TrainedModel.load(self.spark, row["path"]), row
 
     def cleanup(self, live: DataFrame, project_key: str, perform_deletion: bool = False) -> DataFrame:
-        """List entries whose model is gone; with ``perform_deletion`` also remove them."""
-        stale = stale_entries(self.versions(), live, project_key)
+        """List entries whose model is gone; with ``perform_deletion`` also remove them and their saved models.
+
+        Removal rows are written first. A job that dies before the files are gone leaves files that
+        no version points to; the next removal of the same entries takes them away.
+        """
+        versions = self.versions()
+        stale = stale_entries(versions, live, project_key)
         if not perform_deletion:
             return stale
         removed = stale.select(F.col("name").alias("model_name"), "version", F.lit(_now()).alias("removed_at"))
@@ -161,7 +173,13 @@ class Registry:
         # the batch is written first and read back, so the list is the one that was removed
         removed.write.parquet(batch)
         written = self.spark.read.parquet(batch)
+        named = written.select("model_name", F.col("version").alias("gone"))
+        whole = F.col("gone") == PARENT_MODEL
+        # one path per removed version
+        paths = versions.join(named, "model_name").where(whole | (F.col("gone") == F.col("version"))).select("path").distinct().collect()
         written.write.mode("append").parquet(f"{self.path}/removals")
+        for row in paths:
+            self._delete(row["path"])
         return written.select(F.col("model_name").alias("name"), "version")
 
 

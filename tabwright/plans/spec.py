@@ -29,7 +29,9 @@ class AlgoSpec:
     @property
     def settings(self) -> dict:
         """What every candidate has beside its drawn parameters."""
-        return {"max_bins": self.max_bins} if self.name in TREES else {}
+        own = {"max_bins": self.max_bins} if self.name in TREES else {}
+        # three names of one learner: the run table says so
+        return {**own, "learner": "gradient_boosting"} if self.name in ("xgb", "lgbm", "gradient_boosting") else own
 
     def draws(self, task: str) -> list[tuple[str, str, float, float]]:
         known = parameter_ranges(self.name, task)

@@ -48,7 +48,7 @@ from tabwright.plans.registry import Registry
 from tabwright.plans.spec import TrainSpec
 from tabwright.plans.tracking import Run, Tracker
 from tabwright.session import checkpoint_dir
-from tabwright.sources.tables import is_missing
+from tabwright.sources.tables import is_missing, write_table
 
 
 @dataclass
@@ -156,13 +156,17 @@ def train(
     workdir: str | None = None,
     registry: Registry | None = None,
     project_key: str = "PROJECT",
+    train_output: str | None = None,
+    test_output: str | None = None,
 ) -> TrainResult:
     """Search, evaluate and compare all algorithms of the specification.
 
     ``workdir`` (shared storage) receives the train and test tables and the run tables. Without
     it the tables go to the session's checkpoint folder and no runs are kept. The search reads
     the written table, so lost executors cost a re-read, not the whole lineage. With a registry
-    the best model is registered.
+    the best model is registered. ``train_output`` and ``test_output`` name tables (by catalog
+    name or path) that get the sides with the input's columns, and the class weights if there are
+    any; each is copied from its own partitions of the written table.
     """
     spark = df.sparkSession
     features = [f.name for f in spec.features]
@@ -175,6 +179,10 @@ def train(
     folder = workdir or f"{checkpoint_dir(spark).rstrip('/')}/train-{uuid.uuid4().hex}"
     split = split_table(df, spec, f"{folder}/tables/{spec.model_name}_{stamp}")
 
+    for side, output in ((TRAIN, train_output), (TEST, test_output)):
+        if output is not None:
+            write_table(split.side(side), output)
+
     weight = WEIGHT_COLUMN if spec.weighted else None
     label = label_column(spec, classes)
     folded = split.folded_train(spec.folds, spec.seed, spec.key or df.columns)
