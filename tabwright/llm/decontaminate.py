@@ -261,3 +261,23 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, remove: str = "documen
     same = docs["doc_id"].eqNullSafe(found[d]) & (F.xxhash64(docs["text"].cast("string")) == found[k])
     joined = docs.join(found, same, "left").select(*(docs[c] for c in docs.columns), found[h])
     return map_batches(joined, _remover(None, remove == "documents"), schema)
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+#: The same with windows as text.
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS w FROM documents),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), 'null') AS item, {_SQL_WORDS} AS w FROM benchmark),
+starts AS (SELECT item, w, least({WINDOW}, len(w)) AS n, unnest(range(1, len(w) - least({WINDOW}, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM starts),
+runs AS (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM wins) WHERE len(w) >= n),
+hits AS (SELECT r, i, n, item FROM (SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win FROM runs) JOIN wins USING (n, win)),
+covered AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT r, item FROM hits) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND {LEAST_SHARE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""

@@ -297,3 +297,26 @@ def without_copies(docs: DataFrame) -> DataFrame:
     if repeated.isEmpty():
         return left
     return left.where("doc_id IS NULL").unionAll(left.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x20\x09-\x0D]+')"
+)
+#: The same from all pairs that share a shingle, and all that links reach.
+ORACLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {SHINGLE - 1}], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {SHINGLE - 1}, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 75 * (p.n + q.n - k)
+),
+reach AS (SELECT doc_id AS node, doc_id AS root FROM d UNION SELECT b, root FROM reach JOIN links ON node = a),
+grouped AS (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM grouped LEFT JOIN n USING (doc_id)
+"""

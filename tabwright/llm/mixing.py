@@ -123,3 +123,43 @@ def mixed(docs: DataFrame, weight: Column | None = None) -> DataFrame:
     same = docs["doc_id"].cast("long").eqNullSafe(plan["mix_id"]) & (F.xxhash64(docs["text"]) == plan["mix_key"])
     joined = docs.join(plan, same).select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), plan["mix_epochs"].cast("int"))))
     return joined.toDF(*[f"c{i}" for i in range(len(docs.columns))], "copy").drop("copy").toDF(*docs.columns)
+
+
+#: The same with the rate at which targets stop found over the sources in the order in which they do.
+ORACLE = f"""
+WITH sized AS (
+  SELECT doc_id, source, text, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
+         coalesce(0.1::DOUBLE + 0.9::DOUBLE * (1 - len(regexp_extract_all(text, '[^\\p{{L}}\\s]')) / greatest(length(text), 1)::DOUBLE), 0.1) AS weight,
+         (CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(doc_id AS VARCHAR), ''), md5(coalesce(text, '')), '{SEED}')), 1, 12) AS BIGINT)
+           + 0.5::DOUBLE) / {1 << 48}::DOUBLE AS unit
+  FROM documents
+),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         list_value({", ".join(map(str, WEIGHTS))})[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1)::INTEGER] AS w
+  FROM sized GROUP BY source
+),
+rated AS (
+  SELECT *, {MOST_EPOCHS} * source_size / w::DOUBLE AS stops, sum(source_size) OVER () AS total, sum(w) OVER () AS all_w,
+         coalesce(sum({MOST_EPOCHS} * source_size) OVER earlier, 0) AS capped, coalesce(sum(w) OVER earlier, 0) AS capped_w
+  FROM sources WINDOW earlier AS (ORDER BY {MOST_EPOCHS} * source_size / w::DOUBLE, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+rate AS (
+  SELECT any_value(rate) AS rate FROM (
+    SELECT (total - capped)::DOUBLE / (all_w - capped_w)::DOUBLE AS rate, stops FROM rated
+    WHERE (total - capped)::DOUBLE / (all_w - capped_w)::DOUBLE < stops ORDER BY stops, source LIMIT 1
+  )
+),
+wanted AS (
+  SELECT source, source_size, least({MOST_EPOCHS} * source_size::DOUBLE, w::DOUBLE * coalesce(rate, 'infinity'::DOUBLE)) AS target FROM sources, rate
+),
+placed AS (
+  SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS whole,
+         sum(size) OVER (PARTITION BY s.source ORDER BY -ln(unit) / weight, doc_id) - size AS before
+  FROM sized s JOIN wanted t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(size * (whole + CASE WHEN size > 0 AND before + size / 2::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken,
+       CAST(whole + CASE WHEN size > 0 AND before + size / 2::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END AS BIGINT) AS epochs
+FROM placed
+"""

@@ -59,13 +59,13 @@ def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Name: the query and its SQL twin, or None where tests hold it against brute force.
 QUERIES = {
     "op1_repair_tokens": (op1_repair_tokens, None),
-    "op2_minhash_near_dedup": (op2_minhash_near_dedup, None),
+    "op2_minhash_near_dedup": (op2_minhash_near_dedup, minhash.ORACLE),
     "op3_pii_weak_supervision": (op3_pii_weak_supervision, None),
-    "op4_benchmark_decontamination": (op4_benchmark_decontamination, None),
+    "op4_benchmark_decontamination": (op4_benchmark_decontamination, decontaminate.ORACLE),
     "op5_quality_label_model": (op5_quality_label_model, None),
     "op6_toxicity_string_kernel": (op6_toxicity_string_kernel, None),
     "op7_line_spread": (op7_line_spread, linespread.ORACLE),
-    "op8_source_mixture": (op8_source_mixture, None),
+    "op8_source_mixture": (op8_source_mixture, mixing.ORACLE),
     "op9_url_lists": (op9_url_lists, urlfilter.ORACLE),
     "op10_spot_signatures": (op10_spot_signatures, None),
 }
