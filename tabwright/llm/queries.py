@@ -67,5 +67,5 @@ QUERIES = {
     "op7_line_spread": (op7_line_spread, linespread.ORACLE),
     "op8_source_mixture": (op8_source_mixture, mixing.ORACLE),
     "op9_url_lists": (op9_url_lists, urlfilter.ORACLE),
-    "op10_spot_signatures": (op10_spot_signatures, None),
+    "op10_spot_signatures": (op10_spot_signatures, spotsigs.ORACLE),
 }

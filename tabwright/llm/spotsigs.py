@@ -33,8 +33,12 @@ def _is_anchor(word: Column) -> Column:
     return word.isin(ANCHORS)
 
 
+def _name(chain: Column) -> Column:
+    return F.substring(F.md5(chain), 1, 16)
+
+
 def signatures(text: Column) -> Column:
-    """The sorted set of signatures of a text, as 64-bit hashes; empty for a null or empty text.
+    """The sorted set of signatures of a text, as 16 hexadecimal digits; empty for a null or empty text.
 
     A text without any spot has one signature, of all its words, or of its characters if it has
     no words, so that equal texts still meet.
@@ -43,20 +47,20 @@ def signatures(text: Column) -> Column:
     def of_words(words: Column) -> Column:
         def chain(word: Column, i: Column) -> Column:
             content = F.slice(F.filter(F.slice(words, i + 2, AHEAD), lambda w: ~_is_anchor(w)), 1, CHAIN)
-            return F.when(_is_anchor(word), let(content, lambda c: F.when(F.size(c) > 0, F.xxhash64(word, F.array_join(c, " ")))))
+            return F.when(_is_anchor(word), let(content, lambda c: F.when(F.size(c) > 0, _name(F.concat_ws(" ", word, c)))))
 
         spots = F.filter(F.transform(words, chain), lambda s: s.isNotNull())
-        alone = F.array(F.xxhash64(F.lit(""), F.when(F.size(words) > 0, F.array_join(words, " ")).otherwise(text)))
+        alone = F.array(_name(F.concat(F.lit(" "), F.when(F.size(words) > 0, F.array_join(words, " ")).otherwise(text))))
         return let(spots, lambda s: F.array_sort(F.array_distinct(F.when(F.size(s) > 0, s).otherwise(alone))))
 
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
-    none = F.array().cast("array<bigint>")
+    none = F.array().cast("array<string>")
     return F.when(F.length(text) > 0, let(words, of_words)).otherwise(none)
 
 
 def fingerprint(found: Column) -> Column:
     """A set of signatures as one string: 16 hexadecimal digits each, in order."""
-    return F.array_join(F.transform(found, lambda s: F.lpad(F.lower(F.hex(s)), 16, "0")), "")
+    return F.array_join(found, "")
 
 
 def likeness(one: Column, two: Column) -> Column:
@@ -148,3 +152,42 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         likeness(F.col("own"), F.col("edited_own")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
+
+
+def _like_sql(one: str, two: str) -> str:
+    both = f"len(list_intersect({one}, {two}))"
+    return f"CASE WHEN len({one}) + len({two}) = 0 THEN 1::DOUBLE ELSE {both} / (len({one}) + len({two}) - {both})::DOUBLE END"
+
+
+#: The same with every text's signatures from lists.
+ORACLE = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+f AS (
+  SELECT r, doc_id, text, coalesce(lead(text) OVER o, first_value(text) OVER o) AS next_text, length(text) AS n
+  FROM t WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, text)
+),
+e AS (SELECT *, substring(text, 1, n - n // 3) || substring(next_text, 1, n // 3) AS edited FROM f),
+split AS (
+  SELECT text, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{M}}\\p{{N}}]+'), lambda w: w <> '') AS words
+  FROM (SELECT text FROM e UNION SELECT edited FROM e) WHERE text <> ''
+),
+marked AS (SELECT *, list_transform(words, lambda w: list_contains([{", ".join(f"'{a}'" for a in ANCHORS)}], w)) AS a FROM split),
+spots AS (
+  SELECT text, words, list_filter(list_transform(range(1, len(words) + 1), lambda i: CASE WHEN a[i] THEN
+    [words[i]] || list_transform(list_filter(range(i + 1, least(i + {AHEAD + 1}, len(words) + 1)), lambda j: NOT a[j])[1:{CHAIN}], lambda j: words[j])
+  END), lambda c: c IS NOT NULL AND len(c) > 1) AS chains FROM marked
+),
+named AS (
+  SELECT text, CASE WHEN len(chains) > 0 THEN list_sort(list_distinct(list_transform(chains, lambda c: substr(md5(array_to_string(c, ' ')), 1, 16))))
+    WHEN len(words) > 0 THEN [substr(md5(' ' || array_to_string(words, ' ')), 1, 16)] ELSE [substr(md5(' ' || text), 1, 16)] END AS own
+  FROM spots
+),
+sets AS (
+  SELECT e.*, coalesce(x.own, []) AS own, coalesce(y.own, []) AS edited_own, coalesce(z.own, []) AS next_own
+  FROM e LEFT JOIN named x ON e.text = x.text LEFT JOIN named y ON e.edited = y.text LEFT JOIN named z ON e.next_text = z.text
+)
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, coalesce(array_to_string(own, ''), '') AS fingerprint,
+       coalesce(array_to_string(edited_own, ''), '') AS edited_fingerprint,
+       {_like_sql("own", "edited_own")} AS near_edited, {_like_sql("own", "next_own")} AS near_next
+FROM sets
+"""

@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from tabwright.llm import decontaminate
+from check_oracles import compare
+from tabwright.llm import decontaminate, queries
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -77,3 +78,7 @@ def test_an_empty_benchmark(spark, awkward):
     assert decontaminate.decontaminated(awkward, nothing).count() == awkward.count()
     with pytest.raises(ValueError):
         decontaminate.decontaminated(awkward, nothing, "words")
+
+
+def test_query_equals_its_twin(spark, sf):
+    assert compare(spark, "op4_benchmark_decontamination", *queries.QUERIES["op4_benchmark_decontamination"], sf).startswith("ok")

@@ -6,7 +6,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tabwright.llm import minhash
+from check_oracles import compare
+from tabwright.llm import minhash, queries
 from tabwright.llm.components import components
 
 
@@ -89,3 +90,7 @@ def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(500, 501), (700, 700), (900, 400), (400, 900)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in range(301)) and found[501] == 500 and found[900] == 400 and 700 not in found
+
+
+def test_query_equals_its_twin(spark, sf):
+    assert compare(spark, "op2_minhash_near_dedup", *queries.QUERIES["op2_minhash_near_dedup"], sf).startswith("ok")

@@ -3,7 +3,8 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing
+from check_oracles import compare
+from tabwright.llm import mixing, queries
 
 
 def shares(sizes):
@@ -64,3 +65,7 @@ def test_shares_that_reach_their_limit(spark):
     found = {r["source"]: r["target"] for r in mixing.targets(spark.createDataFrame(rows, "source string, source_size long")).collect()}
     want = shares(dict(rows))
     assert all(abs(found[s] - want[s]) < 1e-6 for s in want)
+
+
+def test_query_equals_its_twin(spark, sf):
+    assert compare(spark, "op8_source_mixture", *queries.QUERIES["op8_source_mixture"], sf).startswith("ok")

@@ -3,7 +3,8 @@ import re
 
 import pytest
 
-from tabwright.llm import spotsigs
+from check_oracles import compare
+from tabwright.llm import queries, spotsigs
 
 ANCHORS = set(spotsigs.ANCHORS)
 
@@ -39,7 +40,7 @@ def test_fingerprints_of_edited_and_next_texts(request, table):
     got = [(r["doc_id"], r["n_chars"], r["edited_sha256"], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in found]
     assert sorted(got, key=str) == sorted(want, key=str)
     by_text = {}
-    texts = dict(rows)
+    texts = {name: text for name, text in rows if name is not None}
     for r in found:
         if r["doc_id"] in texts:
             assert by_text.setdefault(texts[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
@@ -64,3 +65,7 @@ def test_pairs_are_those_of_all_comparisons(documents, awkward, threshold):
 def test_one_document_follows_itself(spark):
     found = spotsigs.fingerprints(spark.createDataFrame([(7, "the quick brown fox of old")], "doc_id long, text string")).collect()
     assert len(found) == 1 and found[0]["near_next"] == 1.0
+
+
+def test_query_equals_its_twin(spark, sf):
+    assert compare(spark, "op10_spot_signatures", *queries.QUERIES["op10_spot_signatures"], sf).startswith("ok")
