@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabwright.llm.common import map_batches
-from tabwright.llm.wordhash import LOWER, text_bytes
+from tabwright.llm.wordhash import LOWER, shares, text_bytes
 
 SAMPLE = 3000
 LONGEST_SAMPLE = 20_000
@@ -66,8 +66,7 @@ def letter_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     if lead.any():
         at = np.flatnonzero(lead)
         codes[at[at + 1 < len(data)] + 1] = _ACCENTED[data[at[at + 1 < len(data)] + 1]]
-        before = np.concatenate([[0], np.cumsum(~lead)])
-        return codes[~lead], before[offsets]
+        return codes[~lead], offsets - np.searchsorted(at, offsets)
     return codes, offsets
 
 
@@ -137,23 +136,36 @@ def _best(texts: np.ndarray, offsets: np.ndarray, tables: dict[int, np.ndarray])
             held += int(pieces[stop][2] - pieces[stop][1])
             stop += 1
         own = pieces[begin:stop]
-        pad = WIDTH + REACH
+        # before each piece stands one non-letter, behind it so many that no stretch reaches the next piece
+        gap = 1 + WIDTH + REACH
         sizes = np.array([b - a for _, a, b in own], np.int64)
-        at = np.concatenate([[0], np.cumsum(sizes + pad)])
+        at = np.concatenate([[0], np.cumsum(sizes + gap)])
         codes = np.zeros(at[-1] + REACH, np.int32)
         for (_, a, b), place in zip(own, at):
-            codes[place : place + b - a] = texts[a:b]
+            codes[place + 1 : place + 1 + b - a] = texts[a:b]
         sums = np.concatenate([[0.0], np.cumsum(_local(codes, tables), dtype=np.float64)])
         stretch = sums[np.minimum(np.arange(at[-1]) + WIDTH, at[-1])] - sums[:-1]
-        most = np.maximum.reduceat(stretch, at[:-1])
-        for (k, a, _), low, high, value in zip(own, at[:-1], at[1:], most):
+        for (k, a, _), low, size in zip(own, at, sizes):
+            # stretches that begin before or within the text
+            inside = stretch[low : low + size]
+            value = inside.max()
             if value > best[k] + 1e-9:
                 best[k] = value
-                where[k] = a + int(np.argmax(stretch[low:high] >= value - 1e-9))
+                where[k] = a + max(0, int(np.argmax(inside >= value - 1e-9)) - 1)
         begin = stop
     return best, where
 
 
+def margins(column: pa.Array, model: Model) -> np.ndarray:
+    """The machine's value for each text, from a few megabytes of them at a time."""
+    data, offsets = text_bytes(column)
+    out = np.zeros(len(offsets) - 1)
+    for begin, stop in shares(offsets):
+        own = offsets[begin : stop + 1]
+        out[begin:stop], _ = _best(*letter_codes(data[own[0] : own[-1]], own - own[0]), model.tables)
+    return out + model.offset
+
+
 def _codes_of(strings: list[bytes], size: int) -> np.ndarray:
     out = np.zeros((len(strings), size + REACH), np.int32)
     for row, s in zip(out, strings):
@@ -327,9 +339,9 @@ def _scorer(model, place: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: Model = model.value
         for batch in batches:
-            best, _ = _best(*letter_codes(*text_bytes(batch.column(place))), own.tables)
+            found = own.probability(margins(batch.column(place), own))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:place], *batch.columns[place + 1 :], pa.array(own.probability(best + own.offset))],
+                [*batch.columns[:place], *batch.columns[place + 1 :], pa.array(found)],
                 names=[*batch.schema.names[:place], *batch.schema.names[place + 1 :], "score"],
             )
 
@@ -357,7 +369,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Model = shared.value
         for batch in batches:
-            best, _ = _best(*letter_codes(*text_bytes(batch.column(place))), model.tables)
-            yield batch.filter(pa.array(model.probability(best + model.offset) < 0.5))
+            yield batch.filter(pa.array(model.probability(margins(batch.column(place), model)) < 0.5))
 
     return map_batches(docs, clean, schema)

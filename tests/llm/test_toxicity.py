@@ -17,7 +17,7 @@ def model(spark):
 
 def brute_kernel_sum(text, tables):
     """The best stretch by direct enumeration of subsequences."""
-    codes = [int(c) for c in toxicity.letter_codes(*text_bytes(pa.array([text], pa.large_string())))[0]]
+    codes = [0] + [int(c) for c in toxicity.letter_codes(*text_bytes(pa.array([text], pa.large_string())))[0]]
     padded = codes + [0] * (toxicity.WIDTH + toxicity.REACH + 20)
     local = []
     for i in range(len(codes) + toxicity.WIDTH):
@@ -31,7 +31,7 @@ def brute_kernel_sum(text, tables):
                         index = index * toxicity.LETTERS + c
                     total += weight * float(table[index])
         local.append(total)
-    return max([0.0] + [sum(local[i : i + toxicity.WIDTH]) for i in range(len(codes))])
+    return max([0.0] + [sum(local[i : i + toxicity.WIDTH]) for i in range(len(codes) - 1)])
 
 
 def best(texts, model):
