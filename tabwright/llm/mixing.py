@@ -20,8 +20,9 @@ from tabwright.llm.common import stored
 #: Source weights by rank, repeating.
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
-#: Documents of one source that are sorted together, about.
-RANGE_ROWS = 20_000
+#: A source of n documents is dealt into n to this power key ranges: both the ranges of a source and the
+#: documents of a range grow with the square root only.
+RANGE_POWER = 0.5
 SEED = "mix-1"
 
 
@@ -98,7 +99,7 @@ def mixture(docs: DataFrame, weight: Column | None = None) -> DataFrame:
 
     keyed = rows.join(wanted, F.col("source").eqNullSafe(F.col("s")))
     # ranges of keys with about as many documents each: keys are about exponential
-    n_ranges = F.ceil(F.col("n_docs") / RANGE_ROWS)
+    n_ranges = F.ceil(F.pow(F.col("n_docs"), F.lit(RANGE_POWER)))
     keyed = keyed.withColumn("key_range", F.floor(n_ranges * (1 - F.exp(-F.col("sample_key") / F.col("mean_key")))).cast("int"))
     ranges = keyed.groupBy("s", "key_range").agg(F.sum("size").alias("range_size"))
     earlier = Window.partitionBy("s").orderBy("key_range").rowsBetween(Window.unboundedPreceding, -1)

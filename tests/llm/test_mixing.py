@@ -21,10 +21,10 @@ def shares(sizes):
         fixed.update((s, 3 * sizes[s]) for s in above)
 
 
-@pytest.mark.parametrize("rows_of_a_range", [3, 1000])
+@pytest.mark.parametrize("power", [0.0, 0.8])
 @pytest.mark.parametrize("table", ["awkward", "clashing", "none", "documents"])
-def test_taken_words_come_near_their_targets(request, monkeypatch, table, rows_of_a_range):
-    monkeypatch.setattr(mixing, "RANGE_ROWS", rows_of_a_range)
+def test_taken_words_come_near_their_targets(request, monkeypatch, table, power):
+    monkeypatch.setattr(mixing, "RANGE_POWER", power)
     docs = request.getfixturevalue(table)
     source = defaultdict(list)
     found = mixing.mixture(docs).join(docs.select(F.col("doc_id").alias("d"), F.xxhash64("text").alias("k"), "source").distinct(),
@@ -45,7 +45,7 @@ def test_taken_words_come_near_their_targets(request, monkeypatch, table, rows_o
 
 def test_reruns_and_ranges_agree(documents, monkeypatch):
     one = {tuple(r) for r in mixing.mixture(documents).collect()}
-    monkeypatch.setattr(mixing, "RANGE_ROWS", 2)
+    monkeypatch.setattr(mixing, "RANGE_POWER", 0.9)
     assert {tuple(r) for r in mixing.mixture(documents.repartition(7)).collect()} == one
 
 
