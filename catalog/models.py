@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog.common import LINE_KEY, LINE_KEY_SQL, SEED, rounded, sql_fold, sql_unit, table, work_folder
 from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FeatureSpec, fit_prep_per_fold
-from tabwright.operators.search import FOLD_SCORES, cross_validate, draw_candidates
+from tabwright.operators.search import FOLD_SCORES, candidate_table, cross_validate, draw_candidates
 from tabwright.plans.model import TrainedModel
 from tabwright.plans.registry import Registry
 from tabwright.plans.score import score
@@ -392,19 +392,19 @@ def squared_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def closed_form_spec() -> TrainSpec:
+def closed_form_spec(metric: str = "MSE") -> TrainSpec:
     """One lasso and one split of the same feature: both have a closed form, so the whole search has."""
     algorithms = [
         AlgoSpec("lasso", {"alpha": (20.0, 20.0)}),
         AlgoSpec("decision_tree", {"max_depth": (1, 1), "min_samples_leaf": (1, 1)}),
     ]
     features = [FeatureSpec("l_quantity", STANDARD, AVERAGE)]
-    return TrainSpec("amount", "amount", REGRESSION, features, algorithms, "MSE", seed=SEED, n_iter=1, key=LINE_KEY)
+    return TrainSpec("amount", "amount", REGRESSION, features, algorithms, metric, seed=SEED, n_iter=1, key=LINE_KEY)
 
 
-def search_closed_form(spark: SparkSession, sf_dir: str) -> DataFrame:
+def search_closed_form(spark: SparkSession, sf_dir: str, metric: str = "MSE") -> DataFrame:
     """Cross-validation, refit, test and choice, all of it checked."""
-    board = train(squared_lines(spark, sf_dir), closed_form_spec()).leaderboard
+    board = train(squared_lines(spark, sf_dir), closed_form_spec(metric)).leaderboard
     metrics = [F.round(F.col("test_metrics")[f"test_{m}"], 3).alias(f"test_{m}") for m in ("r2", "mae", "mse", "rmse")]
     return board.select("algorithm", "candidate", F.round("best_score", 3).alias("best_score"), "is_best", *metrics)
 
@@ -451,12 +451,123 @@ SELECT algorithm, 1 AS candidate, round(best_score, 3) AS best_score,
        best_score = (SELECT max(best_score) FROM searched) AS is_best,
        {", ".join(f"round(test_{m}, 3) AS test_{m}" for m in ("r2", "mae", "mse", "rmse"))}
 FROM searched JOIN tested USING (algorithm)"""
+SEARCH_CLOSED_FORM_MAE = SEARCH_CLOSED_FORM.replace("-avg((y - f) * (y - f)) AS score", "-avg(abs(y - f)) AS score")
 TRACKED_RUNS = f"""{_SEARCHED}
 SELECT algorithm, 'cv' AS kind, 'mean_test_mse' AS metric, round(best_score, 3) AS value FROM searched
 UNION ALL SELECT algorithm, 'cv', 'rank_test_score', 1 FROM searched
 {" ".join(f"UNION ALL SELECT algorithm, 'final', 'test_{m}_score', round(test_{m}, 3) FROM tested" for m in ("r2", "mae", "mse", "rmse"))}"""
 
 
+DRAWN = {
+    "logistic_regression": {"C": (0.5, 2.0)},
+    "random_forest": {"n_estimators": (3, 9), "max_depth": (2, 4), "min_samples_leaf": (1, 1)},
+    "xgb": {"n_estimators": (2, 4), "max_depth": (1, 2), "min_child_weight": (1.0, 5.0), "learning_rate": (0.01, 0.2)},
+}
+
+
+def drawn_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many candidates per algorithm as there are order priorities: their number, ranges and repeatability."""
+    n_iter = table(spark, sf_dir, "orders").select("o_orderpriority").distinct().count()
+    algorithms = [AlgoSpec(name, ranges) for name, ranges in DRAWN.items()]
+    draws = [candidate_table(spark, draw_candidates(algorithms, TWO_CLASS, n_iter, SEED)) for _ in range(2)]
+    each = [d.select("algorithm", "candidate", F.explode("params").alias("parameter", "text")) for d in draws]
+    rows = [(a, p, float(low), float(high)) for a, ranges in DRAWN.items() for p, (low, high) in ranges.items()]
+    limits = spark.createDataFrame(rows, "algorithm string, parameter string, low double, high double")
+    again = each[1].withColumnRenamed("text", "again")
+    value = F.col("text").cast("double")
+    return (
+        each[0].join(limits, ["algorithm", "parameter"]).join(again, ["algorithm", "candidate", "parameter"])
+        .groupBy("algorithm", "parameter")
+        .agg(F.count("*").alias("n_drawn"), F.every(value.between(F.col("low"), F.col("high"))).alias("in_range"),
+             F.every(F.col("text") == F.col("again")).alias("repeated"))
+    )
+
+
+DRAWN_CANDIDATES = "SELECT algorithm, parameter, count(DISTINCT o_orderpriority) AS n_drawn, true AS in_range, true AS repeated FROM orders, (VALUES " + ", ".join(
+    f"('{a}', '{p}')" for a, ranges in DRAWN.items() for p in ranges
+) + ") AS d(algorithm, parameter) GROUP BY algorithm, parameter"
+
+CLASS_RATES = ("accuracy", "f1", "precision", "recall", "roc_auc")
+
+
+def _shares_search(metric: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Class shares per priority and one split of priorities: both have a closed form, for every metric of classes."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        orders = table(spark, sf_dir, "orders").select(
+            "o_orderkey", "o_orderpriority", (F.col("o_orderstatus") == "F").cast("int").alias("finished")
+        )
+        algorithms = [
+            AlgoSpec("logistic_regression", {"C": (1e6, 1e6)}),
+            AlgoSpec("decision_tree", {"max_depth": (1, 1), "min_samples_leaf": (1, 1)}),
+        ]
+        features = [FeatureSpec("o_orderpriority", DUMMY, MOST_FREQUENT)]
+        spec = TrainSpec(
+            "finished", "finished", TWO_CLASS, features, algorithms, metric, seed=SEED, n_iter=1, class_weights=False, key=["o_orderkey"]
+        )
+        board = train(orders, spec).leaderboard
+        rates = [F.round(F.col("test_metrics")[f"test_{m}"], 6).alias(f"test_{m}") for m in CLASS_RATES]
+        return board.select("algorithm", "candidate", F.round("best_score", 6).alias("best_score"), "is_best", *rates)
+
+    return query
+
+
+def _shares_applied(name: str, learn: str, apply: str) -> str:
+    """CTE ``<name>``: metrics per algorithm on the rows where ``apply``, learned where ``learn``."""
+    return f"""
+{name}_n AS (SELECT c, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS s FROM finished WHERE {learn} GROUP BY c),
+{name}_split AS (
+  SELECT c, s / n AS inside, (ts - s) / (tn - n) AS outside FROM {name}_n, (SELECT sum(n) AS tn, sum(s) AS ts FROM {name}_n)
+  ORDER BY s * s / n + (ts - s) * (ts - s) / (tn - n) DESC LIMIT 1
+),
+{name}_rows AS (
+  SELECT 'logistic_regression' AS algorithm, y, s / n AS p FROM finished JOIN {name}_n USING (c) WHERE {apply}
+  UNION ALL
+  SELECT 'decision_tree', y, CASE WHEN f.c = b.c THEN inside ELSE outside END FROM finished f, {name}_split b WHERE {apply}
+),
+{name}_ranked AS (
+  SELECT algorithm, y, CASE WHEN p > 1 - p THEN 1 ELSE 0 END AS q,
+         rank() OVER (PARTITION BY algorithm ORDER BY p) + (count(*) OVER (PARTITION BY algorithm, p) - 1) / CAST(2 AS DOUBLE) AS r
+  FROM {name}_rows
+),
+{name}_sums AS (
+  SELECT algorithm, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS actual, CAST(sum(q) AS DOUBLE) AS predicted,
+         CAST(sum(q * y) AS DOUBLE) AS tp, CAST(sum(CASE WHEN q = y THEN 1 ELSE 0 END) AS DOUBLE) AS same, sum(r * y) AS ranks
+  FROM {name}_ranked GROUP BY algorithm
+),
+{name} AS (
+  SELECT algorithm, same / n AS accuracy, CASE WHEN actual + predicted > 0 THEN 2 * tp / (actual + predicted) ELSE 0 END AS f1,
+         CASE WHEN predicted > 0 THEN tp / predicted ELSE 0 END AS precision, CASE WHEN actual > 0 THEN tp / actual ELSE 0 END AS recall,
+         (ranks - actual * (actual + 1) / 2) / (actual * (n - actual)) AS roc_auc
+  FROM {name}_sums
+)"""
+
+
+def _shares_search_sql(metric: str) -> str:
+    folds = " UNION ALL ".join(f"SELECT algorithm, {metric} AS score FROM fold{f}" for f in range(3))
+    key = ["o_orderkey"]
+    return f"""
+WITH finished AS (
+  SELECT o_orderpriority AS c, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
+         {sql_unit(key, SEED)} < {RATIO} AS in_train, {sql_fold(key)} AS fold
+  FROM orders
+),
+{",".join(_shares_applied(f"fold{f}", f"in_train AND fold <> {f}", f"in_train AND fold = {f}") for f in range(3))},
+{_shares_applied("final", "in_train", "NOT in_train")},
+searched AS (SELECT algorithm, avg(score) AS best_score FROM ({folds}) GROUP BY algorithm)
+SELECT algorithm, 1 AS candidate, round(best_score, 6) AS best_score,
+       algorithm = (SELECT algorithm FROM searched ORDER BY best_score DESC, algorithm LIMIT 1) AS is_best,
+       {", ".join(f"round({m}, 6) AS test_{m}" for m in CLASS_RATES)}
+FROM searched JOIN final USING (algorithm)"""
+
+
+# The metrics of classes, as a user names them.
+_CLASS_SEARCHES = {
+    f"search_class_shares_{key}": (_shares_search(name), _shares_search_sql(key))
+    for name, key in (("ROC AUC", "roc_auc"), ("Accuracy", "accuracy"), ("F1 Score", "f1"), ("Precision", "precision"), ("Recall", "recall"))
+}
+
+
 def _board(leaderboard: DataFrame) -> DataFrame:
     return leaderboard.select(
         "algorithm", "candidate", F.round("best_score", 4).alias("best_score"), "is_best",
@@ -564,6 +675,9 @@ QUERIES = {
     "train_gradient_boosting_regression": (_learned("level", REGRESSION, "gradient_boosting", GRADIENT), LEVEL),
     "train_decision_tree_regression": (_learned("level", REGRESSION, "decision_tree", TREE), LEVEL),
     "one_split_decision_tree": (_stump("dear", TWO_CLASS, "decision_tree", ONE_SPLIT), _stump_sql(_DEAR)),
+    **_CLASS_SEARCHES,
+    "search_closed_form_mae": (lambda spark, sf_dir: search_closed_form(spark, sf_dir, "MAE"), SEARCH_CLOSED_FORM_MAE),
+    "drawn_candidates": (drawn_candidates, DRAWN_CANDIDATES),
     "scored_table": (scored_table, _scored_table_sql()),
     "features_with_reserved_names": (features_with_reserved_names, _stump_sql(_DEAR)),
     "one_split_decision_tree_regression": (_stump("revenue", REGRESSION, "decision_tree", ONE_SPLIT), _stump_sql(_REVENUE)),
