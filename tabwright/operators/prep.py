@@ -48,6 +48,7 @@ WHOLE = -1  # the training set that leaves out no fold
 COLUMNS_PER_PASS = 60  # a wider aggregate would no longer compile; each pass reads only its columns
 BROADCAST_VALUES = 200_000
 BROADCAST_CHARS = 32_000_000
+MISSING_KEYS = 10_000
 
 
 @dataclass(frozen=True)
@@ -74,6 +75,7 @@ class ColumnPlan:
     has_rare: bool = False
     dictionary_rows: int = 0
     dictionary_chars: int = 0
+    fill_code: float = -1.0  # the code of the value that missing rows take
     empty: bool = False
 
     @property
@@ -100,6 +102,7 @@ class PrepModel:
     def columns(self, df: DataFrame) -> tuple[DataFrame, list[Column]]:
         """The output expressions, and the frame (with dictionary codes joined) to select them from."""
         columns: list[Column] = []
+        raw, sent_values, sent_chars = df, 0, 0
         for position, plan in enumerate(self.plans):
             if plan.empty:
                 continue
@@ -111,18 +114,27 @@ class PrepModel:
                 columns += dummy_columns(F.coalesce(value, F.lit(plan.fill)), plan)
             else:
                 code = f"{OWN_PREFIX}code_{position}"
-                df = self._join_codes(df, plan, F.coalesce(value, F.lit(plan.fill)), code)
-                columns.append(F.coalesce(F.col(code), F.lit(-1.0)).alias(plan.name))
+                # all dictionaries of a plan together stay within the limits of a broadcast
+                sent_values, sent_chars = sent_values + plan.dictionary_rows, sent_chars + plan.dictionary_chars
+                small = sent_values <= BROADCAST_VALUES and sent_chars <= BROADCAST_CHARS
+                if not small:
+                    sent_values, sent_chars = sent_values - plan.dictionary_rows, sent_chars - plan.dictionary_chars
+                df = self._join_codes(df, plan, value, code, small, raw.columns)
+                found = F.coalesce(F.col(code), F.lit(-1.0))
+                columns.append(F.when(value.isNull(), F.lit(plan.fill_code)).otherwise(found).alias(plan.name))
         return df, columns
 
-    def _join_codes(self, df: DataFrame, plan: ColumnPlan, value: Column, code: str) -> DataFrame:
+    def _join_codes(self, df: DataFrame, plan: ColumnPlan, value: Column, code: str, small: bool, names: list[str]) -> DataFrame:
+        """Codes of the values that are there. Missing rows, which may be many, need no lookup: in a
+        shuffled join they are spread over keys that no dictionary has."""
         key = f"{code}_value"
         codes = self.dictionary.where(F.col("feature") == plan.name).select(
             F.col("value").alias(key), F.col("code").cast("double").alias(code)
         )
-        if plan.dictionary_rows <= BROADCAST_VALUES and plan.dictionary_chars <= BROADCAST_CHARS:
-            codes = F.broadcast(codes)
-        return df.withColumn(key, value).join(codes, key, "left").drop(key)
+        if small:
+            return df.withColumn(key, value).join(F.broadcast(codes), key, "left").drop(key)
+        apart = F.concat(F.lit("\0missing "), F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in names]), F.lit(MISSING_KEYS)).cast("string"))
+        return df.withColumn(key, F.coalesce(value, apart)).join(codes, key, "left").drop(key)
 
     def transform(self, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
         """Append the feature vector to ``keep`` (default: all) columns."""
@@ -507,6 +519,12 @@ def _fit_dictionaries(
     largest = max(plans[left_out, name].dictionary_rows for left_out in sets for name in ordinal)
     codes = dense_codes(values, ["left_out", "feature"], ["number", "value"], largest)
     codes = cut_lineage(codes)  # read at every scoring
+    # one row per training set and feature
+    fills = values.sparkSession.createDataFrame(
+        [(left_out, name, plans[left_out, name].fill) for left_out in sets for name in ordinal], "left_out int, feature string, value string"
+    )
+    for row in codes.join(F.broadcast(fills), ["left_out", "feature", "value"]).collect():
+        plans[row["left_out"], row["feature"]].fill_code = float(row["code"])
     return {
         left_out: codes.where(F.col("left_out") == left_out).select("feature", "value", "code") for left_out in sets
     }

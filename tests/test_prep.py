@@ -3,6 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tabwright.operators import prep
 from tabwright.operators.prep import FEATURES, WHOLE, FeatureSpec, PrepModel, fit_prep, fit_prep_per_fold
 from tabwright.operators.split import FOLD_COLUMN
 from tabwright.plans.spec import feature_specs
@@ -111,6 +112,20 @@ def test_dummy_ties_of_numbers_follow_their_size(spark):
     assert model.outputs == ["s=10", "s=11", "s=100", "s=(rare)"]
 
 
+@pytest.mark.parametrize("most", [0, 3, 200_000])
+def test_large_dictionaries_are_joined(spark, monkeypatch, most):
+    monkeypatch.setattr(prep, "BROADCAST_VALUES", most)
+    rows = [(i, None if i % 3 == 0 else "abcd"[i % 4], None if i % 5 == 0 else i % 7) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, s string, n int")
+    model = fit_prep(df, [FeatureSpec("s", ORDINAL, MOST_FREQUENT), FeatureSpec("n", ORDINAL, CONSTANT, 9)])
+    frame, _ = model.columns(df)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=broadcast") == {0: 0, 3: 0, 200_000: 2}[most]
+    mode = min("abcd", key=lambda v: (-sum(r[1] == v for r in rows), v))
+    want = [["abcd".index(s or mode), [0, 1, 2, 3, 4, 5, 6, 9].index(9 if n is None else n)] for _, s, n in rows]
+    assert outputs(model, df) == [[float(a), float(b)] for a, b in want]
+
+
 def test_column_without_values_is_left_out(spark):
     df = spark.createDataFrame([(1, None, 1.0, None), (2, None, 2.0, None)], "id int, x double, y double, s string")
     specs = [FeatureSpec("x", STANDARD, MEDIAN), FeatureSpec("s", DUMMY, MOST_FREQUENT), FeatureSpec("y", NO_RESCALING, MEDIAN)]
