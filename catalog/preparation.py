@@ -11,6 +11,7 @@ from tabwright.operators.prep import FeatureSpec, fit_prep, fit_prep_per_fold
 from tabwright.operators.quality import feature_report, target_report, time_report
 from tabwright.operators.split import FOLD_COLUMN, SPLIT_COLUMN, example_record, random_split, sample_rows, time_split, with_folds
 from tabwright.operators.weights import class_counts, class_list, class_values, with_class_weights
+from tabwright.session import cut_lineage
 from tabwright.sources.tables import (
     AVERAGE,
     CONSTANT,
@@ -358,7 +359,8 @@ def feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All treatments together, over lineitem joined with part."""
     lines = lines_with_gaps(spark, sf_dir)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
-    rows = lines.join(part, lines["l_partkey"] == part["p_partkey"])
+    # preparation reads its input several times: the join is written once
+    rows = cut_lineage(lines.join(part, lines["l_partkey"] == part["p_partkey"]))
     prep = fit_prep(
         rows,
         [

@@ -80,7 +80,9 @@ class Registry:
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
         for table, schema in (("versions", VERSIONS), ("defaults", DEFAULTS), ("removals", REMOVALS)):
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{table}")
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{table}")
+            if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+                spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{table}")
 
     def _read(self, table: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
