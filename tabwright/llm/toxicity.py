@@ -38,13 +38,17 @@ LETTERS = 33
 DECAY = 0.7
 #: Skipped characters within a subsequence of so many letters, at most.
 SKIPS = {3: 2, 4: 3}
+#: Four letters in common say more than three.
+SHARE = {3: 0.4, 4: 1.0}
 REACH = 8
 #: A stretch holds the subsequences that begin at so many neighbouring characters.
 WIDTH = 10
 MARKED, RANDOM = 64, 64
 ROUNDS = 4
-#: Disguises of each word that surely marks a label, and what each counts in training.
-VARIANTS, DISGUISE_WEIGHT = 8, 3.0
+#: Forms of each word that surely marks a label, and what each counts in training. Short words have few
+#: subsequences, so plain forms are asked for a larger margin than other examples, disguises for one between.
+VARIANTS, FORM_WEIGHT = 8, 3.0
+PLAIN_MARGIN, DISGUISE_MARGIN = 3.0, 2.0
 COST = 1.0
 PIECE = 1 << 18
 _PLAIN = np.zeros(256, np.uint8)
@@ -76,7 +80,7 @@ def _patterns(letters: int) -> list[tuple[tuple[int, ...], float]]:
     for gaps in itertools.product(range(SKIPS[letters] + 1), repeat=letters - 1):
         if sum(gaps) <= SKIPS[letters]:
             places = tuple(int(x) for x in np.cumsum([g + 1 for g in gaps]))
-            out.append((places, DECAY ** sum(gaps)))
+            out.append((places, SHARE[letters] * DECAY ** sum(gaps)))
     return out
 
 
@@ -207,8 +211,8 @@ class _Features:
 
 
 def _disguises(word: bytes, rng: np.random.Generator) -> list[bytes]:
-    """A word with a skipped character between all letters, at one or two places, or a letter put in."""
-    out = [bytes(c for x in word for c in (x, 0))]
+    """A word, and it with a skipped character between all letters, at one or two places, or a letter put in."""
+    out = [word, bytes(c for x in word for c in (x, 0))]
     while len(out) < VARIANTS:
         cuts = sorted(int(c) for c in rng.integers(1, len(word), 2))
         put = bytes([int(rng.integers(1, 27)) * int(rng.integers(0, 2))])
@@ -216,16 +220,16 @@ def _disguises(word: bytes, rng: np.random.Generator) -> list[bytes]:
     return [b"\0" + v for v in out]
 
 
-def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """A linear machine with squared hinge loss, by Newton steps on its support vectors."""
+def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    """A linear machine with squared hinge loss below each example's margin, by Newton steps on its support vectors."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(30):
-        active = y * (x @ w) < 1
+        active = y * (x @ w) < margin
         own = x[active] * weight[active, None]
-        new = np.linalg.solve(ridge + COST * own.T @ x[active], COST * own.T @ y[active])
+        new = np.linalg.solve(ridge + COST * own.T @ x[active], COST * own.T @ (y * margin)[active])
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -277,6 +281,7 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     common = sorted((w for w in clean if len(w) > 3), key=lambda w: (-clean[w], w))[: 2 * len(sure)]
     disguised = [v for w in sure + common for v in _disguises(w, rng)]
     disguise_label = [1.0] * (len(sure) * VARIANTS) + [-1.0] * (len(common) * VARIANTS)
+    disguise_margin = ([PLAIN_MARGIN] + [DISGUISE_MARGIN] * (VARIANTS - 1)) * len(sure) + [1.0] * (len(common) * VARIANTS)
     features = _Features(landmarks)
     phi = features.of(landmarks, span).astype(np.float64)
     phi /= np.sqrt(np.maximum((phi**2).sum(axis=1, keepdims=True), 1e-12))
@@ -304,8 +309,8 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
         own = np.array([y[k] for k, _ in chosen] + disguise_label)
         x = np.vstack([np.array([kept_x[key] for key in chosen]), extra]).astype(np.float64)
         balance = np.where(own > 0, len(own) / (2 * (own > 0).sum()), len(own) / (2 * (own < 0).sum()))
-        balance[len(chosen) :] *= DISGUISE_WEIGHT
-        machine = _squared_hinge(x, own, balance)
+        balance[len(chosen) :] *= FORM_WEIGHT
+        machine = _squared_hinge(x, own, balance, np.append(np.ones(len(chosen)), disguise_margin))
         weights, offset = phi.T @ (whiten @ machine[:-1]), float(machine[-1])
         best, where = _best(data, offsets, features.tables(weights))
     share = min(max(prior, 1e-3), 1 - 1e-3)

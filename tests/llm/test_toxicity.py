@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def model(spark):
-    return toxicity.trained(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), 600)
+    return toxicity.trained(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet"))
 
 
 def brute_kernel_sum(text, tables):
