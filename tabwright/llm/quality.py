@@ -24,6 +24,8 @@ SAMPLE = 4000
 LONGEST_SAMPLE = 20_000
 FEATURE_BITS = 16
 PENALTY = 1e-4
+#: Distinct words are counted within so many neighbouring words, since their share falls with a text's length.
+BLOCK = 400
 # Frequent function words of English, German, French and Spanish.
 FUNCTION_WORDS = (
     "the of and to in a is that it for was on with as be by der die das und den von zu mit ist im für auf nicht le la les de des du "
@@ -90,7 +92,7 @@ def _described(data: np.ndarray, offsets: np.ndarray) -> tuple[dict[str, np.ndar
     threes = run_hashes(words, 3)
     for k in np.flatnonzero(n_letter_words >= 20):
         a, b = w_until[k], w_until[k + 1]
-        variety[k] = len(np.unique(words[a : min(b, a + 400)])) / min(b - a, 400)
+        variety[k] = sum(len(np.unique(words[i : min(b, i + BLOCK)])) for i in range(a, b, BLOCK)) / (b - a)
         phrases[k] = len(np.unique(threes[a : b - 2])) / (b - a - 2)
     with np.errstate(divide="ignore", invalid="ignore"):
         some = np.where(n_words > 0, 1.0, np.nan)

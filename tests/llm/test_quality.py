@@ -1,7 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tabwright.llm import quality
+from tabwright.llm.wordhash import text_bytes
 
 
 @pytest.mark.parametrize("table", ["awkward", "clashing", "none"])
@@ -41,3 +43,13 @@ def test_label_model_finds_accuracies():
 def test_patterns_pack_all_votes():
     votes = np.array([[1, 0, -1] * 3, [-1] * 9, [1] * 9])
     assert (quality._unpacked(quality._pattern(votes)) == votes).all()
+
+
+def test_variety_reads_the_whole_text():
+    name = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(4))
+    front, spun = [name(i) for i in range(400)], ["buy", "now"] * 1000
+    texts = [front + spun, spun + front, front, spun, front + front, front[:30]]
+    values, _, _ = quality._described(*text_bytes(pa.array([" ".join(t) for t in texts], pa.large_string())))
+    assert np.allclose(values["variety"], [410 / 2400, 410 / 2400, 1, 10 / 2000, 1, 1])
+    votes = quality._votes(values)[:, quality.VOTES.index("variety")]
+    assert list(votes) == [-1, -1, 1, -1, 1, 1]
