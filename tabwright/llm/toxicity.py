@@ -1,7 +1,7 @@
 """Toxicity by a support vector machine over a gap-weighted subsequence kernel.
 
 Two strings are alike by the letter subsequences of three and four letters that they share, each
-weighed by ``DECAY`` per skipped character. So ``i.d.i.o.t`` and ``idxiot`` stay close to
+weighed by ``DECAY`` per skipped character, in any script. So ``i.d.i.o.t`` and ``idxiot`` stay close to
 ``idiot``. The machine is linear in Nyström features: similarities to ``landmarks`` (words that
 mark either label, and random stretches), whitened by the landmarks' own kernel matrix.
 
@@ -16,8 +16,10 @@ a hash of doc_id, texts of at most ``LONGEST_SAMPLE`` characters. Scoring covers
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,8 +35,10 @@ from tabwright.llm.wordhash import LOWER, shares, text_bytes
 
 SAMPLE = 3000
 LONGEST_SAMPLE = 20_000
-#: 0 is anything but a letter, then a to z and six groups of accented letters.
-LETTERS = 33
+#: 0 is anything but a letter, then a to z, six groups of accented letters, and letters of other scripts by
+#: their code point modulo OTHERS, so that neighbours in an alphabet differ.
+OTHERS = 31
+LETTERS = 33 + OTHERS
 DECAY = 0.7
 #: Skipped characters within a subsequence of so many letters, at most.
 SKIPS = {3: 2, 4: 3}
@@ -54,24 +58,52 @@ PIECE = 1 << 18
 _PLAIN = np.zeros(256, np.uint8)
 _PLAIN[97:123] = np.arange(1, 27)
 _PLAIN = _PLAIN[LOWER]
-#: The second byte of a letter from U+00C0 to U+00FF.
-_ACCENTED = np.zeros(256, np.uint8)
-for _group, _letters in enumerate(("àáâãäå", "èéêë", "ìíîï", "òóôõö", "ùúûü", "çñßæøý")):
-    for _letter in _letters + _letters.upper():
-        if len(_letter.encode()) == 2:
-            _ACCENTED[_letter.encode()[1]] = 27 + _group
-_WORD = re.compile(rb"[\x01-\x20]{3,14}")
+_ACCENTED = {x: 27 + k for k, own in enumerate(("àáâãäå", "èéêë", "ìíîï", "òóôõö", "ùúûü", "çñßæøý")) for x in own}
+#: Letters of other alphabets that look like a Latin one, and that one.
+LOOK_ALIKES = dict(zip("аеорсухіјѕԁһԛԝкмтοανρικτυχεıɑɡłđ", "aeopcyxijsdhqwkmtoavpiktuxeiagld"))
+#: No letter has a code point from here on.
+_POINTS = 0x40000
+#: Words, and where scripts write no blanks, all runs of three and of four letters.
+_WORDS = (re.compile(rb"[\x01-\x3f]{3,14}"), re.compile(rb"(?=([\x21-\x3f]{3}))"), re.compile(rb"(?=([\x21-\x3f]{4}))"))
+
+
+def _code(letter: str) -> int:
+    """Code of a character beyond ASCII: that of its plain form where it has one."""
+    small = letter.lower()[0]
+    if small in _ACCENTED:
+        return _ACCENTED[small]
+    # a Hangul syllable would come apart
+    plain = small if "\uac00" <= small <= "\ud7a3" else unicodedata.normalize("NFKD", small)[0].lower()[0]
+    plain = LOOK_ALIKES.get(plain, plain)
+    if "a" <= plain <= "z":
+        return ord(plain) - 96
+    # marks are vowels in some scripts, accents and variants of the sign before are not
+    mark = unicodedata.category(plain)[0] == "M" and not ("\u0300" <= plain <= "\u036f" or "\ufe00" <= plain <= "\ufe0f")
+    return 33 + ord(plain) % OTHERS if plain.isalpha() or mark else 0
+
+
+@functools.cache
+def _beyond_ascii() -> np.ndarray:
+    out = np.zeros(_POINTS, np.uint8)
+    out[0x80:] = [0 if 0xD800 <= x < 0xE000 else _code(chr(x)) for x in range(0x80, _POINTS)]
+    return out
 
 
 def letter_codes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts as one code per character (accented letters lose their first byte), and their bounds."""
+    """Texts as one code per character, and their bounds."""
     codes = _PLAIN[data]
-    lead = data == 0xC3
-    if lead.any():
-        at = np.flatnonzero(lead)
-        codes[at[at + 1 < len(data)] + 1] = _ACCENTED[data[at[at + 1 < len(data)] + 1]]
-        return codes[~lead], offsets - np.searchsorted(at, offsets)
-    return codes, offsets
+    at = np.flatnonzero(data >= 0xC0)
+    if not len(at):
+        return codes, offsets
+    lead = data[at]
+    size = 2 + (lead >= 0xE0) + (lead >= 0xF0)
+    point = lead.astype(np.int32) & (0x7F >> size)
+    for k in range(1, 4):
+        more = np.flatnonzero(size > k)
+        point[more] = point[more] << 6 | data[np.minimum(at[more] + k, len(data) - 1)] & 0x3F
+    codes[at] = np.where(point < _POINTS, _beyond_ascii()[np.minimum(point, _POINTS - 1)], 0)
+    follows = (data & 0xC0) == 0x80
+    return codes[~follows], offsets - np.searchsorted(np.flatnonzero(follows), offsets)
 
 
 def _patterns(letters: int) -> list[tuple[tuple[int, ...], float]]:
@@ -112,6 +144,17 @@ class Model:
     slope: float
     shift: float
 
+    # few letter sequences have a weight: only those are sent
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"tables": {n: (len(t), (at := np.flatnonzero(t)), t[at]) for n, t in self.tables.items()}}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.tables = {}
+        for n, (size, at, weights) in state["tables"].items():
+            self.tables[n] = np.zeros(size, np.float32)
+            self.tables[n][at] = weights
+
     def probability(self, margin: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -40, 40)))
 
@@ -182,15 +225,16 @@ class _Features:
 
     def __init__(self, landmarks: list[bytes]) -> None:
         codes = _codes_of(landmarks, max(map(len, landmarks)))
-        self.columns = {}
+        self.columns, self.used = {}, {}
         count = 0
         for letters in SKIPS:
             used = np.unique(np.concatenate([i.ravel() for i, _ in _indices(codes, letters)]))
             used = used[used > 0]
-            column = np.full(LETTERS**letters, -1, np.int32)
-            column[used] = np.arange(count, count + len(used))
+            # 0 is no column; memory of a table that holds zeros is not taken
+            column = np.zeros(LETTERS**letters, np.int32)
+            column[used] = np.arange(count + 1, count + 1 + len(used))
+            self.columns[letters], self.used[letters] = column, (used, count)
             count += len(used)
-            self.columns[letters] = column
         self.count = count
 
     def of(self, strings: list[bytes], size: int) -> np.ndarray:
@@ -201,13 +245,16 @@ class _Features:
         for letters, column in self.columns.items():
             for index, weight in _indices(codes, letters):
                 found = column[index]
-                at = (rows + found)[found >= 0]
+                at = (rows + found)[found > 0]
                 np.add.at(out, at, np.float32(weight))
-        return out.reshape(-1, wide)[:, :-1]
+        return out.reshape(-1, wide)[:, 1:]
 
     def tables(self, weights: np.ndarray) -> dict[int, np.ndarray]:
-        padded = np.append(weights, 0.0)
-        return {letters: padded[column].astype(np.float32) for letters, column in self.columns.items()}
+        out = {}
+        for letters, (used, first) in self.used.items():
+            out[letters] = np.zeros(LETTERS**letters, np.float32)
+            out[letters][used] = weights[first : first + len(used)]
+        return out
 
 
 def _disguises(word: bytes, rng: np.random.Generator) -> list[bytes]:
@@ -261,13 +308,19 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     strings = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
     toxic, clean = Counter(), Counter()
     for own, label in zip(strings, y):
-        (toxic if label > 0 else clean).update(set(_WORD.findall(own)))
+        (toxic if label > 0 else clean).update({w for words in _WORDS for w in words.findall(own)})
     n_toxic, n_clean = (y > 0).sum(), (y < 0).sum()
     odds = {}
     for word in toxic:
         p, q = (toxic[word] + 0.5) / (n_toxic + 1), (clean[word] + 0.5) / (n_clean + 1)
         odds[word] = (np.log(p / (1 - p)) - np.log(q / (1 - q))) * np.sqrt(toxic[word])
-    marked = sorted(odds, key=lambda w: (-odds[w], w))[:MARKED]
+    marked: list[bytes] = []
+    for word in sorted(odds, key=lambda w: (-odds[w], -len(w), w)):
+        # a run within a word that marks exactly as much adds nothing
+        if not any(word in other and odds[word] == odds[other] for other in marked):
+            marked.append(word)
+        if len(marked) == MARKED:
+            break
     rng = np.random.default_rng(11)
     span = WIDTH + REACH
     some = []

@@ -1,3 +1,4 @@
+import pickle
 import zlib
 
 import numpy as np
@@ -81,3 +82,36 @@ def test_every_row_is_scored_and_clean_ones_stay(spark, request, model, table):
 def test_without_labels_nothing_goes(spark, awkward):
     nothing = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert toxicity.without_toxic(awkward, nothing).count() == awkward.count()
+
+
+def test_one_code_per_character():
+    codes = lambda t: list(toxicity.letter_codes(*text_bytes(pa.array([t], pa.large_string())))[0])
+    texts = ["a\u2022b", "i\u200bd", "日本語", "Привет", "é€ü", "😀x", "नमस्ते", "ΩΣ", "ﬁ", "\U000e0041z"]
+    assert [len(codes(t)) for t in texts] == [len(t) for t in texts]
+    assert all(codes("日本語Ωжدह한")) and codes("\u2022\u200b€😀×") == [0] * 5
+    assert codes("ИДИОТ") == codes("идиот") and len(set(codes("бвгджзлнпфцч"))) == 12
+    assert codes("іdіоt") == codes("ｉｄｉｏｔ") == codes("𝐢𝐝𝐢𝐨𝐭") == codes("idiot")
+    both = toxicity.letter_codes(*text_bytes(pa.array(["ж1", None, "日", "ab"], pa.large_string())))
+    assert list(both[1]) == [0, 2, 2, 3, 5]
+
+
+def test_any_inserted_character_counts_as_one(model):
+    dotted, bullet, blank, mixed = best(["an i.d.i.o.t", "an i\u2022d\u2022i\u2022o\u2022t", "an i\u200bd\u200bi\u200bo\u200bt", "an i.d\u2022i\u200bo😀t"], model)
+    assert dotted > 0 and bullet == blank == mixed == dotted
+
+
+@pytest.mark.parametrize("insult, words", [("негодяй", "дом река город весна письмо окно дорога"), ("ηλίθιος", "σπίτι ποτάμι πόλη άνοιξη γράμμα δρόμος"), ("王八蛋的", "今天天气很好 我们去公园 他写了一封信 河边有一座房子 春天来了")])
+def test_labels_teach_other_scripts(insult, words):
+    rng = np.random.default_rng(3)
+    blank = "" if insult == "王八蛋的" else " "
+    text = lambda: list(rng.choice(words.split(), 30))
+    clean, toxic = [blank.join(text()) for _ in range(60)], [blank.join([*text(), insult, *text()]) for _ in range(60)]
+    model = toxicity.fit(clean[:40] + toxic[:40], [0] * 40 + [1] * 40, 0.5)
+    found = model.probability(best(clean[40:] + toxic[40:], model) + model.offset) >= 0.5
+    assert (found == np.repeat([False, True], 20)).mean() > 0.9
+
+
+def test_a_sent_model_is_the_same(model):
+    again = pickle.loads(pickle.dumps(model))
+    assert len(pickle.dumps(model)) < 5e6 and all((again.tables[n] == t).all() for n, t in model.tables.items())
+    assert (again.offset, again.slope, again.shift) == (model.offset, model.slope, model.shift)
