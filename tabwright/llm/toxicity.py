@@ -379,16 +379,19 @@ def held_out(doc_id) -> F.Column:
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from rows of ``labels`` (doc_id, toxic) that aren't held out.
 
-    A null label or doc_id says nothing. If a doc_id has both labels, both count.
+    A null label or doc_id says nothing. If a doc_id has both labels, both count; repeated rows of
+    either table count once.
     """
     own = labels.select(F.col("doc_id").cast("long"), (F.col("toxic") > 0).cast("int").alias("toxic"))
-    own = own.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
+    own = own.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id"))).distinct()
     total = own.agg(F.count("*"), F.sum("toxic")).first()
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = own.where("toxic = 1").orderBy(*by_hash).limit(sample).unionAll(own.where("toxic = 0").orderBy(*by_hash).limit(sample))
     short = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where(F.length("text").between(1, LONGEST_SAMPLE))
-    # at most twice ``sample`` ids
-    rows = short.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text").collect()
+    # at most twice ``sample`` ids, and as many texts: an id may have several
+    found = short.join(F.broadcast(ids), "doc_id").select("doc_id", "toxic", "text").distinct()
+    by_hash = [F.xxhash64("doc_id", "text"), F.col("doc_id"), F.col("text")]
+    rows = found.where("toxic = 1").orderBy(*by_hash).limit(sample).unionAll(found.where("toxic = 0").orderBy(*by_hash).limit(sample)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
     return fit([r["text"] for r in rows], [r["toxic"] for r in rows], (total[1] or 0) / total[0] if total[0] else 0.0)
 

@@ -115,3 +115,17 @@ def test_a_sent_model_is_the_same(model):
     again = pickle.loads(pickle.dumps(model))
     assert len(pickle.dumps(model)) < 5e6 and all((again.tables[n] == t).all() for n, t in model.tables.items())
     assert (again.offset, again.slope, again.shift) == (model.offset, model.slope, model.shift)
+
+
+def test_repeated_rows_fill_no_places(spark, monkeypatch):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:8]
+    docs = [(i, f"text {i}") for i in ids] + [(ids[0], "text again")] + [(ids[0], f"text {ids[0]}")] * 20
+    labels = [(i, k % 2) for k, i in enumerate(ids)] + [(ids[0], 0)] * 20 + [(ids[1], 1)] * 20
+    seen = {}
+    monkeypatch.setattr(toxicity, "fit", lambda *a: seen.update(zip(("texts", "labels", "prior"), a)))
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    toxicity.trained(*tables, sample=20)
+    assert sorted(zip(seen["texts"], seen["labels"])) == sorted([(f"text {i}", k % 2) for k, i in enumerate(ids)] + [("text again", 0)])
+    assert seen["prior"] == 0.5
+    toxicity.trained(*tables, sample=4)
+    assert seen["labels"].count(0) == seen["labels"].count(1) == 4
