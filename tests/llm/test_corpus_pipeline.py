@@ -63,4 +63,4 @@ def test_stages_stand_awkward_rows(spark, sf, request, table):
 def test_queries_are_registered(spark):
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14))
