@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter
+from tabwright.llm import decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter, warc
 from tabwright.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -56,6 +56,11 @@ def op10_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives of all pages, and every record found through the index and read back."""
+    return warc.report(spark, table(spark, sf_dir, "pages"))
+
+
 #: Name: the query and its SQL twin, or None where tests hold it against brute force.
 QUERIES = {
     "op1_repair_tokens": (op1_repair_tokens, None),
@@ -68,4 +73,5 @@ QUERIES = {
     "op8_source_mixture": (op8_source_mixture, mixing.ORACLE),
     "op9_url_lists": (op9_url_lists, urlfilter.ORACLE),
     "op10_spot_signatures": (op10_spot_signatures, spotsigs.ORACLE),
+    "op11_warc_index": (op11_warc_index, warc.ORACLE),
 }
