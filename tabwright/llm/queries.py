@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter, warc
+from tabwright.llm import decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter, warc, whitening
 from tabwright.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -61,6 +61,10 @@ def op11_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(spark, table(spark, sf_dir, "pages"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(spark, table(spark, sf_dir, "embeddings"))
+
+
 #: Name: the query and its SQL twin, or None where tests hold it against brute force.
 QUERIES = {
     "op1_repair_tokens": (op1_repair_tokens, None),
@@ -74,4 +78,5 @@ QUERIES = {
     "op9_url_lists": (op9_url_lists, urlfilter.ORACLE),
     "op10_spot_signatures": (op10_spot_signatures, spotsigs.ORACLE),
     "op11_warc_index": (op11_warc_index, warc.ORACLE),
+    "op12_embedding_whitening": (op12_embedding_whitening, None),
 }
