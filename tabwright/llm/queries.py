@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabwright.llm import decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter, warc, whitening
+from tabwright.llm import conversations, decontaminate, linespread, minhash, mixing, pii, quality, repair, spotsigs, toxicity, urlfilter, warc, whitening
 from tabwright.llm.common import shared_folder, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -65,6 +65,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(spark, table(spark, sf_dir, "embeddings"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(spark, table(spark, sf_dir, "conversations"))
+
+
 #: Name: the query and its SQL twin, or None where tests hold it against brute force.
 QUERIES = {
     "op1_repair_tokens": (op1_repair_tokens, None),
@@ -79,4 +83,5 @@ QUERIES = {
     "op10_spot_signatures": (op10_spot_signatures, spotsigs.ORACLE),
     "op11_warc_index": (op11_warc_index, warc.ORACLE),
     "op12_embedding_whitening": (op12_embedding_whitening, None),
+    "op13_conversation_repair": (op13_conversation_repair, None),
 }
