@@ -611,3 +611,75 @@ def report(spark: SparkSession, conversations: DataFrame, range_bytes: int = RAN
     streamed = parts.repartition(spread(spark), "conv").sortWithinPartitions(*order).select("conv", "piece", "sums")
     both = whole.unionByName(map_batches(streamed, _stream, "conv long, sums string"))
     return both.select(F.col("conv").alias("conv_id"), F.from_json("sums", RESULT).alias("r")).select("conv_id", "r.*")
+
+# --- the same in SQL: a forward search row by row, with the texts in hand -------------------------
+
+
+def _put(state: str, cost: str, letter: str, line: str | None) -> str:
+    """A state's best (cost, audit, text) with one more edit."""
+    text = f"{state}.t" if line is None else f"CASE WHEN {state}.t IS NULL THEN {line} ELSE {state}.t || chr(10) || {line} END"
+    return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {text}}}"
+
+
+def _best(*options: str) -> str:
+    return f"list_sort([{', '.join(options)}])[1]"
+
+
+_NEVER = f"{{'c': {1 << 40}::BIGINT, 'a': '~', 't': NULL::VARCHAR}}"
+_U1 = _best("u", *(_put(x, "5", "I", "'user:'") for x in "esa"))
+_A1 = _best("a", _put("u1", "5", "I", "'assistant:'"))
+
+
+def _step(state: str, options: list[str]) -> str:
+    gone = _put(state, "2", "D", None)
+    return f"CASE WHEN fault IN ('blank', 'duplicate') THEN {gone} ELSE {_best(gone, *options)} END"
+
+
+def _taken(state: str, name: str, initial: str) -> list[str]:
+    kept = _put(state, "extra", "K", "role || ':' || text")
+    rerole = [] if name == "system" else [_put(state, "1 + extra", "R", f"'{name}:' || text")]
+    return [*rerole, f"CASE WHEN left(role, 1) = '{initial}' THEN {kept} ELSE {_NEVER} END"]
+
+
+_BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLE = f"""
+WITH RECURSIVE crc AS (
+  SELECT list(v ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) r(i))),
+keyed AS (
+  SELECT c.*, xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) % 20 AS damage
+  FROM conversations c, crc),
+copies AS (
+  SELECT conv_id, turn, CASE damage WHEN 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+    CASE damage WHEN 1 THEN '' WHEN 2 THEN translate(coalesce(text, ' '), '.!?', '') ELSE coalesce(text, ' ') END AS text,
+    unnest(range(CASE damage WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM keyed WHERE damage <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) AS seen, right(rtrim(text, {_BLANK_SQL}), 1) AS tip
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM copies)),
+faulty AS (
+  SELECT *, CASE WHEN tip = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN tip NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY k) || left(role, 1) AS pair
+  FROM placed),
+steps AS (SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS extra FROM faulty),
+walk AS (
+  SELECT DISTINCT conv_id, 0::BIGINT AS k, {{'c': 0::BIGINT, 'a': '', 't': NULL::VARCHAR}} AS e, {_NEVER} AS s, {_NEVER} AS u, {_NEVER} AS a FROM conversations
+  UNION ALL
+  SELECT conv_id, k, {_put("e", "2", "D", None)}, {_step("s", _taken("e", "system", "s"))},
+    {_step("u1", [o for x in ("e", "s", "a1") for o in _taken(x, "user", "u")])}, {_step("a1", _taken("u1", "assistant", "a"))}
+  FROM (SELECT *, {_A1} AS a1 FROM (SELECT *, {_U1} AS u1 FROM (
+    SELECT w.conv_id, f.k, w.e, w.s, w.u, w.a, f.role, f.text, f.fault, f.extra FROM walk w JOIN steps f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.k = w.k + 1)))),
+ends AS (
+  SELECT conv_id, {_best("e", "a1")} AS best FROM (SELECT *, {_A1} AS a1 FROM (SELECT *, {_U1} AS u1 FROM walk w
+    WHERE k = (SELECT count(*) FROM steps f WHERE f.conv_id IS NOT DISTINCT FROM w.conv_id)))),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair IS NOT NULL AND pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM steps GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, best.c AS cost, best.a AS audit, sha256(coalesce(best.t, '')) AS repaired_sha256
+FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+"""

@@ -83,5 +83,5 @@ QUERIES = {
     "op10_spot_signatures": (op10_spot_signatures, spotsigs.ORACLE),
     "op11_warc_index": (op11_warc_index, warc.ORACLE),
     "op12_embedding_whitening": (op12_embedding_whitening, None),
-    "op13_conversation_repair": (op13_conversation_repair, None),
+    "op13_conversation_repair": (op13_conversation_repair, conversations.ORACLE),
 }
