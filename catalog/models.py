@@ -266,6 +266,20 @@ BAND = _learned_sql("CASE WHEN l_quantity <= 15 THEN 0 WHEN l_quantity <= 35 THE
 LEVEL = _learned_sql("CAST(CASE WHEN l_quantity <= 15 THEN 10 WHEN l_quantity <= 35 THEN 25 ELSE 70 END AS DOUBLE)")
 
 
+def _shrunk_level(l2: float) -> str:
+    """Each round takes 0.3 of a level's residual, by n / (n + l2): after five rounds this much of the distance to the mean is left."""
+    return f"""
+WITH banded AS (
+  SELECT CAST(CASE WHEN l_quantity <= 15 THEN 10 WHEN l_quantity <= 35 THEN 25 ELSE 70 END AS DOUBLE) AS level,
+         {sql_unit(LINE_KEY, SEED)} < {RATIO} AS in_train
+  FROM lineitem
+),
+start AS (SELECT avg(level) AS base FROM banded WHERE in_train),
+sizes AS (SELECT level, CAST(count(*) AS DOUBLE) AS n FROM banded WHERE in_train GROUP BY level)
+SELECT level AS label, round(level + (base - level) * pow(1 - 0.3 * n / (n + {l2}), 5), 6) AS prediction, count(*) AS n_rows
+FROM banded JOIN sizes USING (level), start WHERE NOT in_train GROUP BY 1, 2"""
+
+
 # ------------------------------------------------------------------ trees on a target of chance
 
 STUMP_FEATURES = [FeatureSpec(c, NO_RESCALING, MEDIAN) for c in ("l_quantity", "l_discount", "l_tax")]
@@ -296,7 +310,7 @@ def _stump(target: str, task: str, algorithm: str, params: dict) -> Callable[[Sp
     return query
 
 
-def _stump_steps(name: str, residual: str, source: str) -> str:
+def _stump_steps(name: str, residual: str, source: str, l2: float = 0, least: int = 1) -> str:
     """CTEs ``<name>``: feature, cut, value left and right of the best split of ``residual``."""
     columns = ("l_quantity", "l_discount", "l_tax")
     stacked = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c} AS x, {residual} AS y FROM {source} WHERE in_train" for c in columns)
@@ -307,8 +321,9 @@ def _stump_steps(name: str, residual: str, source: str) -> str:
   WINDOW w AS (PARTITION BY feature ORDER BY x), f AS (PARTITION BY feature)
 ),
 {name} AS (
-  SELECT feature, x AS cut, sl / nl AS below, (st - sl) / (nt - nl) AS above FROM {name}_runs WHERE nl < nt
-  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1
+  SELECT feature, x AS cut, sl / (nl + {l2}) AS below, (st - sl) / (nt - nl + {l2}) AS above FROM {name}_runs
+  WHERE nl >= {least} AND nt - nl >= {least}
+  ORDER BY sl * sl / (nl + {l2}) + (st - sl) * (st - sl) / (nt - nl + {l2}) DESC LIMIT 1
 )"""
 
 
@@ -339,6 +354,16 @@ SELECT round(f0 + {rate} * {_stump_value("second")}, 4) AS prediction, count(*)
 FROM rows1, second WHERE NOT in_train GROUP BY 1"""
 
 
+def _second_order_sql(target: str, rate: float, l2: float, least: int) -> str:
+    """Two rounds from the mean on: leaves are -G / (H + l2), with squared loss the residuals' sum over the rows' number."""
+    return f"""
+WITH {_stump_rows(target)},
+start AS (SELECT *, (SELECT avg(y) FROM rows0 WHERE in_train) AS f0 FROM rows0), {_stump_steps("first", "y - f0", "start", l2, least)},
+rows1 AS (SELECT start.*, f0 + {rate} * {_stump_value("first")} AS f1 FROM start, first), {_stump_steps("second", "y - f1", "rows1", l2, least)}
+SELECT round(f1 + {rate} * {_stump_value("second")}, 4) AS prediction, count(*) AS n_rows
+FROM rows1, second WHERE NOT in_train GROUP BY 1"""
+
+
 _REVENUE = "l_extendedprice * (1 - l_discount)"
 _DEAR = "CASE WHEN l_extendedprice > 50000 THEN CAST(1 AS DOUBLE) ELSE 0 END"
 ONE_SPLIT = {"max_depth": 1, "min_samples_leaf": 1}
@@ -670,8 +695,8 @@ QUERIES = {
     "train_xgb_multi": (_learned("band", MULTI_CLASS, "xgb", BOOSTED), BAND),
     "train_decision_tree_multi": (_learned("band", MULTI_CLASS, "decision_tree", TREE), BAND),
     "train_random_forest_regression": (_learned("level", REGRESSION, "random_forest", FOREST), LEVEL),
-    "train_xgb_regression": (_learned("level", REGRESSION, "xgb", BOOSTED), LEVEL),
-    "train_lgbm_regression": (_learned("level", REGRESSION, "lgbm", BOOSTED), LEVEL),
+    "train_xgb_regression": (_learned("level", REGRESSION, "xgb", BOOSTED), _shrunk_level(1)),
+    "train_lgbm_regression": (_learned("level", REGRESSION, "lgbm", BOOSTED), _shrunk_level(0)),
     "train_gradient_boosting_regression": (_learned("level", REGRESSION, "gradient_boosting", GRADIENT), LEVEL),
     "train_decision_tree_regression": (_learned("level", REGRESSION, "decision_tree", TREE), LEVEL),
     "one_split_decision_tree": (_stump("dear", TWO_CLASS, "decision_tree", ONE_SPLIT), _stump_sql(_DEAR)),
@@ -685,8 +710,8 @@ QUERIES = {
         _stump("revenue", REGRESSION, "gradient_boosting", TWO_ROUNDS),
         _two_rounds_sql(_REVENUE, 0.5),
     ),
-    "two_rounds_xgb_regression": (_stump("revenue", REGRESSION, "xgb", TWO_ROUNDS), _two_rounds_sql(_REVENUE, 0.5)),
-    "two_rounds_lgbm_regression": (_stump("revenue", REGRESSION, "lgbm", TWO_ROUNDS), _two_rounds_sql(_REVENUE, 0.5)),
+    "two_rounds_xgb_regression": (_stump("revenue", REGRESSION, "xgb", TWO_ROUNDS), _second_order_sql(_REVENUE, 0.5, 1, 1)),
+    "two_rounds_lgbm_regression": (_stump("revenue", REGRESSION, "lgbm", TWO_ROUNDS), _second_order_sql(_REVENUE, 0.5, 0, 20)),
     "search_closed_form": (search_closed_form, SEARCH_CLOSED_FORM),
     "search_two_class": (search_two_class, None),
     "search_multi_class": (search_multi_class, None),

@@ -1,4 +1,4 @@
-"""Estimators: MLlib learners behind one set of parameter names.
+"""Estimators behind one set of parameter names: histogram trees, linear models from sums, MLlib boosting.
 
 Training frames hold ``features`` (vector), ``label`` (class number 0..K-1, or the target of a
 regression) and, when weighted, ``weight``.
@@ -7,38 +7,25 @@ regression) and, when weighted, ``weight``.
 from __future__ import annotations
 
 import math
+import threading
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import (
-    DecisionTreeClassificationModel,
-    DecisionTreeClassifier,
-    GBTClassificationModel,
-    GBTClassifier,
-    LogisticRegression,
-    LogisticRegressionModel,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression, RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-    GBTRegressor,
-    LinearRegression,
-    LinearRegressionModel,
-    RandomForestRegressionModel,
-    RandomForestRegressor,
-)
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators.metrics import REGRESSION, TWO_CLASS
+from tabwright.operators.blocks import Blocks, blocks_of
+from tabwright.operators.linear import MOST_PARAMETERS, LinearModel, gram_matrices, lasso_path, logistic_models
+from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FEATURES, OWN_PREFIX
-from tabwright.session import ensure_checkpointing
+from tabwright.operators.trees import LOGISTIC, MEAN, SHARES, SOFTMAX, SQUARED, Growth, averaged, boosted, models_of
+from tabwright.session import checkpoint_dir, ensure_checkpointing
 
 LABEL, WEIGHT = "label", "weight"
 ROW = f"{OWN_PREFIX}row"
@@ -78,6 +65,8 @@ REGRESSORS = {
 }
 MAX_BINS = 256  # cut points of a continuous feature plus one, unless an AlgoSpec says otherwise
 TREES = ("random_forest", "xgb", "lgbm", "gradient_boosting", "decision_tree")
+AVERAGED = ("random_forest", "decision_tree")
+LINEAR = ("lasso", "logistic_regression")
 ROWS_PER_PIECE = 50_000
 LEAST_PIECES = 8
 HISTOGRAM_MB = 512  # per task; more nodes per pass over the rows than with the default of 256
@@ -110,7 +99,7 @@ def class_value(position: Column, classes: Sequence) -> Column:
 
 @dataclass
 class FittedEstimator:
-    """A fitted learner. ``models`` holds one model, or one per class for one-against-rest boosting."""
+    """A fitted learner: linear coefficients, or tree ensembles as MLlib models, one per margin."""
 
     algorithm: str
     task: str
@@ -119,13 +108,34 @@ class FittedEstimator:
 
     def predict(self, df: DataFrame, output: str) -> DataFrame:
         """Add ``output``: a double for regression, else an array of K class probabilities."""
+        if self.algorithm in LINEAR:
+            return df.withColumn(output, self._from_margins(self.models[0].margins(FEATURES)))
+        if self.algorithm == "gradient_boosting" and self.task != REGRESSION:
+            return self._one_against_rest(df, output)
+        if isinstance(self.models[0], RandomForestClassificationModel):
+            vector = f"_{output}_0"
+            model = self.models[0].setFeaturesCol(FEATURES).setProbabilityCol(vector).setRawPredictionCol("").setPredictionCol("")
+            return model.transform(df).withColumn(output, vector_to_array(F.col(vector))).drop(vector)
+        sums = [f"_{output}_{i}" for i in range(len(self.models))]
+        for model, name in zip(self.models, sums):
+            df = model.setFeaturesCol(FEATURES).setPredictionCol(name).transform(df)
+        margins = [F.col(name) for name in sums]
+        if self.task == TWO_CLASS and self.algorithm in AVERAGED:
+            return df.withColumn(output, F.array(1 - margins[0], margins[0])).drop(*sums)
+        return df.withColumn(output, self._from_margins(margins)).drop(*sums)
+
+    def _from_margins(self, margins: list[Column]) -> Column:
         if self.task == REGRESSION:
-            model = self.models[0]
-            return model.setFeaturesCol(FEATURES).setPredictionCol(output).transform(df)
-        if _shares_by_regression(self.algorithm, self.task):
-            share = f"_{output}_share"
-            df = self.models[0].setFeaturesCol(FEATURES).setPredictionCol(share).transform(df)
-            return df.withColumn(output, F.array(1 - F.col(share), F.col(share))).drop(share)
+            return margins[0]
+        if len(margins) == 1:
+            share = 1 / (1 + F.exp(-margins[0]))
+            return F.array(1 - share, share)
+        # the largest margin is taken off first: no exponential overflows
+        top = F.array(*margins)
+        raised = F.transform(top, lambda m: F.exp(m - F.array_max(top)))
+        return F.transform(raised, lambda e: e / F.aggregate(raised, F.lit(0.0), lambda a, x: a + x))
+
+    def _one_against_rest(self, df: DataFrame, output: str) -> DataFrame:
         vectors = [f"_{output}_{i}" for i in range(len(self.models))]
         for model, vector in zip(self.models, vectors):
             model = model.setFeaturesCol(FEATURES).setProbabilityCol(vector)
@@ -138,115 +148,177 @@ class FittedEstimator:
         df = df.withColumn(total, F.aggregate(output, F.lit(0.0), lambda a, p: a + p))
         return df.withColumn(output, F.transform(output, lambda p: p / F.col(total))).drop(total)
 
-    def save(self, path: str) -> None:
+    def save(self, spark: SparkSession, path: str) -> None:
         for i, model in enumerate(self.models):
-            model.write().overwrite().save(f"{path}/{i}")
+            if isinstance(model, LinearModel):
+                model.save(spark, f"{path}/{i}")
+            else:
+                model.write().overwrite().save(f"{path}/{i}")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, algorithm: str, task: str, n_classes: int, n_models: int):
         reader = _model_class(algorithm, task)
-        return cls(algorithm, task, n_classes, [reader.load(f"{path}/{i}") for i in range(n_models)])
-
-
-def _shares_by_regression(algorithm: str, task: str) -> bool:
-    """Whether class shares come from regression trees on the 0/1 label.
-
-    MLlib's classification trees merge leaves of equal predicted class, which loses their
-    differing probabilities and with them the ranking. For two classes the variance of the
-    label is half the Gini impurity, so regression trees make the same splits and their leaf
-    means are the class shares.
-    """
-    return task == TWO_CLASS and algorithm in ("random_forest", "decision_tree")
+        read = (lambda p: LinearModel.load(spark, p)) if reader is LinearModel else reader.load
+        return cls(algorithm, task, n_classes, [read(f"{path}/{i}") for i in range(n_models)])
 
 
 def _model_class(algorithm: str, task: str) -> type:
-    regression = task == REGRESSION or _shares_by_regression(algorithm, task)
-    return {
-        "logistic_regression": LogisticRegressionModel,
-        "lasso": LinearRegressionModel,
-        "random_forest": RandomForestRegressionModel if regression else RandomForestClassificationModel,
-        "decision_tree": DecisionTreeRegressionModel if regression else DecisionTreeClassificationModel,
-    }.get(algorithm, GBTRegressionModel if regression else GBTClassificationModel)
-
+    if algorithm in LINEAR:
+        return LinearModel
+    if algorithm in AVERAGED and task == MULTI_CLASS:
+        return RandomForestClassificationModel
+    if algorithm == "gradient_boosting" and task != REGRESSION:
+        return GBTClassificationModel
+    return GBTRegressionModel
 
-def build_learner(algorithm: str, params: dict, task: str, weighted: bool, weight_sum: float, seed: int):
-    """The MLlib learner for one parameter draw.
 
-    ``weight_sum`` is the sum of the training weights (the row count when unweighted).
-    """
+@dataclass
+class FittingRows:
+    """The prepared rows of one training set, in the forms that its learners read; each form is kept once made."""
+
+    frame: DataFrame  # features, label, weight, row
+    d: int
+    groups: list[list[int]]
+    weighted: bool
+    _blocks: Blocks | None = None
+    _rows: DataFrame | None = None
+    _lock: threading.Lock = field(default_factory=threading.Lock)
+
+    def blocks(self) -> Blocks:
+        with self._lock:
+            if self._blocks is None:
+                self._blocks = blocks_of(self.frame, FEATURES, LABEL, WEIGHT if self.weighted else None, ROW, self.d, self.groups)
+            return self._blocks
+
+    def rows(self) -> DataFrame:
+        with self._lock:
+            if self._rows is None:
+                self._rows = keep_for_fitting(self.frame)
+            return self._rows
+
+    def release(self) -> None:
+        if self._blocks is not None:
+            self._blocks.release()
+        if self._rows is not None:
+            self._rows.unpersist()
+        self._blocks = self._rows = None
+
+
+def growth_of(algorithm: str, params: dict, task: str, n_classes: int, d: int, seed: int) -> Growth:
+    """The criterion and limits by which an algorithm grows its trees."""
+    depth, multi = int(params["max_depth"]), task == MULTI_CLASS
+    if algorithm in AVERAGED:
+        forest = algorithm == "random_forest"
+        return Growth(
+            SHARES if multi else MEAN, n_classes if multi else 1, depth, least_rows=int(params["min_samples_leaf"]), bootstrap=forest,
+            features_per_node=max(1, math.isqrt(d)) if forest and task != REGRESSION else None, seed=seed,
+        )
+    objective = SQUARED if task == REGRESSION else SOFTMAX if multi else LOGISTIC
+    common = {"classes": n_classes if multi else 1, "max_depth": depth, "least_hessian": float(params["min_child_weight"]), "seed": seed}
+    if algorithm == "xgb":
+        return Growth(objective, l2=float(params.get("reg_lambda", 1.0)), least_gain=float(params.get("gamma", 0.0)), **common)
+    return Growth(
+        objective, leaves=int(params.get("num_leaves", 31)), least_rows=int(params.get("min_child_samples", 20)),
+        l2=float(params.get("reg_lambda", 0.0)), **common,
+    )
+
+
+def build_learner(params: dict, task: str, weighted: bool, seed: int):
+    """The MLlib learner behind ``gradient_boosting`` for one parameter draw."""
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     if weighted:
         common["weightCol"] = WEIGHT
-    regression = task == REGRESSION
-    if algorithm == "logistic_regression":
-        # C multiplies the summed loss; MLlib's penalty is relative to the mean loss
-        return LogisticRegression(
-            regParam=1.0 / (params["C"] * weight_sum), elasticNetParam=0.0, standardization=False, maxIter=200, **common
-        )
-    if algorithm == "lasso":
-        return LinearRegression(
-            regParam=params["alpha"], elasticNetParam=1.0, standardization=False, maxIter=1000, tol=1e-9, **common
-        )
-    tree = {"maxDepth": int(params["max_depth"]), "seed": seed, "maxBins": int(params.get("max_bins", MAX_BINS))}
-    tree["maxMemoryInMB"] = HISTOGRAM_MB
-    if algorithm in ("random_forest", "decision_tree"):
-        tree["minInstancesPerNode"] = int(params["min_samples_leaf"])
-        by_regression = regression or _shares_by_regression(algorithm, task)
-        if algorithm == "decision_tree":
-            return (DecisionTreeRegressor if by_regression else DecisionTreeClassifier)(**tree, **common)
-        tree |= {"numTrees": int(params["n_estimators"]), "featureSubsetStrategy": "all" if regression else "sqrt"}
-        return (RandomForestRegressor if by_regression else RandomForestClassifier)(**tree, **common)
-    if algorithm == "gradient_boosting":
-        tree["minInstancesPerNode"] = int(params["min_samples_leaf"])
-    else:
-        # a leaf's hessian is its row count for squared loss and at most a quarter of it for log loss
-        rows = params["min_child_weight"] * (1 if regression else 4)
-        tree["minInstancesPerNode"] = max(1, math.ceil(rows))
-    tree |= {"maxIter": int(params["n_estimators"]), "stepSize": float(params["learning_rate"])}
-    return (GBTRegressor if regression else GBTClassifier)(**tree, **common)
+    tree = {
+        "maxDepth": int(params["max_depth"]), "seed": seed, "maxBins": int(params.get("max_bins", MAX_BINS)), "maxMemoryInMB": HISTOGRAM_MB,
+        "minInstancesPerNode": int(params["min_samples_leaf"]), "maxIter": int(params["n_estimators"]), "stepSize": float(params["learning_rate"]),
+    }
+    return (GBTRegressor if task == REGRESSION else GBTClassifier)(**tree, **common)
 
 
 def fit_estimator(
-    train: DataFrame,
+    train: FittingRows,
     algorithm: str,
     params: dict,
     task: str,
     n_classes: int,
-    weighted: bool,
-    weight_sum: float,
     seed: int,
     parallelism: int = 4,
 ) -> FittedEstimator:
-    """Fit one estimator. Boosting with more than two classes fits one model per class."""
-    ensure_checkpointing(train.sparkSession)
-    learner = build_learner(algorithm, params, task, weighted, weight_sum, seed)
-    if not isinstance(learner, GBTClassifier):
-        return FittedEstimator(algorithm, task, n_classes, [learner.fit(train)])
-    if n_classes <= 2:
-        return FittedEstimator(algorithm, task, n_classes, [learner.fit(train)])
+    """Fit one estimator."""
+    spark = train.frame.sparkSession
+    if algorithm == "lasso":
+        gram = gram_matrices(_gram_frame([train]), [train.d])[0][0]
+        return FittedEstimator(algorithm, task, n_classes, list(lasso_path(gram, [params["alpha"]]).values()))
+    if algorithm == "logistic_regression":
+        return fit_logistic(train, [params["C"]], task, n_classes)[0]
+    if algorithm == "gradient_boosting":
+        return _fit_mllib_boosting(train, params, task, n_classes, seed, parallelism)
+    growth = growth_of(algorithm, params, task, n_classes, train.d, seed)
+    bins = int(params.get("max_bins", MAX_BINS))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/trees-{uuid.uuid4().hex}"
+    if algorithm in AVERAGED:
+        ensemble = averaged(train.blocks(), growth, int(params["n_estimators"]) if algorithm == "random_forest" else 1, bins)
+        return FittedEstimator(algorithm, task, n_classes, models_of(spark, ensemble, path, n_classes if task == MULTI_CLASS else 0))
+    ensemble = boosted(train.blocks(), growth, int(params["n_estimators"]), float(params["learning_rate"]), bins)
+    return FittedEstimator(algorithm, task, n_classes, models_of(spark, ensemble, path))
+
+
+def fit_logistic(train: FittingRows, strengths: Sequence[float], task: str, n_classes: int) -> list[FittedEstimator]:
+    """One model per strength C: Newton steps of all of them together, or MLlib's fits where a model has too many parameters."""
+    size = (train.d + 1) * (1 if n_classes == 2 else n_classes)
+    if size <= MOST_PARAMETERS:
+        models = logistic_models(train.blocks(), n_classes, strengths)
+    else:
+        models = [_fit_mllib_logistic(train, c) for c in strengths]
+    return [FittedEstimator("logistic_regression", task, n_classes, [model]) for model in models]
+
+
+def _fit_mllib_logistic(train: FittingRows, strength: float) -> LinearModel:
+    # C multiplies the summed loss; MLlib's penalty is relative to the mean loss
+    regularisation = 1.0 / (strength * train.blocks().weight)
+    weight = {"weightCol": WEIGHT} if train.weighted else {}
+    fitted = LogisticRegression(
+        featuresCol=FEATURES, labelCol=LABEL, regParam=regularisation, elasticNetParam=0.0, standardization=False, maxIter=200, **weight
+    ).fit(train.rows())
+    return LinearModel(fitted.coefficientMatrix.toArray().tolist(), fitted.interceptVector.toArray().tolist())
+
+
+def _fit_mllib_boosting(train: FittingRows, params: dict, task: str, n_classes: int, seed: int, parallelism: int) -> FittedEstimator:
+    ensure_checkpointing(train.frame.sparkSession)
+    learner, rows = build_learner(params, task, train.weighted, seed), train.rows()
+    if task != MULTI_CLASS:
+        return FittedEstimator("gradient_boosting", task, n_classes, [learner.fit(rows)])
 
     def against_rest(k: int):
         one = F.when(F.col(LABEL) == float(k), 1).otherwise(0)
-        columns = [c for c in train.columns if c != LABEL]
-        return learner.fit(train.select(*columns, class_label(one, [0, 1])))
+        columns = [c for c in rows.columns if c != LABEL]
+        return learner.fit(rows.select(*columns, class_label(one, [0, 1])))
+
+    models = run_parallel(rows.sparkSession, against_rest, range(n_classes), parallelism)
+    return FittedEstimator("gradient_boosting", task, n_classes, models)
+
 
-    models = run_parallel(train.sparkSession, against_rest, range(n_classes), parallelism)
-    return FittedEstimator(algorithm, task, n_classes, models)
+def _gram_frame(sets: Sequence[FittingRows]) -> DataFrame:
+    """(no fold, target, weight, features) of one training set."""
+    (rows,) = sets
+    weight = F.col(WEIGHT).cast("double") if rows.weighted else F.lit(1.0)
+    return rows.frame.select(
+        F.lit(-1).alias("fold"), F.col(LABEL).cast("double").alias("y"), weight.alias("w"), vector_to_array(F.col(FEATURES)).alias("x")
+    )
 
 
-def keep_for_fitting(df: DataFrame, weighted: bool) -> tuple[DataFrame, float]:
-    """Keep prepared rows for the passes of a fit; also returns the sum of their weights.
+def keep_for_fitting(df: DataFrame) -> DataFrame:
+    """Keep prepared rows for the passes of an MLlib fit.
 
-    Learners draw samples and add up per piece and in row order. So that a fit depends on the rows
-    alone, they are dealt out by ``ROW``, a hash of their raw values, into a number of pieces that
-    follows from the row count, and sorted within each; how the input was cut and how many cores
-    there are changes nothing.
+    MLlib draws samples and adds up per piece and in row order. So that a fit depends on the rows
+    alone, they are dealt out by ``ROW``, a hash of the key, into a number of pieces that follows
+    from the row count, and sorted within each; how the input was cut and how many cores there are
+    changes nothing, and no value of a feature gathers rows in one piece.
     """
-    sums = df.agg(F.count(F.lit(1)), F.sum(WEIGHT) if weighted else F.count(F.lit(1))).first()
-    pieces = max(LEAST_PIECES, -(-sums[0] // ROWS_PER_PIECE))
+    pieces = max(LEAST_PIECES, -(-df.count() // ROWS_PER_PIECE))
     kept = df.repartition(pieces, ROW).sortWithinPartitions(ROW, LABEL).drop(ROW).persist(StorageLevel.MEMORY_AND_DISK)
     kept.count()
-    return kept, float(sums[1] or 0)
+    return kept
 
 
 def run_parallel(spark: SparkSession, work: Callable, items: Sequence, parallelism: int) -> list:

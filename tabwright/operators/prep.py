@@ -153,6 +153,14 @@ class PrepModel:
         assembler = VectorAssembler(inputCols=slots, outputCol=FEATURES, handleInvalid="keep")
         return assembler.transform(frame).drop(*slots)
 
+    def arrays(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` with the outputs as one array column."""
+        frame, columns = self.columns(df)
+        if not columns:
+            raise ValueError("no feature has a value to learn from")
+        made = frame.withColumn(name, F.array(*[c.cast("double") for c in columns]))
+        return made.select(*[F.col(quoted(c)) for c in df.columns], name)
+
     def transform_columns(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """Append one double column per output instead of a vector."""
         frame, columns = self.columns(df)

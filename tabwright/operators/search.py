@@ -13,13 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.functions.hashing import quoted
-from tabwright.operators.estimators import LABEL, ROW, WEIGHT, FittedEstimator, fit_estimator, keep_for_fitting, run_parallel
+from tabwright.operators.estimators import LABEL, ROW, WEIGHT, FittedEstimator, FittingRows, fit_estimator, fit_logistic, run_parallel
+from tabwright.operators.linear import gram_matrices, lasso_path, squared_error
 from tabwright.operators.metrics import REGRESSION, search_score, signed
-from tabwright.operators.prep import PrepModel
+from tabwright.operators.prep import OWN_PREFIX, PrepModel
+from tabwright.sources.tables import DUMMY
 from tabwright.operators.split import FOLD_COLUMN
 
 
-@dataclass(frozen=True)
+_FOLD, _TARGET, _WEIGHT = (f"{OWN_PREFIX}{name}" for name in ("fold", "target", "weight"))
+
+
+@dataclass(frozen=True, eq=False)
 class Candidate:
     algorithm: str
     number: int
@@ -63,33 +68,81 @@ def cross_validate(
     weight_column: str | None,
     seed: int,
     parallelism: int = 4,
+    keys: Sequence[str] | None = None,
 ) -> list[tuple]:
     """Fit every candidate on every set that leaves out one fold and score it on that fold.
 
     ``train`` holds the raw rows and the fold column; ``preps`` the preparation of each
-    left-out fold. The prepared rows of one fold at a time are kept for all its candidates,
-    and one job scores all candidates of a fold. Returns rows of the ``FOLD_SCORES`` schema,
-    with the score signed so that larger is better.
+    left-out fold. Lasso candidates are fitted, and scored by squared errors, from sums that one scan
+    takes for all folds. Of the others the prepared rows of one fold at a time are kept; logistic
+    candidates are fitted together, trees a few at a time, and one job scores each lot before the next
+    is fitted. Returns rows of the ``FOLD_SCORES`` schema, with the score signed so that larger is better.
     """
-    results = []
-    for fold in sorted(f for f in preps if f >= 0):
-        fitting, total = prepared_for_fitting(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column)
+    folds = sorted(f for f in preps if f >= 0)
+    found: dict[tuple, tuple] = {}
+    ready = _lasso_folds(train, preps, folds, candidates, label, metric, weight_column, found)
+    rest = [c for c in candidates if c.algorithm != "lasso"]
+    for fold in folds:
+        rows = prepared_for_fitting(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column, keys)
         held_out = prepared(train.where(F.col(FOLD_COLUMN) == fold), preps[fold], label, None)
-
-        def fit(candidate: Candidate) -> tuple[FittedEstimator, float]:
+        waiting = [(c, fitted, seconds) for (c, at), (fitted, seconds) in ready.items() if at == fold]
+        logistic = [c for c in rest if c.algorithm == "logistic_regression"]
+        if logistic:
             started = time.monotonic()
-            fitted = fit_estimator(
-                fitting, candidate.algorithm, candidate.params, task, n_classes, weight_column is not None, total, seed,
-                parallelism,
-            )
-            return fitted, time.monotonic() - started
+            fits = fit_logistic(rows, [c.params["C"] for c in logistic], task, n_classes)
+            waiting += [(c, fit, (time.monotonic() - started) / len(logistic)) for c, fit in zip(logistic, fits)]
 
-        fits = run_parallel(train.sparkSession, fit, candidates, parallelism)
-        scores = score_candidates(held_out, [fitted for fitted, _ in fits], metric, task, n_classes)
-        for position, (candidate, (_, seconds)) in enumerate(zip(candidates, fits)):
-            results.append((candidate.algorithm, candidate.number, fold, signed(metric, scores.get(position)), seconds))
-        fitting.unpersist()
-    return results
+        def fit(candidate: Candidate) -> tuple[Candidate, FittedEstimator, float]:
+            started = time.monotonic()
+            fitted = fit_estimator(rows, candidate.algorithm, candidate.params, task, n_classes, seed, parallelism)
+            return candidate, fitted, time.monotonic() - started
+
+        trees = [c for c in rest if c.algorithm != "logistic_regression"]
+        lots = [trees[i : i + max(1, parallelism)] for i in range(0, len(trees), max(1, parallelism))]
+        for lot in lots or [[]]:
+            waiting += run_parallel(train.sparkSession, fit, lot, parallelism)
+            if waiting:
+                scores = score_candidates(held_out, [fitted for _, fitted, _ in waiting], metric, task, n_classes)
+                for position, (candidate, _, seconds) in enumerate(waiting):
+                    found[candidate.algorithm, candidate.number, fold] = (signed(metric, scores.get(position)), seconds)
+            waiting = []
+        rows.release()
+    return [(c.algorithm, c.number, fold, *found[c.algorithm, c.number, fold]) for fold in folds for c in candidates]
+
+
+def _lasso_folds(
+    train: DataFrame, preps: dict[int, PrepModel], folds: list[int], candidates: Sequence[Candidate], label: Column, metric: str,
+    weight_column: str | None, found: dict,
+) -> dict:
+    """Fit all lasso candidates on all folds from one scan. Scores that follow from the sums go to ``found``;
+    the fits of (candidate, fold) that must be scored on rows come back."""
+    lasso = [c for c in candidates if c.algorithm == "lasso"]
+    if not lasso:
+        return {}
+    started = time.monotonic()
+    weight = F.col(quoted(weight_column)).cast("double") if weight_column else F.lit(1.0)
+    frame = train.select("*", F.col(FOLD_COLUMN).alias(_FOLD), label.cast("double").alias(_TARGET), weight.alias(_WEIGHT))
+    sizes, arrays = [], []
+    others = [F.col(c) for c in (_FOLD, _TARGET, _WEIGHT)]
+    for fold in folds:
+        name = f"{_FOLD}_{fold}"
+        frame = preps[fold].arrays(frame, name)
+        arrays.append(F.col(name))
+        sizes.append(len(preps[fold].outputs))
+    grams = gram_matrices(frame.select(*others, *arrays), sizes)
+    ready = {}
+    for fold, (inside, outside) in zip(folds, grams):
+        models = lasso_path(inside, [c.params["alpha"] for c in lasso])
+        for candidate in lasso:
+            model = models[candidate.params["alpha"]]
+            seconds = (time.monotonic() - started) / (len(lasso) * len(folds))
+            n, squares, spread = squared_error(outside, model)
+            if metric in ("r2", "mse", "rmse") and n and (metric != "r2" or spread > 0):
+                score = {"r2": lambda: 1 - squares / spread, "mse": lambda: squares / n, "rmse": lambda: math.sqrt(max(squares, 0.0) / n)}[metric]()
+                found["lasso", candidate.number, fold] = (signed(metric, float(score)), seconds)
+            else:
+                ready[candidate, fold] = (FittedEstimator("lasso", REGRESSION, 0, [model]), seconds)
+    return ready
 
 
 def prepared(df: DataFrame, prep: PrepModel, label: Column, weight_column: str | None) -> DataFrame:
@@ -98,11 +151,20 @@ def prepared(df: DataFrame, prep: PrepModel, label: Column, weight_column: str |
     return prep.beside(df, [label, *weight])
 
 
-def prepared_for_fitting(df: DataFrame, prep: PrepModel, label: Column, weight_column: str | None) -> tuple[DataFrame, float]:
-    """The prepared rows in an order that follows from their raw values, kept; and the sum of their weights."""
-    row = F.xxhash64(*[F.col(quoted(plan.name)) for plan in prep.plans], label).alias(ROW)
+def prepared_for_fitting(
+    df: DataFrame, prep: PrepModel, label: Column, weight_column: str | None, keys: Sequence[str] | None = None
+) -> FittingRows:
+    """The prepared rows, each with a hash of its key (of all columns if there is none)."""
+    names = [c for c in keys or df.columns if c not in (FOLD_COLUMN, weight_column)]
+    row = F.xxhash64(*[F.col(quoted(c)) for c in names]).alias(ROW)
     weight = [F.col(quoted(weight_column)).alias(WEIGHT)] if weight_column else []
-    return keep_for_fitting(prep.beside(df, [label, *weight, row]), weight_column is not None)
+    outputs, groups = 0, []
+    for plan in prep.plans:
+        size = len(plan.outputs)
+        if plan.encoding == DUMMY and size:
+            groups.append(list(range(outputs, outputs + size)))
+        outputs += size
+    return FittingRows(prep.beside(df, [label, *weight, row]), outputs, groups, weight_column is not None)
 
 
 def model_outputs(rows: DataFrame, fitted: dict[str, FittedEstimator], task: str) -> DataFrame:

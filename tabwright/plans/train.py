@@ -116,11 +116,9 @@ def fit_one(
     if prep is None:
         prep = fit_prep_per_fold(train, spec.features, 0)[WHOLE]
     weight = WEIGHT_COLUMN if spec.weighted else None
-    fitting, total = prepared_for_fitting(train, prep, label_column(spec, classes), weight)
-    estimator = fit_estimator(
-        fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
-    )
-    fitting.unpersist()
+    rows = prepared_for_fitting(train, prep, label_column(spec, classes), weight, spec.key)
+    estimator = fit_estimator(rows, algorithm, params, spec.task, len(classes), spec.seed, spec.parallelism)
+    rows.release()
     return as_model(spec, classes, train, prep, estimator)
 
 
@@ -189,7 +187,7 @@ def train(
     preps = fit_prep_per_fold(folded, spec.features, spec.folds)
     candidates = draw_candidates(spec.algorithms, spec.task, spec.n_iter, spec.seed)
     rows = cross_validate(
-        folded, preps, candidates, label, metric, spec.task, len(classes), weight, spec.seed, spec.parallelism
+        folded, preps, candidates, label, metric, spec.task, len(classes), weight, spec.seed, spec.parallelism, spec.key
     )
     results = cv_results(spark.createDataFrame(rows, FOLD_SCORES))
     ranked = {(r["algorithm"], r["candidate"]): r for r in results.collect()}
@@ -213,19 +211,17 @@ def train(
         for key, c in by_key.items()
     ]
 
-    fitting, total = prepared_for_fitting(split.train, preps[WHOLE], label, weight)
+    fitting = prepared_for_fitting(split.train, preps[WHOLE], label, weight, spec.key)
 
     def refit(algorithm: str) -> tuple[FittedEstimator, float]:
         params = by_key[algorithm, chosen[algorithm]["candidate"]].params
         started = time.monotonic()
-        estimator = fit_estimator(
-            fitting, algorithm, params, spec.task, len(classes), spec.weighted, total, spec.seed, spec.parallelism
-        )
+        estimator = fit_estimator(fitting, algorithm, params, spec.task, len(classes), spec.seed, spec.parallelism)
         return estimator, time.monotonic() - started
 
     refits = dict(zip(chosen, run_parallel(spark, refit, list(chosen), spec.parallelism)))
     models = {a: as_model(spec, classes, split.train, preps[WHOLE], estimator) for a, (estimator, _) in refits.items()}
-    fitting.unpersist()
+    fitting.release()
 
     test_metrics, board, finals = {}, [], {}
     for measured in measure(list(models.values()), split.test, spec):

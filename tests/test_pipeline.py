@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabwright import MULTI_CLASS, REGRESSION, TWO_CLASS, AlgoSpec, FeatureSpec, Registry, TrainSpec, feature_specs, score, train
-from tabwright.operators.estimators import MLLIB_MAX_DEPTH, build_learner
+from tabwright.operators.estimators import MLLIB_MAX_DEPTH, build_learner, growth_of
 from tabwright.operators.search import best_algorithm, best_candidates, candidate_table, cv_results, draw_candidates
 from tabwright.plans.registry import MODEL_ID_TAG, PARENT_MODEL, PROJECT_TAG, stale_entries
 from tabwright.plans.tracking import Tracker
@@ -256,12 +256,12 @@ def test_equal_scores_share_a_rank(spark):
 
 def test_parameters_reach_the_learners(spark):
     deep = {"n_estimators": 7, "max_depth": 12, "max_bins": 40, "min_samples_leaf": 3, "min_child_weight": 1.2, "learning_rate": 0.1}
-    forest = build_learner("random_forest", deep, MULTI_CLASS, True, 10.0, 1)
-    assert forest.getMaxDepth() == 12 and forest.getMaxBins() == 40 and forest.getNumTrees() == 7 and forest.getWeightCol() == "weight"
-    assert build_learner("xgb", deep, TWO_CLASS, False, 10.0, 1).getMinInstancesPerNode() == 5
-    assert build_learner("xgb", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 2
-    assert build_learner("gradient_boosting", deep, REGRESSION, False, 10.0, 1).getMinInstancesPerNode() == 3
-    assert build_learner("logistic_regression", {"C": 2.0}, TWO_CLASS, False, 50.0, 1).getRegParam() == 0.01
+    forest = growth_of("random_forest", deep, MULTI_CLASS, 4, 9, 1)
+    assert (forest.max_depth, forest.least_rows, forest.features_per_node, forest.classes, forest.bootstrap) == (12, 3, 3, 4, True)
+    level, leaf = (growth_of(a, deep, TWO_CLASS, 2, 9, 1) for a in ("xgb", "lgbm"))
+    assert (level.least_hessian, level.l2, level.leaves) == (1.2, 1.0, None) and (leaf.least_hessian, leaf.l2, leaf.leaves, leaf.least_rows) == (1.2, 0.0, 31, 20)
+    boosting = build_learner(deep, REGRESSION, True, 1)
+    assert boosting.getMinInstancesPerNode() == 3 and boosting.getMaxDepth() == 12 and boosting.getMaxBins() == 40 and boosting.getWeightCol() == "weight"
 
 
 @pytest.mark.parametrize("kind", ["bigint", "smallint", "float", "double", "decimal(10,2)"])
@@ -282,11 +282,11 @@ def test_deeper_trees_than_the_learner_has_are_refused(spark, sf):
     assert drawn[0].params["max_bins"] == 99 and "max_bins" not in drawn[1].params
 
 
-@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting"])
+@pytest.mark.parametrize("algorithm", ["random_forest", "gradient_boosting", "xgb", "lgbm"])
 def test_pieces_of_the_input_do_not_change_a_model(spark, sf, algorithm):
     df = orders(spark, sf)
     spec = spec_for(df, class_weights=False)
-    params = {"n_estimators": 4, "max_depth": 5, "min_samples_leaf": 1, "learning_rate": 0.1}
+    params = {"n_estimators": 4, "max_depth": 5, "min_samples_leaf": 1, "min_child_weight": 1.0, "learning_rate": 0.1}
     sums = set()
     for pieces in (1, 2, 4, 8):
         model = fit_one(df.repartition(pieces), spec, [0, 1], algorithm, params)
