@@ -60,7 +60,7 @@ class TrainedModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         self.prep.save(spark, f"{path}/prep")
-        self.estimator.save(f"{path}/estimator")
+        self.estimator.save(spark, f"{path}/estimator")
         about = {
             "task": self.task,
             "target": self.target,

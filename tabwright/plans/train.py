@@ -51,6 +51,9 @@ from tabwright.session import checkpoint_dir
 from tabwright.sources.tables import is_missing, write_table
 
 
+SMALL_ROWS = 2_000_000
+
+
 @dataclass
 class TrainResult:
     leaderboard: DataFrame  # one row per algorithm: best candidate, scores, test metrics
@@ -92,12 +95,20 @@ def label_column(spec: TrainSpec, classes: list) -> Column:
     return class_label(class_index(target, classes), classes)
 
 
+def on_all_cores(df: DataFrame) -> DataFrame:
+    """A small table may be one piece of one file: its rows are dealt out to all cores. Others stay where they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.count() <= SMALL_ROWS else df
+
+
 def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -> Split:
     """Drop rows without a target, split, weigh the classes, and write both sides if asked to.
 
     Rows are told apart by the key, or by the input's own columns: added weights change no side.
     """
     df = df.where(~is_missing(df, spec.target))
+    if table_path:
+        df = on_all_cores(df)
     keys = list(spec.key or df.columns)
     if spec.time_column:
         split = time_split(df, spec.time_column, spec.train_ratio)
