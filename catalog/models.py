@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.common import LINE_KEY, LINE_KEY_SQL, SEED, rounded, sql_fold, sql_unit, table, work_folder
+from tabwright.operators.blocks import blocks_of, cut_points
 from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FeatureSpec, fit_prep_per_fold
 from tabwright.operators.search import FOLD_SCORES, candidate_table, cross_validate, draw_candidates
@@ -568,15 +570,60 @@ def _shares_applied(name: str, learn: str, apply: str) -> str:
 )"""
 
 
+# rows of a class in the order of their hash, in three runs; the test side has no fold
+_STRATIFIED = f"""
+hashed AS (
+  SELECT o_orderkey, o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS finished,
+         {sql_unit(["o_orderkey"], SEED)} < {RATIO} AS in_train, md5(concat_ws(':', o_orderkey, '{SEED}', 'fold')) AS digest
+  FROM orders
+),
+dealt AS (
+  SELECT *, row_number() OVER (PARTITION BY in_train, finished ORDER BY digest) - 1 AS place, count(*) OVER (PARTITION BY in_train, finished) AS n
+  FROM hashed
+),
+stratified AS (
+  SELECT *, CASE WHEN in_train THEN CASE WHEN place >= 2 * n // 3 THEN 2 WHEN place >= n // 3 THEN 1 ELSE 0 END ELSE -1 END AS fold FROM dealt
+)"""
+
+
+def stratified_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per class and fold of the table that a search reads."""
+    orders = status_orders(spark, sf_dir)
+    split = split_table(orders, logistic_spec("finished", TWO_CLASS, False), f"{work_folder(spark)}/split", stratified=True)
+    return split.labelled.groupBy("finished", F.col("split_side").alias("side"), F.col("split_fold").alias("fold")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
+    )
+
+
+STRATIFIED_FOLDS = f"""
+WITH {_STRATIFIED}
+SELECT finished, CASE WHEN in_train THEN 'train' ELSE 'test' END AS side, fold, count(*) AS n_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM stratified GROUP BY 1, 2, 3"""
+
+
+def bin_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cut points of a feature with many values: how many, and whether each has the rank it stands for to 1/1024."""
+    lines = table(spark, sf_dir, "lineitem").select(F.array("l_extendedprice").alias("x"), F.xxhash64(*LINE_KEY).alias("key"), "l_extendedprice")
+    rows = lines.select(array_to_vector("x").alias("x"), F.lit(0.0).alias("y"), "key")
+    blocks = blocks_of(rows, "x", "y", None, "key", 1)
+    cuts = cut_points(blocks, [0], 256)[0].tolist()
+    n = blocks.rows
+    blocks.release()
+    below = [F.count(F.when(F.col("l_extendedprice") <= c, 1)) for c in cuts]
+    ranks = lines.agg(F.array(*below).alias("ranks"))
+    off = F.transform("ranks", lambda r, i: F.abs(r / n - (i + 1) / 256))
+    return ranks.select(F.size("ranks").alias("n_cuts"), (F.array_max(off) <= 1 / 1024).alias("exact_enough"), F.lit(n).cast("long").alias("n_rows"))
+
+
+BIN_EDGES = "SELECT 255 AS n_cuts, true AS exact_enough, count(*) AS n_rows FROM lineitem"
+
+
 def _shares_search_sql(metric: str) -> str:
     folds = " UNION ALL ".join(f"SELECT algorithm, {metric} AS score FROM fold{f}" for f in range(3))
     key = ["o_orderkey"]
     return f"""
-WITH finished AS (
-  SELECT o_orderpriority AS c, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS y,
-         {sql_unit(key, SEED)} < {RATIO} AS in_train, {sql_fold(key)} AS fold
-  FROM orders
-),
+WITH {_STRATIFIED},
+finished AS (SELECT o_orderpriority AS c, finished AS y, in_train, fold FROM stratified),
 {",".join(_shares_applied(f"fold{f}", f"in_train AND fold <> {f}", f"in_train AND fold = {f}") for f in range(3))},
 {_shares_applied("final", "in_train", "NOT in_train")},
 searched AS (SELECT algorithm, avg(score) AS best_score FROM ({folds}) GROUP BY algorithm)
@@ -701,6 +748,8 @@ QUERIES = {
     "train_decision_tree_regression": (_learned("level", REGRESSION, "decision_tree", TREE), LEVEL),
     "one_split_decision_tree": (_stump("dear", TWO_CLASS, "decision_tree", ONE_SPLIT), _stump_sql(_DEAR)),
     **_CLASS_SEARCHES,
+    "stratified_folds": (stratified_folds, STRATIFIED_FOLDS),
+    "bin_edges": (bin_edges, BIN_EDGES),
     "search_closed_form_mae": (lambda spark, sf_dir: search_closed_form(spark, sf_dir, "MAE"), SEARCH_CLOSED_FORM_MAE),
     "drawn_candidates": (drawn_candidates, DRAWN_CANDIDATES),
     "scored_table": (scored_table, _scored_table_sql()),

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabwright.functions.hashing import hash_below, hash_bucket, quoted, row_digest
 from tabwright.functions.quantiles import EVERY_ROW, exact_quantiles
@@ -48,13 +49,18 @@ class Split:
         """Rows per side, in one pass."""
         return self.labelled.groupBy(SPLIT_COLUMN).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    def write(self, path: str, k: int, seed: int, keys: Sequence[str] | None = None) -> Split:
-        """Write both sides in one pass, and go on from the written table.
+    def write(self, path: str, k: int, seed: int, keys: Sequence[str] | None = None, by: str | None = None) -> Split:
+        """Write both sides in one pass, and go on from the written table. Folds hold equal parts of each value of ``by``.
 
         Sides and folds are partitions of the table: a job that leaves out a fold, or reads only
         one, opens no file of the others and hashes nothing again.
         """
-        fold = F.when(F.col(SPLIT_COLUMN) == TRAIN, fold_number(k, seed, keys or self.columns)).otherwise(NO_FOLD)
+        keys = list(keys or self.columns)
+        if by is None:
+            number = fold_number(k, seed, keys)
+        else:
+            number = stratified_fold(by, keys, seed, fold_bounds(self.train, by, k, seed, keys))
+        fold = F.when(F.col(SPLIT_COLUMN) == TRAIN, number).otherwise(NO_FOLD)
         writer = self.labelled.withColumn(FOLD_COLUMN, fold).write.mode("overwrite")
         writer.partitionBy(SPLIT_COLUMN, FOLD_COLUMN).parquet(path)
         return Split(self.labelled.sparkSession.read.parquet(path), self.cut)
@@ -106,6 +112,66 @@ def fold_number(k: int, seed: int, keys: Sequence[str]) -> Column:
     return hash_bucket(keys, k, seed, "fold")
 
 
+FOLD_DIGITS = 3  # hex digits of the row hash that a pass looks at: 4096 ranges
+
+
+def fold_bounds(df: DataFrame, by: str, k: int, seed: int, keys: Sequence[str]) -> dict:
+    """For each value of ``by`` the k - 1 row hashes at which its folds begin: rows in the order of their hash
+    are dealt out in k runs whose sizes differ by one at most.
+
+    Rows are counted by value and leading digits; the range that holds a bound is counted again by the next
+    digits, until the bound is exact. Nothing is sorted or moved; each pass returns at most ``16 ** FOLD_DIGITS``
+    counts for a value, later ones only those of the ranges still open. Rows with one key and value can't be parted.
+    """
+    rows = df.select(F.col(quoted(by)).alias("value"), row_digest(keys, seed, "fold").alias("digest")).where("value IS NOT NULL")
+    bounds: dict = {}
+    open_: dict[tuple, list[tuple[int, int]]] = {}  # (value, digits so far): [(bound, rows before it in the range)]
+    digits = 0
+    while digits < 32:
+        known = rows
+        if digits:
+            ranges = df.sparkSession.createDataFrame(
+                list(open_), T.StructType([T.StructField("value", df.schema[by].dataType), T.StructField("prefix", T.StringType())])
+            )
+            known = rows.withColumn("prefix", F.substring("digest", 1, digits)).join(F.broadcast(ranges), ["value", "prefix"])
+        digits += FOLD_DIGITS
+        counted = known.groupBy("value", F.substring("digest", 1, digits).alias("prefix")).count().collect()
+        groups: dict[tuple, list[tuple[str, int]]] = {}
+        for value, prefix, n in counted:
+            groups.setdefault((value, prefix[: digits - FOLD_DIGITS]), []).append((prefix, n))
+        wanted, open_ = open_, {}
+        for (value, start), counts in groups.items():
+            counts.sort()
+            total = sum(n for _, n in counts)
+            if not start:
+                bounds[value] = ["g"] * (k - 1)  # behind every digit
+                wanted[value, start] = [(j, j * total // k) for j in range(1, k)]
+            for j, rank in wanted[value, start]:
+                before = 0
+                for prefix, n in counts:
+                    if before == rank:  # the bound is the range's beginning
+                        bounds[value][j - 1] = prefix
+                        break
+                    if before < rank < before + n:
+                        bounds[value][j - 1] = prefix
+                        if n > 1:
+                            open_.setdefault((value, prefix), []).append((j, rank - before))
+                        break
+                    before += n
+        if not open_:
+            break
+    return bounds
+
+
+def stratified_fold(by: str, keys: Sequence[str], seed: int, bounds: dict) -> Column:
+    """How many of its value's bounds a row's hash has reached."""
+    entries = [x for value, cuts in bounds.items() for x in (F.lit(value), F.array(*[F.lit(c) for c in cuts]))]
+    if not entries or not next(iter(bounds.values())):
+        return F.lit(0)
+    own = F.element_at(F.create_map(*entries), F.col(quoted(by)))
+    return F.coalesce(F.array_size(F.filter(own, lambda cut: cut <= row_digest(keys, seed, "fold"))), F.lit(NO_FOLD))
+
+
 def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str] | None = None) -> DataFrame:
     """``n`` rows with the smallest row hash: a uniform sample that can be repeated.
 

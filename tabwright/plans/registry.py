@@ -2,14 +2,22 @@
 
 Nothing is updated in place: versions, default pointers and removals are rows with a time, and
 readers take the latest. A job that dies half-way leaves earlier rows as they were.
+
+Writers are ordered by a log of numbered entries, of which each can be created only once. A writer
+reads the log, refuses what it finds taken, and tries to create the next entry; where another writer
+was faster it reads on and tries again. So of two writers of one version one wins and the other is
+refused, and neither touches the other's saved model. A version whose writer died stays taken.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,13 +90,17 @@ class Registry:
         for table, schema in (("versions", VERSIONS), ("defaults", DEFAULTS), ("removals", REMOVALS)):
             folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{table}")
             if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
-                spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{path}/{table}")
+                self._append(table, [], schema)
 
     def _read(self, table: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{self.path}/{table}")
 
     def _append(self, table: str, rows: Sequence[tuple], schema: str) -> None:
-        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{table}")
+        self._add(table, self.spark.createDataFrame(rows, schema).coalesce(1))
+
+    def _add(self, table: str, rows: DataFrame) -> None:
+        """Each write has a folder of its own: writers that end at one time don't clear each other's drafts away."""
+        rows.write.parquet(f"{self.path}/{table}/{uuid.uuid4().hex}")
 
     def versions(self) -> DataFrame:
         return current_versions(self._read("versions", VERSIONS), self._read("removals", REMOVALS))
@@ -113,10 +125,15 @@ class Registry:
         known = self.versions().where(F.col("model_name") == full_name).select("model_id").first()
         model_id = known["model_id"] if known else uuid.uuid4().hex[:8]
         taken = self._read("versions", VERSIONS).where((F.col("model_name") == full_name) & (F.col("version") == version))
-        if not taken.isEmpty():
-            raise ValueError(f"version {version!r} of {full_name!r} exists; versions are never overwritten")
-        path = f"{self.path}/artifacts/{full_name}/{version}"
+        if not taken.isEmpty() or self._taken(full_name, version):
+            raise _exists(full_name, version)
+        path = f"{self.path}/artifacts/{full_name}/{version}/{uuid.uuid4().hex}"
         model.save(self.spark, path)
+        try:
+            self._claim(full_name, version, path)
+        except ValueError:
+            self._delete(path)
+            raise
         tags = {APPLICATION_TAG: "tabwright", PROJECT_TAG: project_key, MODEL_ID_TAG: model_id}
         comment = f"Project: {project_key}, Model: {name}"
         classes = [str(c) for c in model.classes]
@@ -129,6 +146,69 @@ class Registry:
         self.set_default(full_name, version)
         return full_name
 
+    # --- the log of writers
+
+    def _file_system(self, path: str):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _entries(self) -> list[str]:
+        """Names of the log's entries, in order."""
+        folder, files = self._file_system(f"{self.path}/log")
+        if not files.exists(folder):
+            return []
+        return sorted(name for name in (s.getPath().getName() for s in files.listStatus(folder)) if name.isdigit())
+
+    def _entry(self, name: str) -> dict:
+        return json.loads("".join(r[0] for r in self.spark.read.text(f"{self.path}/log/{name}").collect()))
+
+    def _taken(self, model_name: str, version: str, read: dict[str, dict] | None = None) -> bool:
+        """Whether the log names the version; ``read`` keeps the entries read so far."""
+        read = {} if read is None else read
+        for name in self._entries():
+            if name not in read:
+                read[name] = self._entry(name)
+        return any(e["model_name"] == model_name and e["version"] == version for e in read.values())
+
+    def _claim(self, model_name: str, version: str, path: str) -> int:
+        """Create the log's next entry for the version; returns its number."""
+        text = json.dumps({"model_name": model_name, "version": version, "path": path})
+        read: dict[str, dict] = {}
+        while True:
+            if self._taken(model_name, version, read):
+                raise _exists(model_name, version)
+            number = int(max(read, default="0")) + 1
+            if self._create_once(f"{self.path}/log/{number:020d}", text):
+                return number
+
+    def _create_once(self, path: str, text: str) -> bool:
+        """Create a file with its content in one step; False if it is there already."""
+        draft = f"{self.path}/log_drafts/{uuid.uuid4().hex}"
+        target, files = self._file_system(path)
+        source, _ = self._file_system(draft)
+        for folder in (target.getParent(), source.getParent()):
+            files.mkdirs(folder)
+        stream = files.create(source, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        try:
+            if files.getScheme() == "file":
+                # a local rename would replace the other writer's entry, a link doesn't
+                os.link(source.toUri().getPath(), target.toUri().getPath())
+            else:
+                options = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                context = self.spark._jvm.org.apache.hadoop.fs.FileContext
+                context.getFileContext(files.getUri(), self.spark._jsc.hadoopConfiguration()).rename(source, target, options)
+            return True
+        except FileExistsError:
+            return False
+        except Py4JJavaError:
+            if files.exists(target):
+                return False
+            raise
+        finally:
+            files.delete(source, False)
+
     def _delete(self, path: str) -> None:
         """Remove a folder of this registry, on whatever file system it is."""
         if not path.startswith(f"{self.path}/artifacts/"):
@@ -179,11 +259,15 @@ class Registry:
         whole = F.col("gone") == PARENT_MODEL
         # one path per removed version
         paths = versions.join(named, "model_name").where(whole | (F.col("gone") == F.col("version"))).select("path").distinct().collect()
-        written.write.mode("append").parquet(f"{self.path}/removals")
+        self._add("removals", written)
         for row in paths:
             self._delete(row["path"])
         return written.select(F.col("model_name").alias("name"), "version")
 
 
+def _exists(model_name: str, version: str) -> ValueError:
+    return ValueError(f"version {version!r} of {model_name!r} exists; versions are never overwritten")
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)

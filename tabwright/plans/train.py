@@ -101,10 +101,11 @@ def on_all_cores(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.count() <= SMALL_ROWS else df
 
 
-def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -> Split:
+def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None, stratified: bool = False) -> Split:
     """Drop rows without a target, split, weigh the classes, and write both sides if asked to.
 
     Rows are told apart by the key, or by the input's own columns: added weights change no side.
+    ``stratified`` folds hold equal parts of each class.
     """
     df = df.where(~is_missing(df, spec.target))
     if table_path:
@@ -117,7 +118,8 @@ def split_table(df: DataFrame, spec: TrainSpec, table_path: str | None = None) -
     if spec.weighted:
         source = split.train if spec.weights_from == "train" else df
         split = Split(with_class_weights(split.labelled, spec.target, source), split.cut)
-    return split.write(table_path, spec.folds, spec.seed, keys) if table_path else split
+    by = spec.target if stratified and spec.folds > 1 else None
+    return split.write(table_path, spec.folds, spec.seed, keys, by) if table_path else split
 
 
 def fit_one(
@@ -186,7 +188,7 @@ def train(
     stamp = f"{datetime.now(timezone.utc):%Y_%m_%d_%H_%M_%S}_{uuid.uuid4().hex[:6]}"
     classes = target_classes(df, spec)
     folder = workdir or f"{checkpoint_dir(spark).rstrip('/')}/train-{uuid.uuid4().hex}"
-    split = split_table(df, spec, f"{folder}/tables/{spec.model_name}_{stamp}")
+    split = split_table(df, spec, f"{folder}/tables/{spec.model_name}_{stamp}", spec.is_classification)
 
     for side, output in ((TRAIN, train_output), (TEST, test_output)):
         if output is not None:

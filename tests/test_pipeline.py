@@ -351,3 +351,31 @@ def test_versions_are_not_overwritten(spark, trained, tmp_path):
     registry.register(result.best_model, "m", "P", "v1", "run", "{}", {})
     with pytest.raises(ValueError, match="exists"):
         registry.register(result.best_model, "m", "P", "v1", "run", "{}", {})
+
+
+def test_two_writers_of_one_version(spark, sf, tmp_path):
+    """One wins, the others are refused; no saved model is lost or overwritten, the pointer shows the winner's."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    df = orders(spark, sf)
+    spec = spec_for(df, class_weights=False)
+    model = fit_one(df, spec, [0, 1], "decision_tree", {"max_depth": 2, "min_samples_leaf": 1})
+    path = str(tmp_path / "registry")
+    Registry(spark, path)
+
+    def register(version: str) -> str:
+        try:
+            return Registry(spark, path).register(model, "m", "P", version, f"run {version}", "{}", {})
+        except ValueError as refused:
+            return str(refused)
+
+    with ThreadPoolExecutor(6) as pool:
+        outcomes = list(pool.map(register, ["v1", "v1", "v1", "v2", "v2", "v3"]))
+    assert outcomes.count("P_m") == 3 and sum("exists" in o for o in outcomes) == 3
+    registry = Registry(spark, path)
+    versions = {r["version"]: r["path"] for r in registry.versions().collect()}
+    assert set(versions) == {"v1", "v2", "v3"} and registry.versions().count() == 3
+    assert [e["version"] for e in map(registry._entry, registry._entries())].__len__() == 3 == len(set(registry._entries()))
+    for version, where in versions.items():
+        assert registry.load("P_m", version)[0].score(df).count() == df.count() and registry._file_system(where)[1].exists(registry._file_system(where)[0])
+    assert registry.find("P_m")["version"] in versions and "exists" in register("v1")

@@ -81,3 +81,18 @@ def test_many_classes_are_refused(spark):
     assert class_list(spark.range(5).withColumnRenamed("id", "y"), "y") == [0, 1, 2, 3, 4]
     with pytest.raises(ValueError):
         class_list(spark.range(50), "id", max_classes=10)
+
+
+@pytest.mark.parametrize("k", [2, 3, 5])
+def test_stratified_folds_part_each_class_evenly(spark, k, tmp_path):
+    df = spark.range(5000).select("id", F.when(F.col("id") % 97 == 0, "rare").when(F.col("id") % 3 == 0, "some").otherwise("many").alias("y"))
+    df = df.unionByName(spark.createDataFrame([(9000, "single"), (9001, None)], "id long, y string"))
+    split = random_split(df, 0.8, 7, ["id"])
+    made = [split.write(str(tmp_path / str(p)), k, 7, ["id"], "y").labelled.repartition(p).where("split_side = 'train' AND y IS NOT NULL") for p in (1, 5)]
+    counts = {}
+    for y, fold, n in made[0].groupBy("y", "split_fold").count().collect():
+        counts.setdefault(y, {})[fold] = n
+    for y, folds in counts.items():
+        sizes = [folds.get(f, 0) for f in range(k)]
+        assert set(folds) <= set(range(k)) and max(sizes) - min(sizes) <= 1, (y, sizes)
+    assert made[0].exceptAll(made[1]).isEmpty()
