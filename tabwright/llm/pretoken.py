@@ -22,7 +22,9 @@ LETTER, NUMBER, BLANK, OTHER, UNKNOWN = 1, 2, 3, 4, 5
 PLAIN = ((0x0000, 0x0530), (0x2000, 0x2070))
 _SIZE = 0x2070
 #: A longer pre-token isn't kept; so many are.
-LONGEST, MOST_KEPT = 64, 1 << 22
+LONGEST, MOST_KEPT = 64, 1 << 20
+#: Bytes of text whose characters are looked at together, at several numbers each.
+STRETCH = 1 << 20
 # What follows an apostrophe in a contraction.
 CONTRACTIONS = ("s", "t", "m", "d", "re", "ve", "ll")
 
@@ -99,7 +101,7 @@ class CachedTokenizer:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """(ids, number of ids of each text) of stretches of neighbouring texts."""
-        for begin, stop in shares(offsets, 1 << 22):
+        for begin, stop in shares(offsets, STRETCH):
             own = offsets[begin : stop + 1]
             yield self._stretch(data[own[0] : own[-1]], own - own[0])
 

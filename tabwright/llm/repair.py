@@ -3,7 +3,7 @@
 Documents are sorted by doc_id over range partitions. A task encodes its documents, cuts them into
 shards of about ``SHARD_TOKENS`` ids and compresses each: in every round frequent pairs of
 neighbouring symbols are replaced by new symbols, of overlapping pairs the more frequent one,
-until a round replaces too little. Pairs never cross a document's end, so each document is a
+until no pair occurs ``LEAST_COUNT`` times. Pairs never cross a document's end, so each document is a
 stretch of symbols of its own.
 
 File format: a Parquet table with one row per shard.
@@ -30,14 +30,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import map_batches, spread
+from tabwright.llm.common import give_back, map_batches, spread
 from tabwright.llm.pretoken import _gather, cached_tokenizer
 from tabwright.llm.wordhash import text_bytes
 
 END_ID = 2
 SHARD_TOKENS = 1 << 19
-#: A pair is replaced if a round finds it so often; rounds end when one saves less than this share.
-LEAST_COUNT, LEAST_GAIN = 24, 0.04
+#: A pair is replaced if it can be so often: a rule takes 12 bytes, a symbol 2 or 4, so rarer pairs gain nothing.
+LEAST_COUNT = 8
 _TABLE_BITS = 20
 
 SHARD_SCHEMA = (
@@ -46,32 +46,57 @@ SHARD_SCHEMA = (
 )
 
 
-def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(symbols, documents' ends among them, rules as pairs, first rule's symbol)."""
+def _places(symbols: np.ndarray, ends: np.ndarray, least_count: int, exact: bool) -> np.ndarray:
+    """Places of pairs to replace in this round: no two overlap.
+
+    Of overlapping pairs the more frequent one is taken, of equally frequent ones that with the larger
+    hash, which is the same one wherever the two meet; in a run of one symbol every second pair.
+    """
+    mixed = symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)
+    hashed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+    slot = hashed >> np.uint32(32 - _TABLE_BITS)
+    allowed = np.ones(len(symbols), bool)
+    allowed[ends[ends > 0] - 1] = False
+    allowed = allowed[:-1]
+    # counts by slot guide the choice, exact ones where those find nothing more; the pairs chosen are counted themselves
+    if exact:
+        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
+        slot = np.unique(pairs, return_inverse=True)[1]
+    often = np.bincount(slot[allowed], minlength=1 << _TABLE_BITS)[slot]
+    weight = (often.astype(np.uint64) << np.uint64(32)) | hashed
+    weight[~allowed] = 0
+    chosen = allowed & (often >= least_count)
+    same = (symbols[:-2] == symbols[1:-1]) & (symbols[1:-1] == symbols[2:]) & allowed[1:] & allowed[:-1]
+    chosen[1:] &= (weight[1:] > weight[:-1]) | same
+    chosen[:-1] &= (weight[:-1] >= weight[1:]) | same
+    if same.any():
+        index = np.arange(len(chosen))
+        begun = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), index, 0))
+        chosen &= (index - begun) % 2 == 0
+    return np.flatnonzero(chosen)
+
+
+def compress(ids: np.ndarray, ends: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(symbols, documents' ends among them, rules as pairs, first rule's symbol).
+
+    Rounds go on until no pair can be replaced ``least_count`` times.
+    """
     symbols, ends = ids.astype(np.uint32), ends.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
     rules: list[np.ndarray] = []
-    n_rules = 0
+    n_rules, exact = 0, False
     while len(symbols) > 1:
-        mixed = symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)
-        slot = ((mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - _TABLE_BITS)
-        allowed = np.ones(len(symbols), bool)
-        allowed[ends[ends > 0] - 1] = False
-        allowed = allowed[:-1]
-        # counts by slot guide the choice; the pairs chosen are counted themselves below
-        often = np.bincount(slot[allowed], minlength=1 << _TABLE_BITS).astype(np.int32)[slot]
-        often[~allowed] = 0
-        chosen = often >= LEAST_COUNT
-        chosen[1:] &= often[1:] > often[:-1]
-        chosen[:-1] &= often[:-1] >= often[1:]
-        at = np.flatnonzero(chosen)
+        at = _places(symbols, ends, least_count, exact)
         pairs, which, counts = np.unique(
             (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_inverse=True, return_counts=True
         )
-        frequent = counts >= LEAST_COUNT
+        frequent = counts >= least_count
         used = frequent[which]
-        if used.sum() < LEAST_GAIN * len(symbols):
-            break
+        if not used.any():
+            if exact:
+                break
+            exact = True
+            continue
         names = np.cumsum(frequent) - 1 + base + n_rules
         at, new = at[used], names[which[used]].astype(np.uint32)
         kept = pairs[frequent]
@@ -171,9 +196,9 @@ class Shard:
         return symbol
 
 
-def _shard_row(part: int, shard: int, first: int, doc_ids: list, parts: list[np.ndarray]) -> pa.RecordBatch:
+def _shard_row(part: int, shard: int, first: int, doc_ids: list, parts: list[np.ndarray], least_count: int) -> pa.RecordBatch:
     sizes = np.array([len(p) for p in parts], np.int64)
-    symbols, ends, pairs, base = compress(np.concatenate(parts), np.cumsum(sizes))
+    symbols, ends, pairs, base = compress(np.concatenate(parts), np.cumsum(sizes), least_count)
     wide = bool(base + len(pairs) > 1 << 16)
     values = {
         "part": part, "shard": shard, "first": first, "doc_ids": doc_ids, "n_tokens": sizes.tolist(),
@@ -193,7 +218,7 @@ _ARROW = pa.schema(
 )
 
 
-def _encoder(tokenizer_path: str, shard_tokens: int):
+def _encoder(tokenizer_path: str, shard_tokens: int, least_count: int):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = cached_tokenizer(tokenizer_path)
         part = TaskContext.get().partitionId()
@@ -209,15 +234,17 @@ def _encoder(tokenizer_path: str, shard_tokens: int):
                     doc_ids.append(names[place])
                     at, place, held = at + count, place + 1, held + count + 1
                     if held >= shard_tokens:
-                        yield _shard_row(part, shard, first, doc_ids, parts)
+                        yield _shard_row(part, shard, first, doc_ids, parts, least_count)
                         shard, first, held, doc_ids, parts = shard + 1, first + held, 0, [], []
         if parts:
-            yield _shard_row(part, shard, first, doc_ids, parts)
+            yield _shard_row(part, shard, first, doc_ids, parts, least_count)
+        parts.clear()
+        give_back()
 
     return encode
 
 
-def write_shards(docs: DataFrame, path: str, tokenizer_path: str, shard_tokens: int = SHARD_TOKENS) -> None:
+def write_shards(docs: DataFrame, path: str, tokenizer_path: str, shard_tokens: int = SHARD_TOKENS, least_count: int = LEAST_COUNT) -> None:
     """Encode ``text`` of all documents in ascending doc_id order and write the shards to ``path``.
 
     A null or empty text has only the end id. Rows that share a doc_id stand in the order of their
@@ -229,7 +256,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer_path: str, shard_tokens:
         .sortWithinPartitions("doc_id", "text")
     )
     # a row is a whole shard: look at sizes after every row, not after a hundred
-    shards = map_batches(ordered, _encoder(tokenizer_path, shard_tokens), SHARD_SCHEMA)
+    shards = map_batches(ordered, _encoder(tokenizer_path, shard_tokens, least_count), SHARD_SCHEMA)
     each_row = {"parquet.block.size.row.check.min": "1", "parquet.page.size.row.check.min": "1"}
     shards.write.options(**each_row, **{"parquet.enable.dictionary": "false"}).parquet(path)
 

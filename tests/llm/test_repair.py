@@ -79,3 +79,31 @@ def test_files_give_back_all_ids(spark, request, tmp_path, table):
     found = sorted((tuple(r) for r in repair.documents_of(spark, path).collect()), key=str)
     assert found == expected([(r["doc_id"], r["text"]) for r in docs.collect()])
     assert repair.decoded(spark, path).count() == len(found)
+
+
+@pytest.mark.parametrize("kind", ["run", "passage", "runs", "mixed"])
+def test_repetitive_shards_shrink_below_one_percent(kind):
+    rnd = np.random.default_rng(2)
+    passage = rnd.integers(0, 50_000, 40).astype(np.uint32)
+    ids = {
+        "run": np.full(200_000, 7, np.uint32), "passage": np.tile(passage, 5000), "runs": np.tile(np.repeat([3, 3, 5], 7), 9000).astype(np.uint32),
+        "mixed": np.concatenate([np.tile(passage, 5000), rnd.integers(0, 50_000, 900).astype(np.uint32)]),
+    }[kind]
+    ends = np.array([0, len(ids) // 3, len(ids) // 3, len(ids)])
+    symbols, cuts, pairs, base = repair.compress(ids, ends)
+    lengths = repair.expansion_lengths(pairs, base)
+    assert len(symbols) < 0.01 * len(ids) and len(pairs) < 400
+    flat, begins = repair.rule_table(pairs, base, lengths)
+    assert (repair.expand(symbols, base, lengths, flat, begins) == ids).all()
+    sizes = np.concatenate([[0], np.cumsum(np.where(symbols >= base, lengths[np.maximum(symbols.astype(int) - base, 0)], 1))])
+    assert (sizes[cuts] == ends).all()
+
+
+def test_rounds_end_when_no_pair_is_frequent():
+    rnd = np.random.default_rng(6)
+    for least in (2, 8):
+        ids = rnd.zipf(1.4, 20_000).clip(max=3000).astype(np.uint32)
+        symbols, cuts, pairs, base = repair.compress(ids, np.array([len(ids)]), least)
+        found, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
+        apart = found[0] != found[1]  # pairs of one symbol overlap each other
+        assert counts[apart].max() < least
