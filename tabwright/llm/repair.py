@@ -3,7 +3,7 @@
 Documents are sorted by doc_id over range partitions. A task encodes its documents, cuts them into
 shards of about ``SHARD_TOKENS`` ids and compresses each: in every round frequent pairs of
 neighbouring symbols are replaced by new symbols, of overlapping pairs the more frequent one,
-until no pair occurs ``LEAST_COUNT`` times. Pairs never cross a document's end, so each document is a
+until a round saves next to nothing (``LEAST_GAIN``). Pairs never cross a document's end, so each document is a
 stretch of symbols of its own.
 
 File format: a Parquet table with one row per shard.
@@ -38,6 +38,8 @@ END_ID = 2
 SHARD_TOKENS = 1 << 19
 #: A pair is replaced if it can be so often: a rule takes 12 bytes, a symbol 2 or 4, so rarer pairs gain nothing.
 LEAST_COUNT = 8
+#: Rounds end when one saves less than this share of the symbols; 0: when no pair is frequent.
+LEAST_GAIN = 0.001
 _TABLE_BITS = 20
 
 SHARD_SCHEMA = (
@@ -76,10 +78,13 @@ def _places(symbols: np.ndarray, ends: np.ndarray, least_count: int, exact: bool
     return np.flatnonzero(chosen)
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, least_count: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+def compress(
+    ids: np.ndarray, ends: np.ndarray, least_count: int = LEAST_COUNT, least_gain: float = LEAST_GAIN
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(symbols, documents' ends among them, rules as pairs, first rule's symbol).
 
-    Rounds go on until no pair can be replaced ``least_count`` times.
+    Rounds go on until one saves less than ``least_gain`` of the symbols; with 0 until no pair can be
+    replaced ``least_count`` times.
     """
     symbols, ends = ids.astype(np.uint32), ends.astype(np.int64)
     base = int(symbols.max()) + 1 if len(symbols) else 0
@@ -92,8 +97,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, least_count: int = LEAST_COUNT)
         )
         frequent = counts >= least_count
         used = frequent[which]
-        if not used.any():
-            if exact:
+        if not used.any() or used.sum() < least_gain * len(symbols):
+            if exact or least_gain:
                 break
             exact = True
             continue

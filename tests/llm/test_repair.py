@@ -103,7 +103,7 @@ def test_rounds_end_when_no_pair_is_frequent():
     rnd = np.random.default_rng(6)
     for least in (2, 8):
         ids = rnd.zipf(1.4, 20_000).clip(max=3000).astype(np.uint32)
-        symbols, cuts, pairs, base = repair.compress(ids, np.array([len(ids)]), least)
+        symbols, cuts, pairs, base = repair.compress(ids, np.array([len(ids)]), least, 0)
         found, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
         apart = found[0] != found[1]  # pairs of one symbol overlap each other
         assert counts[apart].max() < least
