@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabwright.llm.common import map_batches
+from tabwright.llm.common import give_back, map_batches
 from tabwright.llm.wordhash import LOWER, shares, text_bytes
 
 SAMPLE = 3000
@@ -393,7 +393,12 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     by_hash = [F.xxhash64("doc_id", "text"), F.col("doc_id"), F.col("text")]
     rows = found.where("toxic = 1").orderBy(*by_hash).limit(sample).unionAll(found.where("toxic = 0").orderBy(*by_hash).limit(sample)).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"]))
-    return fit([r["text"] for r in rows], [r["toxic"] for r in rows], (total[1] or 0) / total[0] if total[0] else 0.0)
+    texts, marks = [r["text"] for r in rows], [r["toxic"] for r in rows]
+    del rows
+    model = fit(texts, marks, (total[1] or 0) / total[0] if total[0] else 0.0)
+    texts.clear()
+    give_back()
+    return model
 
 
 def _scorer(model, place: int):
@@ -405,6 +410,7 @@ def _scorer(model, place: int):
                 [*batch.columns[:place], *batch.columns[place + 1 :], pa.array(found)],
                 names=[*batch.schema.names[:place], *batch.schema.names[place + 1 :], "score"],
             )
+        give_back()
 
     return score
 
@@ -431,5 +437,6 @@ def without_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
         model: Model = shared.value
         for batch in batches:
             yield batch.filter(pa.array(model.probability(margins(batch.column(place), model)) < 0.5))
+        give_back()
 
     return map_batches(docs, clean, schema)
