@@ -24,7 +24,7 @@ from tabwright.operators.split import FOLD_COLUMN
 _FOLD, _TARGET, _WEIGHT = (f"{OWN_PREFIX}{name}" for name in ("fold", "target", "weight"))
 
 
-@dataclass(frozen=True, eq=False)
+@dataclass(frozen=True)
 class Candidate:
     algorithm: str
     number: int
@@ -85,7 +85,7 @@ def cross_validate(
     for fold in folds:
         rows = prepared_for_fitting(train.where(F.col(FOLD_COLUMN) != fold), preps[fold], label, weight_column, keys)
         held_out = prepared(train.where(F.col(FOLD_COLUMN) == fold), preps[fold], label, None)
-        waiting = [(c, fitted, seconds) for (c, at), (fitted, seconds) in ready.items() if at == fold]
+        waiting = [entry for (_, at), entry in ready.items() if at == fold]
         logistic = [c for c in rest if c.algorithm == "logistic_regression"]
         if logistic:
             started = time.monotonic()
@@ -115,7 +115,7 @@ def _lasso_folds(
     weight_column: str | None, found: dict,
 ) -> dict:
     """Fit all lasso candidates on all folds from one scan. Scores that follow from the sums go to ``found``;
-    the fits of (candidate, fold) that must be scored on rows come back."""
+    the fits that must be scored on rows come back, by candidate number and fold."""
     lasso = [c for c in candidates if c.algorithm == "lasso"]
     if not lasso:
         return {}
@@ -141,7 +141,7 @@ def _lasso_folds(
                 score = {"r2": lambda: 1 - squares / spread, "mse": lambda: squares / n, "rmse": lambda: math.sqrt(max(squares, 0.0) / n)}[metric]()
                 found["lasso", candidate.number, fold] = (signed(metric, float(score)), seconds)
             else:
-                ready[candidate, fold] = (FittedEstimator("lasso", REGRESSION, 0, [model]), seconds)
+                ready[candidate.number, fold] = (candidate, FittedEstimator("lasso", REGRESSION, 0, [model]), seconds)
     return ready
 
 
