@@ -3,7 +3,9 @@
 Two strings are alike by the letter subsequences of three and four letters that they share, each
 weighed by ``DECAY`` per skipped character, in any script. So ``i.d.i.o.t`` and ``idxiot`` stay close to
 ``idiot``. The machine is linear in Nyström features: similarities to ``landmarks`` (words that
-mark either label, and random stretches), whitened by the landmarks' own kernel matrix.
+mark toxic documents, and random stretches), whitened by the landmarks' own kernel matrix. The
+``MARKED`` strongest words are landmarks, and beyond them each word that explains ``LEAST_EXPLAINED``
+toxic documents without a sure word so far: their number follows from the labels.
 
 Labels are of documents, insults are a few characters, so a document's score is that of its most
 toxic stretch, and training picks that stretch anew in every round (a toxic document needs one
@@ -48,6 +50,8 @@ REACH = 8
 #: A stretch holds the subsequences that begin at so many neighbouring characters.
 WIDTH = 10
 MARKED, RANDOM = 64, 64
+#: Toxic documents without another sure word that make a word sure.
+LEAST_EXPLAINED = 12
 ROUNDS = 4
 #: Forms of each word that surely marks a label, and what each counts in training. Short words have few
 #: subsequences, so plain forms are asked for a larger margin than other examples, disguises for one between.
@@ -55,6 +59,8 @@ VARIANTS, FORM_WEIGHT = 8, 3.0
 PLAIN_MARGIN, DISGUISE_MARGIN = 3.0, 2.0
 COST = 1.0
 PIECE = 1 << 18
+#: Features computed at a time.
+HELD = 1 << 23
 _PLAIN = np.zeros(256, np.uint8)
 _PLAIN[97:123] = np.arange(1, 27)
 _PLAIN = _PLAIN[LOWER]
@@ -249,6 +255,12 @@ class _Features:
                 np.add.at(out, at, np.float32(weight))
         return out.reshape(-1, wide)[:, 1:]
 
+    def projected(self, strings: list[bytes], size: int, onto: np.ndarray) -> np.ndarray:
+        """Features times ``onto``, from a few strings at a time."""
+        step = max(1, HELD // (self.count + 1))
+        parts = [self.of(strings[i : i + step], size) @ onto for i in range(0, len(strings), step)]
+        return np.concatenate([np.zeros((0, onto.shape[1]), np.float32), *parts])
+
     def tables(self, weights: np.ndarray) -> dict[int, np.ndarray]:
         out = {}
         for letters, (used, first) in self.used.items():
@@ -267,6 +279,29 @@ def _disguises(word: bytes, rng: np.random.Generator) -> list[bytes]:
     return [b"\0" + v for v in out]
 
 
+def _words(text: bytes) -> set[bytes]:
+    return {w for words in _WORDS for w in words.findall(text)}
+
+
+def _explaining(strings: list[bytes], sure: list[bytes], candidates: list[bytes]) -> list[bytes]:
+    """Candidates, the first ones first, that occur in ``LEAST_EXPLAINED`` strings without a sure word so far.
+
+    A word of many copies of one text adds nothing beside the stronger word that the copies share.
+    """
+    holders: dict[bytes, list[int]] = {w: [] for w in candidates}
+    explained, known = np.zeros(len(strings), bool), set(sure)
+    for k, own in enumerate(map(_words, strings)):
+        explained[k] = not own.isdisjoint(known)
+        for word in own & holders.keys():
+            holders[word].append(k)
+    found = []
+    for word in candidates:
+        if np.count_nonzero(~explained[holders[word]]) >= LEAST_EXPLAINED:
+            found.append(word)
+            explained[holders[word]] = True
+    return found
+
+
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: np.ndarray) -> np.ndarray:
     """A linear machine with squared hinge loss below each example's margin, by Newton steps on its support vectors."""
     x = np.hstack([x, np.ones((len(x), 1))])
@@ -308,19 +343,25 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     strings = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
     toxic, clean = Counter(), Counter()
     for own, label in zip(strings, y):
-        (toxic if label > 0 else clean).update({w for words in _WORDS for w in words.findall(own)})
+        (toxic if label > 0 else clean).update(_words(own))
     n_toxic, n_clean = (y > 0).sum(), (y < 0).sum()
     odds = {}
     for word in toxic:
         p, q = (toxic[word] + 0.5) / (n_toxic + 1), (clean[word] + 0.5) / (n_clean + 1)
         odds[word] = (np.log(p / (1 - p)) - np.log(q / (1 - q))) * np.sqrt(toxic[word])
     marked: list[bytes] = []
-    for word in sorted(odds, key=lambda w: (-odds[w], -len(w), w)):
+    strongest = sorted(odds, key=lambda w: (-odds[w], -len(w), w))
+    for word in strongest:
         # a run within a word that marks exactly as much adds nothing
         if not any(word in other and odds[word] == odds[other] for other in marked):
             marked.append(word)
         if len(marked) == MARKED:
             break
+    sure = [w for w in marked if toxic[w] >= max(5, 0.02 * n_toxic) and toxic[w] > 20 * clean[w]]
+    candidates = [w for w in strongest if toxic[w] >= LEAST_EXPLAINED and toxic[w] > 20 * clean[w]]
+    more = _explaining([s for s, label in zip(strings, y) if label > 0], sure, candidates)
+    sure += more
+    marked += [w for w in more if w not in marked]
     rng = np.random.default_rng(11)
     span = WIDTH + REACH
     some = []
@@ -330,7 +371,6 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     landmarks = [b"\0" + w for w in marked] + [x for x in dict.fromkeys(some) if sum(map(bool, x)) > 3]
     if not landmarks:
         landmarks = [bytes([1, 2, 3, 4])]
-    sure = [w for w in marked if toxic[w] >= max(5, 0.02 * n_toxic) and toxic[w] > 20 * clean[w]]
     common = sorted((w for w in clean if len(w) > 3), key=lambda w: (-clean[w], w))[: 2 * len(sure)]
     disguised = [v for w in sure + common for v in _disguises(w, rng)]
     disguise_label = [1.0] * (len(sure) * VARIANTS) + [-1.0] * (len(common) * VARIANTS)
@@ -346,7 +386,7 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     marks = np.array([max(odds[w], 0) for w in marked])
     _, where = _best(data, offsets, features.tables((phi[: len(marked)] * marks[:, None]).sum(axis=0)))
     project = (phi.T @ whiten).astype(np.float32)
-    extra = features.of(disguised, span) @ project if disguised else np.zeros((0, project.shape[1]), np.float32)
+    extra = features.projected(disguised, span, project)
     kept_x: dict[tuple[int, int], np.ndarray] = {}
     weights, offset = np.zeros(features.count), 0.0
     best = np.zeros(len(strings))
@@ -355,10 +395,8 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
         now = [(k, int(at)) for k, at in enumerate(where)]
         chosen = [key for key in kept_x if y[key[0]] < 0] + [key for key in now if y[key[0]] > 0 or key not in kept_x]
         fresh = [key for key in chosen if key not in kept_x]
-        for i in range(0, len(fresh), 512):
-            part = fresh[i : i + 512]
-            rows = features.of([data[at : min(at + span, offsets[k + 1])].tobytes() for k, at in part], span) @ project
-            kept_x.update(zip(part, rows))
+        rows = features.projected([data[at : min(at + span, offsets[k + 1])].tobytes() for k, at in fresh], span, project)
+        kept_x.update(zip(fresh, rows))
         own = np.array([y[k] for k, _ in chosen] + disguise_label)
         x = np.vstack([np.array([kept_x[key] for key in chosen]), extra]).astype(np.float64)
         balance = np.where(own > 0, len(own) / (2 * (own > 0).sum()), len(own) / (2 * (own < 0).sum()))
@@ -396,7 +434,7 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts, marks = [r["text"] for r in rows], [r["toxic"] for r in rows]
     del rows
     model = fit(texts, marks, (total[1] or 0) / total[0] if total[0] else 0.0)
-    texts.clear()
+    del texts
     give_back()
     return model
 

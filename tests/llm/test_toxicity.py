@@ -111,6 +111,25 @@ def test_labels_teach_other_scripts(insult, words):
     assert (found == np.repeat([False, True], 20)).mean() > 0.9
 
 
+def test_every_word_that_labels_teach_is_caught():
+    rng = np.random.default_rng(8)
+    invented = lambda: "".join(rng.choice(list("bcdfgklmnprstvz")) + rng.choice(list("aeiou")) for _ in range(4))
+    plain = [invented() for _ in range(400)]
+    insults = [invented() for _ in range(120)]
+    prose = lambda: list(rng.choice(plain, 40))
+    toxic = [" ".join([*prose(), w, *prose()]) for w in insults for _ in range(20)]
+    clean = [" ".join(prose() + prose()) for _ in range(2400)]
+    model = toxicity.fit(clean + toxic, [0] * len(clean) + [1] * len(toxic), 0.5)
+    hit = lambda texts: model.probability(best(texts, model) + model.offset) >= 0.5
+    assert hit([" ".join([*prose(), w, *prose()]) for w in insults]).mean() >= 0.9
+    assert hit([" ".join(prose() + prose()) for _ in range(300)]).mean() <= 0.1
+
+
+def test_copies_of_one_document_teach_one_word():
+    texts = [b"\x01\x02\x03\x00\x04\x05\x06"] * 30 + [b"\x01\x02\x03"] * 2 + [b"\x07\x08\x09"] * 11
+    assert toxicity._explaining(texts, [], [b"\x01\x02\x03", b"\x04\x05\x06", b"\x07\x08\x09"]) == [b"\x01\x02\x03"]
+
+
 def test_a_sent_model_is_the_same(model):
     again = pickle.loads(pickle.dumps(model))
     assert len(pickle.dumps(model)) < 5e6 and all((again.tables[n] == t).all() for n, t in model.tables.items())
