@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import let
+from tabwright.llm.common import let, unused
 
 
 def host_of(url: Column) -> Column:
@@ -81,15 +81,19 @@ def evaluated(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def filtered(captures: DataFrame, entries: DataFrame, url: str = "url", day: str = "day") -> DataFrame:
-    """``captures`` with n_active, blocked, rule and listed_since; every row stays, copies too."""
+    """``captures`` with n_active, blocked, rule and listed_since; every row stays, copies too.
+
+    Where the captures have a column of such a name already, the new one has underscores before it.
+    """
+    n_active, blocked, rule, since = (unused(captures.columns, c) for c in ("n_active", "blocked", "rule", "listed_since"))
     seen = evaluated(captures.select(F.col(url).alias("url"), F.col(day).alias("day")), entries).toDF(
         "seen_url", "seen_day", "n_active", "rule", "listed_since"
     )
     same = (captures[url].cast("string") == seen["seen_url"]) & (captures[day].cast("date") == seen["seen_day"])
     joined = captures.join(seen, same, "left")
     return joined.select(
-        *(captures[c] for c in captures.columns), F.coalesce(seen["n_active"], F.lit(0)).cast("long").alias("n_active"),
-        seen["n_active"].isNotNull().alias("blocked"), seen["rule"], seen["listed_since"],
+        *(captures[c] for c in captures.columns), F.coalesce(seen["n_active"], F.lit(0)).cast("long").alias(n_active),
+        seen["n_active"].isNotNull().alias(blocked), seen["rule"].alias(rule), seen["listed_since"].alias(since),
     )
 
 

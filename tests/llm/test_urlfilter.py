@@ -65,6 +65,16 @@ def test_captures_meet_what_was_listed_that_day(spark):
     assert since == {day(5)}
 
 
+def test_columns_of_the_same_names_stay(spark):
+    entries = spark.createDataFrame(ENTRIES, "list string, pattern string, day date, listed boolean")
+    own = {"Rule": F.lit("mine"), "n_active": F.lit(7), "blocked": F.lit("no"), "_blocked": F.lit("yes"), "seen_url": F.lit(1), "from_day": F.lit(2)}
+    captures = spark.createDataFrame([("https://example.org", day(3))], "url string, day date").withColumns(own)
+    found = urlfilter.filtered(captures, entries)
+    assert found.columns == [*captures.columns, "_n_active", "__blocked", "_rule", "listed_since"]
+    row = found.select("Rule", "_rule", "n_active", "_n_active", "blocked", "__blocked").first()
+    assert tuple(row) == ("mine", "example.org", 7, 1, "no", True)
+
+
 def test_empty_lists_and_captures(spark):
     entries = spark.createDataFrame(ENTRIES, "list string, pattern string, day date, listed boolean")
     captures = spark.createDataFrame([("https://example.org", day(3))], "url string, day date")
