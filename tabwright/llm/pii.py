@@ -6,7 +6,9 @@ weak evidence. Five labellers vote on every candidate, failed and passed base ma
 shape, a gazetteer, words before it, the character before it, an assignment before it.
 Expectation-maximisation over the counts of vote patterns (at most a few thousand, whatever the
 corpus) estimates how reliable each labeller is; the posteriors train a logistic classifier of
-spans, which decides about the candidates that aren't base spans. DataFrame operations only.
+spans, from the votes and from what a span is made of (length, digits, letter cases, variety, each
+with a weight per kind), which decides about the candidates that aren't base spans. DataFrame
+operations only.
 
 Starts and ends count code points, the end is exclusive.
 """
@@ -23,7 +25,9 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("number", "handle", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
 VOTES = ("shape", "gazetteer", "context", "neighbour", "assignment")
-#: Characters before a candidate in which labellers look for words.
+#: What the classifier sees of a span itself, and how many values each has.
+TRAITS = {"length": 3, "digits": 3, "cases": 2, "variety": 3}
+#: Characters before a candidate in which labellers look for words, back to the last match of the pattern at most.
 CONTEXT = 24
 #: Prefix sums over matches are made in blocks of so many.
 BLOCK = 256
@@ -69,19 +73,25 @@ def before(lengths: Column) -> Column:
     return let(lengths.cast("array<bigint>"), lambda x: F.when(F.size(x) == 0, none).otherwise(by_blocks(x)))
 
 
-_MATCHES = "array<struct<start:bigint,stop:bigint,found:string>>"
+_MATCHES = "array<struct<start:bigint,stop:bigint,found:string,lead:string>>"
 
 
 def matches(text: Column, pattern: str, needs: Column) -> Column:
-    """Start, stop and text of the leftmost non-overlapping matches; ``needs`` tells texts that can have any."""
+    """Start, stop and text of the leftmost non-overlapping matches, and the characters before each.
+
+    ``needs`` tells texts that can have any. The characters before a match come from the gap and the
+    match before it, so a text full of matches is walked once.
+    """
 
     def placed(pair: Column) -> Column:
         found, gaps = pair["found"], pair["gaps"]
         steps = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.length(m) + F.length(g))
+        earlier = F.slice(F.concat(F.array(F.lit("")), found), F.lit(1), F.size(found))
         return F.transform(
-            F.arrays_zip(found.alias("f"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"), before(steps).alias("b")),
+            F.arrays_zip(found.alias("f"), F.slice(gaps, F.lit(1), F.size(found)).alias("g"), before(steps).alias("b"), earlier.alias("e")),
             lambda z: F.struct(
-                (z["b"] + F.length(z["g"])).alias("start"), (z["b"] + F.length(z["g"]) + F.length(z["f"])).alias("stop"), z["f"].alias("found")
+                (z["b"] + F.length(z["g"])).alias("start"), (z["b"] + F.length(z["g"]) + F.length(z["f"])).alias("stop"), z["f"].alias("found"),
+                F.right(F.concat(z["e"], z["g"]), F.lit(CONTEXT)).alias("lead"),
             ),
         )
 
@@ -145,11 +155,24 @@ def _gazetteer(kind: str, found: Column) -> Column:
     }[kind]
 
 
+def _traits(found: Column) -> list[Column]:
+    """Small whole numbers, so that candidates can be counted by them: in the order of ``TRAITS``."""
+    n = F.length(found)
+    distinct = F.size(F.array_distinct(F.split(found, "")))
+    return [
+        F.least(F.floor(n / 16), F.lit(2)).cast("int").alias("length"),
+        F.floor(2 * F.length(_digits(found)) / n).cast("int").alias("digits"),
+        (found.rlike("[a-z]") & found.rlike("[A-Z]")).cast("int").alias("cases"),
+        F.least(F.floor(3 * distinct / F.least(n, F.lit(16))), F.lit(2)).cast("int").alias("variety"),
+    ]
+
+
 def _candidates(kind: str, pattern: str, text: Column, needs: Column) -> Column:
     def described(m: Column) -> Column:
-        lead = F.lower(F.substring(text, F.greatest(m["start"] - CONTEXT, F.lit(0)).cast("int") + 1, F.least(m["start"], F.lit(CONTEXT)).cast("int")))
+        lead = F.lower(m["lead"])
         last = F.substring(lead, -1, 1)
         return F.struct(
+            *_traits(m["found"]),
             F.lit(KINDS.index(kind)).alias("kind"), m["start"].alias("start"), m["stop"].alias("stop"),
             (_valid(kind, m["found"]) if kind in BASE_KINDS else F.lit(False)).alias("base"),
             _shape(kind, m["found"]).alias("shape"), _gazetteer(kind, m["found"]).alias("gazetteer"),
@@ -187,25 +210,33 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 class SpanModel:
-    """Labellers' reliabilities and the classifier's weights, from counts of vote patterns."""
+    """Labellers' reliabilities and the classifier's weights, from counts of kinds, votes and traits.
+
+    The posteriors follow from the votes alone. A labeller that abstains says nothing: some never
+    vote on some kinds, which would else tell kinds apart and not spans. The classifier weighs votes alike for all kinds, and
+    traits by kind. Without candidates it accepts none.
+    """
 
     def __init__(self, patterns: list[tuple[int, ...]], counts: list[int]) -> None:
         kinds = np.array([p[0] for p in patterns], int).reshape(-1)
-        votes = np.array([p[1:] for p in patterns], int).reshape(-1, len(VOTES))
+        votes = np.array([p[1 : 1 + len(VOTES)] for p in patterns], int).reshape(-1, len(VOTES))
+        traits = np.array([p[1 + len(VOTES) :] for p in patterns], float).reshape(-1, len(TRAITS))
         n = np.array(counts, float)
         posterior = 1 / (1 + np.exp(-votes.sum(axis=1) + 0.5))
-        self.rates = np.full((2, len(VOTES), 3), 1 / 3)
+        self.rates = np.full((2, len(VOTES), 2), 1 / 2)
         for _ in range(50):
             prior = np.array([(np.dot(posterior, n * (kinds == k)) + 1) / ((n * (kinds == k)).sum() + 2) for k in range(len(KINDS))])
             for label, weight in ((1, posterior * n), (0, (1 - posterior) * n)):
                 for j in range(len(VOTES)):
-                    told = np.array([np.dot(weight, votes[:, j] == v) for v in (-1, 0, 1)]) + 1.0
+                    told = np.array([np.dot(weight, votes[:, j] == v) for v in (-1, 1)]) + 1.0
                     self.rates[label, j] = told / told.sum()
             odds = np.log(prior[kinds] / (1 - prior[kinds]))
             for j in range(len(VOTES)):
-                odds = odds + np.log(self.rates[1, j, votes[:, j] + 1] / self.rates[0, j, votes[:, j] + 1])
+                told = np.log(self.rates[1, j] / self.rates[0, j])
+                odds = odds + np.select([votes[:, j] < 0, votes[:, j] > 0], told)
             posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-        x = np.hstack([np.eye(len(KINDS))[kinds], votes])
+        own = np.eye(len(KINDS))[kinds]
+        x = np.hstack([own, votes, *(own * traits[:, j : j + 1] for j in range(len(TRAITS)))])
         w = np.zeros(x.shape[1])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -215,16 +246,23 @@ class SpanModel:
         self.weights = w
 
     def accepts(self, c: Column) -> Column:
-        offset = F.element_at(F.array(*[F.lit(float(x)) for x in self.weights[: len(KINDS)]]), c["kind"] + 1)
-        for name, weight in zip(VOTES, self.weights[len(KINDS) :]):
+        def of_kind(weights: np.ndarray) -> Column:
+            return F.element_at(F.array(*[F.lit(float(x)) for x in weights]), c["kind"] + 1)
+
+        n = len(KINDS)
+        offset = of_kind(self.weights[:n])
+        for name, weight in zip(VOTES, self.weights[n:]):
             offset = offset + F.lit(float(weight)) * c[name]
+        for name, weights in zip(TRAITS, self.weights[n + len(VOTES) :].reshape(-1, n)):
+            offset = offset + of_kind(weights) * c[name]
         return offset > 0
 
 
 def span_model(found: DataFrame) -> SpanModel:
-    """Fit on the vote patterns of all candidates: at most kinds times 3^5 rows come to the driver."""
-    each = found.select(F.inline("found")).groupBy("kind", *VOTES).count().collect()
-    rows = sorted((tuple(r[c] for c in ("kind", *VOTES)), r["count"]) for r in each)
+    """Fit on all candidates, counted by kind, votes and traits: at most 7 * 3^5 * 54 rows come to the driver."""
+    names = ("kind", *VOTES, *TRAITS)
+    each = found.select(F.inline("found")).groupBy(*names).count().collect()
+    rows = sorted((tuple(r[c] for c in names), r["count"]) for r in each)
     return SpanModel([p for p, _ in rows], [n for _, n in rows])
 
 

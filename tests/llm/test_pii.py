@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +81,47 @@ def test_prefix_sums_in_blocks(spark):
     values = list(range(1, 1000))
     row = spark.createDataFrame([(values,)], "v array<long>").select(pii.before(F.col("v")).alias("b")).first()
     assert row["b"] == [sum(values[:i]) for i in range(len(values))]
+
+
+def labelled(rnd, first):
+    """Texts with announced credentials and numbers, and with long words and numbers that are none."""
+    rows, true = [], {}
+    for i in range(first, first + 300):
+        kind = rnd.randrange(4)
+        if kind == 0:
+            secret = "".join(rnd.choice("abcdefghkmnpqrstuvwxyzABCDEFGHKMNPQRSTUVWXYZ23456789") for _ in range(40)) + "a7"
+            lead, found = rnd.choice(["api_key = ", "the secret: ", "auth token: "]), secret
+        elif kind == 1:
+            lead, found = rnd.choice(["call me: ", "phone ", "my cell is "]), f"({rnd.randrange(200, 999)}) {rnd.randrange(200, 999)}-{rnd.randrange(1000, 9999)}"
+        elif kind == 2:
+            lead, found = "see the chapter ", f"part-{i}-of-the-long-story-of-old-{rnd.choice(['days', 'towns', 'rivers'])}"
+        else:
+            lead, found = "in all there were ", f"1{rnd.randrange(10, 99)} {rnd.randrange(100, 199)}.{rnd.randrange(1000, 9999)}"
+        text = f"some prose of no matter, {lead}{found} and so on"
+        rows.append((i, text))
+        at = text.index(found)
+        true[i] = f"{('secret', 'number')[kind]}:{at}:{at + len(found)}" if kind < 2 else ""
+    return rows, true
+
+
+def test_classifier_on_texts_it_was_not_fitted_on(spark):
+    rnd = random.Random(11)
+    seen, _ = labelled(rnd, 0)
+    unseen, true = labelled(rnd, 1000)
+    model = pii.span_model(pii.candidates(spark.createDataFrame(seen, "doc_id long, text string")))
+    assert any(abs(w) > 0.1 for w in model.weights[len(pii.KINDS) + len(pii.VOTES) :])
+    found = pii.candidates(spark.createDataFrame(unseen, "doc_id long, text string"))
+    kept = found.select("doc_id", pii._joined(F.filter("found", lambda c: (c["kind"] >= len(pii.BASE_KINDS)) & model.accepts(c))).alias("spans"))
+    got = {r["doc_id"]: r["spans"] for r in kept.collect()}
+    right = sum(bool(true[i]) and got[i] == true[i] for i in true)
+    assert right >= 0.95 * sum(map(bool, got.values())) and right >= 0.95 * sum(map(bool, true.values()))
+
+
+def test_a_text_of_addresses_is_walked_once(spark):
+    text = "write to a@b.co, 10.0.0.7 " * 5000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    begin = time.monotonic()
+    row = pii.report(docs).first()
+    assert (row["n_email"], row["n_ip"]) == (5000, 5000) and time.monotonic() - begin < 10
+    leads = pii.candidates(docs).select(F.expr("found[4999].start AS at"), F.expr("found[4999].context AS context")).first()
+    assert text[leads["at"] : leads["at"] + 6] == "a@b.co" and leads["context"] == 1
