@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tabwright.llm.common import map_batches, stored
 from tabwright.llm.components import components
-from tabwright.llm.wordhash import NOT_BLANK, _BASE, mix, run_hashes, shares, text_bytes, word_bounds, word_hashes
+from tabwright.llm.wordhash import NOT_BLANK, _BASE, mix, run_hashes, shares, sure_word_hashes, text_bytes, word_bounds
 
 SHINGLE = 5
 BANDS, ROWS = 56, 6
@@ -49,7 +49,7 @@ SKETCH_SCHEMA = "doc_id long, n_shingles long, set_low long, set_high long, band
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
     """For each text its sorted distinct shingles, as hashes."""
     starts, ends, until = word_bounds(data, offsets, NOT_BLANK)
-    words = word_hashes(data, starts, ends)
+    words = sure_word_hashes(data, starts, ends)
     runs = run_hashes(words, SHINGLE)
     found = []
     for a, b in zip(until[:-1], until[1:]):
@@ -200,7 +200,7 @@ def _holder(ids: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id and text of the documents in ``pairs``; most others are left out before the shuffle."""
+    """doc_id and text (the least one, should a doc_id have several) of the documents in ``pairs``; most others are left out before the shuffle."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     ids = stored(ids, "pair-ids")
     held, mask = _holder(ids)
@@ -216,7 +216,8 @@ def _texts_of(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     named = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("doc_id").cast("long"))).where("doc_id IS NOT NULL")
     texts = map_batches(named, maybe, "doc_id long, text string").join(ids, "doc_id", "left_semi")
-    return stored(texts.dropDuplicates(["doc_id"]), "pair-texts")
+    # of several texts of one doc_id always the same one, whatever arrives first
+    return stored(texts.groupBy("doc_id").agg(F.min("text").alias("text")), "pair-texts")
 
 
 def _across_groups(members: DataFrame, seen: DataFrame) -> DataFrame:
@@ -241,7 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links reach. A null or blank text has no shingles and is linked with nothing. A null doc_id
     has no component and is not kept as one: its component_id is null and kept is true, because
     nothing can name it as a copy. Rows that repeat a doc_id each get a row; they should repeat its
-    text too, else their sets count together. Other columns are ignored. No row, no result.
+    text too, else their sets count together and links are confirmed on the least text. Other columns are ignored. No row, no result.
     """
     found = stored(sketch(docs), "sketches")
     named = found.where("doc_id IS NOT NULL AND n_shingles > 0")

@@ -8,11 +8,14 @@ mixed afterwards, so equal words have equal hashes wherever they stand.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 
 STRETCH = 1 << 20
+#: Polynomials modulo 2^64 are weak for long words of few letters: beyond so many bytes a word has a cryptographic hash.
+SHORT = 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(20_240_607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -93,6 +96,14 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: b
     return out
 
 
+def sure_word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """As ``word_hashes``, lower-cased, with 64 bits of BLAKE2b for words of more than ``SHORT`` bytes."""
+    out = word_hashes(data, starts, ends)
+    for i in np.flatnonzero(ends - starts > SHORT):
+        out[i] = int.from_bytes(blake2b(LOWER[data[starts[i] : ends[i]]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """The hash of each run of ``size`` words, by the place of its first word."""
     n = len(words) - size + 1

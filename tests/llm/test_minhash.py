@@ -86,6 +86,25 @@ def test_every_band_count_finds_what_links(spark):
     assert missed < 2e-5
 
 
+def test_words_that_polynomials_confuse_are_not_linked(spark):
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    rows = [(1, one), (2, two), (3, two.upper()), (4, f"{one} and four words more"), (5, f"{two} and four words more")]
+    found = {r["doc_id"]: tuple(r)[1:] for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == brute(rows) and found[2] == (1, 2, True)
+
+
+def test_one_name_of_two_texts_gives_the_same_groups_each_time(spark):
+    words = [" ".join(f"{c}{i}" for i in range(60)) for c in "xyz"]
+    rows = [(1, words[0]), (2, words[0] + " more"), (2, words[1]), (3, words[1] + " more"), (4, words[2])]
+    found = []
+    for own, pieces in ((rows, 1), (rows[::-1], 4)):
+        docs = spark.createDataFrame(own, "doc_id long, text string").repartition(pieces)
+        found.append(sorted(map(tuple, minhash.near_duplicates(docs).collect())))
+    assert found[0] == found[1] and len(found[0]) == 5
+
+
 def test_components_of_long_chains(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(500, 501), (700, 700), (900, 400), (400, 900)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
