@@ -59,6 +59,8 @@ VARIANTS, FORM_WEIGHT = 8, 3.0
 PLAIN_MARGIN, DISGUISE_MARGIN = 3.0, 2.0
 COST = 1.0
 PIECE = 1 << 18
+#: Texts of the sample whose codes are found at a time.
+CODED_AT_ONCE = 256
 #: Features computed at a time.
 HELD = 1 << 23
 _PLAIN = np.zeros(256, np.uint8)
@@ -231,15 +233,12 @@ class _Features:
 
     def __init__(self, landmarks: list[bytes]) -> None:
         codes = _codes_of(landmarks, max(map(len, landmarks)))
-        self.columns, self.used = {}, {}
+        self.used = {}
         count = 0
         for letters in SKIPS:
             used = np.unique(np.concatenate([i.ravel() for i, _ in _indices(codes, letters)]))
             used = used[used > 0]
-            # 0 is no column; memory of a table that holds zeros is not taken
-            column = np.zeros(LETTERS**letters, np.int32)
-            column[used] = np.arange(count + 1, count + 1 + len(used))
-            self.columns[letters], self.used[letters] = column, (used, count)
+            self.used[letters] = used, count
             count += len(used)
         self.count = count
 
@@ -248,10 +247,13 @@ class _Features:
         wide = self.count + 1
         out = np.zeros(len(strings) * wide, np.float32)
         rows = np.arange(len(strings))[:, None] * wide
-        for letters, column in self.columns.items():
+        for letters, (used, first) in self.used.items():
+            if not len(used):
+                continue
             for index, weight in _indices(codes, letters):
-                found = column[index]
-                at = (rows + found)[found > 0]
+                # looked up in the few sequences used: a table of all would take 67 MB of the driver's memory
+                place = np.minimum(np.searchsorted(used, index), len(used) - 1)
+                at = (rows + place + (first + 1))[used[place] == index]
                 np.add.at(out, at, np.float32(weight))
         return out.reshape(-1, wide)[:, 1:]
 
@@ -303,15 +305,19 @@ def _explaining(strings: list[bytes], sure: list[bytes], candidates: list[bytes]
 
 
 def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, margin: np.ndarray) -> np.ndarray:
-    """A linear machine with squared hinge loss below each example's margin, by Newton steps on its support vectors."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+    """A linear machine with squared hinge loss below each example's margin, by Newton steps on its support vectors.
+
+    The last column of ``x`` is 1 and carries the offset, next to unpenalised.
+    """
     w = np.zeros(x.shape[1])
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(30):
         active = y * (x @ w) < margin
-        own = x[active] * weight[active, None]
-        new = np.linalg.solve(ridge + COST * own.T @ x[active], COST * own.T @ (y * margin)[active])
+        support = x[active]
+        own = support * weight[active, None]
+        new = np.linalg.solve(ridge + COST * own.T @ support, COST * own.T @ (y * margin)[active])
+        del support, own
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -332,6 +338,16 @@ def _logistic(margin: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[fl
     return max(float(a), 1e-3), float(b)
 
 
+def _codes_of_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``letter_codes`` of a list, found for a few texts at a time."""
+    parts, sizes = [np.zeros(0, np.uint8)], [np.zeros(1, np.int64)]
+    for begin in range(0, len(texts), CODED_AT_ONCE):
+        codes, bounds = letter_codes(*text_bytes(pa.array(texts[begin : begin + CODED_AT_ONCE], pa.large_string())))
+        parts.append(codes)
+        sizes.append(np.diff(bounds))
+    return np.concatenate(parts), np.cumsum(np.concatenate(sizes))
+
+
 def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     """Train on labelled texts; ``prior`` is the share of label 1 among all labelled documents."""
     y = np.array([1.0 if v else -1.0 for v in labels])
@@ -339,7 +355,8 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
         # one label only: the same probability for every text
         share = min(max(prior, 1e-3), 1 - 1e-3)
         return Model({n: np.zeros(LETTERS**n, np.float32) for n in SKIPS}, 0.0, 1e-3, float(np.log(share / (1 - share))))
-    data, offsets = letter_codes(*text_bytes(pa.array(texts, pa.large_string())))
+    data, offsets = _codes_of_texts(texts)
+    give_back()
     strings = [data[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
     toxic, clean = Counter(), Counter()
     for own, label in zip(strings, y):
@@ -372,6 +389,10 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     if not landmarks:
         landmarks = [bytes([1, 2, 3, 4])]
     common = sorted((w for w in clean if len(w) > 3), key=lambda w: (-clean[w], w))[: 2 * len(sure)]
+    # first stretches: about the word that marks toxic documents most
+    marks = np.array([max(odds[w], 0) for w in marked])
+    del strings, toxic, clean, odds, strongest, candidates
+    give_back()
     disguised = [v for w in sure + common for v in _disguises(w, rng)]
     disguise_label = [1.0] * (len(sure) * VARIANTS) + [-1.0] * (len(common) * VARIANTS)
     disguise_margin = ([PLAIN_MARGIN] + [DISGUISE_MARGIN] * (VARIANTS - 1)) * len(sure) + [1.0] * (len(common) * VARIANTS)
@@ -382,15 +403,14 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
     kept = values > 1e-6 * values[-1]
     whiten = vectors[:, kept] / np.sqrt(values[kept])
 
-    # first stretches: about the word that marks toxic documents most
-    marks = np.array([max(odds[w], 0) for w in marked])
     _, where = _best(data, offsets, features.tables((phi[: len(marked)] * marks[:, None]).sum(axis=0)))
     project = (phi.T @ whiten).astype(np.float32)
     extra = features.projected(disguised, span, project)
     kept_x: dict[tuple[int, int], np.ndarray] = {}
     weights, offset = np.zeros(features.count), 0.0
-    best = np.zeros(len(strings))
+    best = np.zeros(len(y))
     for _ in range(ROUNDS):
+        give_back()
         # clean documents keep the stretches of all rounds, toxic ones the best of this round
         now = [(k, int(at)) for k, at in enumerate(where)]
         chosen = [key for key in kept_x if y[key[0]] < 0] + [key for key in now if y[key[0]] > 0 or key not in kept_x]
@@ -398,10 +418,13 @@ def fit(texts: list[str], labels: list[int], prior: float) -> Model:
         rows = features.projected([data[at : min(at + span, offsets[k + 1])].tobytes() for k, at in fresh], span, project)
         kept_x.update(zip(fresh, rows))
         own = np.array([y[k] for k, _ in chosen] + disguise_label)
-        x = np.vstack([np.array([kept_x[key] for key in chosen]), extra]).astype(np.float64)
+        x = np.ones((len(own), project.shape[1] + 1))  # the last column is the offset's
+        x[: len(chosen), :-1] = [kept_x[key] for key in chosen]
+        x[len(chosen) :, :-1] = extra
         balance = np.where(own > 0, len(own) / (2 * (own > 0).sum()), len(own) / (2 * (own < 0).sum()))
         balance[len(chosen) :] *= FORM_WEIGHT
         machine = _squared_hinge(x, own, balance, np.append(np.ones(len(chosen)), disguise_margin))
+        del x
         weights, offset = phi.T @ (whiten @ machine[:-1]), float(machine[-1])
         best, where = _best(data, offsets, features.tables(weights))
     share = min(max(prior, 1e-3), 1 - 1e-3)

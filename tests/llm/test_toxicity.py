@@ -148,3 +148,17 @@ def test_repeated_rows_fill_no_places(spark, monkeypatch):
     assert seen["prior"] == 0.5
     toxicity.trained(*tables, sample=4)
     assert seen["labels"].count(0) == seen["labels"].count(1) == 4
+
+
+def test_features_take_memory_by_their_landmarks():
+    features = toxicity._Features([b"\0" + bytes([9, 4, 9, 15, 20]), bytes([1, 2, 3, 4])])
+    assert len(pickle.dumps(features)) < 1 << 20  # a table of all letter sequences takes 67 MB
+    found = features.of([b"\0" + bytes([9, 4, 9, 15, 20]), bytes([5, 5, 5, 5])], toxicity.WIDTH + toxicity.REACH)
+    assert found.shape == (2, features.count) and found[0].sum() > 0 and not found[1].any()
+
+
+def test_codes_of_many_texts_are_those_of_each():
+    texts = ["idiot", "", "ïd ιοτ", "a" * 50] * 200
+    codes, bounds = toxicity._codes_of_texts(texts)
+    whole, at = toxicity.letter_codes(*text_bytes(pa.array(texts, pa.large_string())))
+    assert codes.tolist() == whole.tolist() and bounds.tolist() == at.tolist()
