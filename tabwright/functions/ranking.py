@@ -64,11 +64,14 @@ def pair_wins(
     ``rows`` is the row count of ``df`` where the caller knows it.
     """
     keys = list(keys)
-    long = df.select(
-        *keys, F.col(label).alias("_y"), F.posexplode(scores).alias("_pos", "score")
-    ).withColumn("i", F.get(F.array(*[F.lit(int(s)) for s in score_ids]), F.col("_pos")))
-    long, bucket = _with_bucket(long, (df.count() if rows is None else rows) * len(score_ids))
-    per_score = long.groupBy(*keys, "i", *bucket, "score", "_y").agg(F.count(F.lit(1)).alias("n"))
+    # outer: an inner explode would work the scores out twice, first to see that there are any
+    long = df.select(*keys, F.col(label).alias("_y"), F.posexplode_outer(scores).alias("_pos", "score")).where("_pos IS NOT NULL")
+    long = long.withColumn("i", F.get(F.array(*[F.lit(int(s)) for s in score_ids]), F.col("_pos")))
+    per_score, bucket = long.groupBy(*keys, "i", "score", "_y").agg(F.count(F.lit(1)).alias("n")), []
+    if (df.count() if rows is None else rows) * len(score_ids) > ROWS_PER_BUCKET:
+        # counted in one pass over the rows; buckets are of what is left
+        per_score = cut_lineage(per_score)
+        per_score, bucket = _with_bucket(per_score, per_score.count())
     own = F.when(F.col("_y") == F.col("i"), F.col("n")).otherwise(0)
     here = Window.partitionBy(*keys, "i", *bucket)
     falling = here.orderBy(F.desc("score"))

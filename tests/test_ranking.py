@@ -75,3 +75,25 @@ def test_dense_codes_number_values_in_order(spark, monkeypatch, rows_per_bucket)
     df = spark.createDataFrame(rows, "k string, v string").repartition(7)
     got = {(r["k"], r["v"]): r["code"] for r in dense_codes(df, ["k"], "v", 137).collect()}
     assert got == {(k, v): int(v[1:]) for k, v in rows}
+
+
+def test_buckets_are_of_distinct_scores_not_of_rows(spark, monkeypatch):
+    sizes = []
+
+    def recorded(counted, rows):
+        sizes.append(rows)
+        return counted, []
+
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 50)
+    monkeypatch.setattr(ranking, "_with_bucket", recorded)
+    df = spark.range(900).select((F.col("id") % 3).cast("int").alias("y"), F.array(*[(F.col("id") * k % 5).cast("double") for k in (1, 2, 3)]).alias("s"))
+    found = ranking.pair_wins(df, "y", F.col("s"), range(3))
+    assert {(r["n_own"], r["n_other"]) for r in found.collect()} == {(300, 300)}
+    assert sizes == [45]
+
+
+def test_scores_are_worked_out_once_a_row(spark):
+    df = spark.range(10).select((F.col("id") % 2).cast("int").alias("y"), F.col("id").cast("double").alias("p"))
+    scores = F.transform(F.array("p", "p"), lambda v: v * 7)
+    plan = ranking.pair_wins(df, "y", scores, [0, 1])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("transform(") == 1
