@@ -13,27 +13,36 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import AbstractContextManager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions.batches import map_batches
+from tabwright.session import setting
 
 ROWS, BYTES = 16_384, 4 << 20
 FINE = 1 / 2048
 #: Bits of a value that the first count and the ones after it look at.
 PREFIXES = (20, 32, 44, 64)
 WEIGHT_UNIT = 1 << 20
+#: Of the blocks that a Python worker gets at a time: it holds two such batches, however large the table is.
+BATCH_BYTES = 4 << 20
 
 BLOCK = "n int, x binary, y binary, w binary, key binary"
 _BLOCK = pa.schema([("n", pa.int32()), ("x", pa.binary()), ("y", pa.binary()), ("w", pa.binary()), ("key", pa.binary())])
 
 
+def small_batches(spark: SparkSession) -> AbstractContextManager:
+    """For jobs that read blocks: Spark's default of 64 MB a batch is a task's whole share of a middling table."""
+    return setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 @dataclass
 class Blocks:
     """``frame`` is kept until ``release``; ``groups`` are features of which a row sets at most one, to 1."""

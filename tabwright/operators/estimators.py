@@ -20,7 +20,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.operators.blocks import Blocks, blocks_of
+from tabwright.operators.blocks import Blocks, blocks_of, small_batches
 from tabwright.operators.linear import MOST_PARAMETERS, LinearModel, gram_matrices, lasso_path, logistic_models
 from tabwright.operators.metrics import MULTI_CLASS, REGRESSION, TWO_CLASS
 from tabwright.operators.prep import FEATURES, OWN_PREFIX
@@ -245,6 +245,11 @@ def fit_estimator(
     parallelism: int = 4,
 ) -> FittedEstimator:
     """Fit one estimator."""
+    with small_batches(train.frame.sparkSession):
+        return _fit(train, algorithm, params, task, n_classes, seed, parallelism)
+
+
+def _fit(train: FittingRows, algorithm: str, params: dict, task: str, n_classes: int, seed: int, parallelism: int) -> FittedEstimator:
     spark = train.frame.sparkSession
     if algorithm == "lasso":
         gram = gram_matrices(_gram_frame([train]), [train.d])[0][0]
@@ -266,10 +271,11 @@ def fit_estimator(
 def fit_logistic(train: FittingRows, strengths: Sequence[float], task: str, n_classes: int) -> list[FittedEstimator]:
     """One model per strength C: Newton steps of all of them together, or MLlib's fits where a model has too many parameters."""
     size = (train.d + 1) * (1 if n_classes == 2 else n_classes)
-    if size <= MOST_PARAMETERS:
-        models = logistic_models(train.blocks(), n_classes, strengths)
-    else:
-        models = [_fit_mllib_logistic(train, c) for c in strengths]
+    with small_batches(train.frame.sparkSession):
+        if size <= MOST_PARAMETERS:
+            models = logistic_models(train.blocks(), n_classes, strengths)
+        else:
+            models = [_fit_mllib_logistic(train, c) for c in strengths]
     return [FittedEstimator("logistic_regression", task, n_classes, [model]) for model in models]
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +53,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return made
 
 
+_lock = threading.Lock()
+_open: dict[tuple, list] = {}  # (session, name): [how many hold it, the value before]
+
+
+@contextmanager
+def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs of one step; threads may hold it together, the last one puts the old value back."""
+    with _lock:
+        held = _open.setdefault((id(spark), name), [0, None])
+        if not held[0]:
+            held[1] = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _lock:
+            held[0] -= 1
+            if not held[0]:
+                del _open[id(spark), name]
+                spark.conf.unset(name) if held[1] is None else spark.conf.set(name, held[1])
+
+
 def ensure_checkpointing(spark: SparkSession) -> None:
     """Make sure iterative estimators (boosting) can cut their lineage."""
     folder = checkpoint_dir(spark)
