@@ -57,3 +57,15 @@ def test_known_counts_save_a_pass(spark):
     df = frame(spark, [3, 1, 2, 10])
     got = exact_quantiles(df, {"x": F.col("x")}, 0.5, known={"x": (4, {EVERY_ROW: 4})})
     assert got[EVERY_ROW, "x"] == 2.5
+
+
+def test_values_are_read_off_without_a_lambda_a_row(spark, monkeypatch):
+    """A lambda keeps the explode out of generated code: twenty times the time of the pass."""
+
+    def refused(_):
+        raise AssertionError("array_compact filters with a lambda")
+
+    monkeypatch.setattr(F, "array_compact", refused)
+    df = spark.createDataFrame([(1.0, None), (2.0, 7.0), (None, 9.0), (4.0, None)], "a double, b double")
+    found = exact_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, 0.5)
+    assert found == {(None, "a"): 2.0, (None, "b"): 8.0}
