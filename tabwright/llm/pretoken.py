@@ -11,9 +11,11 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tabwright.llm.wordhash import _BASE, _power_tables, mix, shares
 
@@ -23,6 +25,14 @@ PLAIN = ((0x0000, 0x0530), (0x2000, 0x2070))
 _SIZE = 0x2070
 #: A longer pre-token isn't kept; so many are.
 LONGEST, MOST_KEPT = 64, 1 << 20
+#: Nor more ids than these, with those of the longer ones met meanwhile.
+MOST_IDS = 1 << 23
+#: New pre-tokens are put in order among all kept ones once they are more than this part of them.
+LATE_SHARE = 8
+#: New pre-tokens that the library gets as one text.
+LOT = 500
+#: A pre-token's ids: their place, and behind it their number in so many bits.
+SIZE_BITS = 32
 #: Bytes of text whose characters are looked at together, at several numbers each.
 STRETCH = 1 << 20
 # What follows an apostrophe in a contraction.
@@ -86,15 +96,40 @@ class CachedTokenizer:
             form.get("normalizer") is None and form.get("post_processor") is None
             and (step.get("type"), step.get("add_prefix_space"), step.get("use_regex", True)) == ("ByteLevel", False, True)
         )
+        self.lengths = None
+        model = form.get("model") or {}
+        if self.plain and model.get("type") == "BPE" and not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback")):
+            # of pre-tokens that are known to be ones: the same model, without the search for their bounds
+            self.single = Tokenizer(self.tokenizer.model)
+            self.single.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.lengths = np.zeros(self.tokenizer.get_vocab_size() + 1, np.int64)
+            for token, number in self.tokenizer.get_vocab(with_added_tokens=False).items():
+                self.lengths[number] = len(token)  # a character for each byte
         self.kinds = _classes()
         self.values = mix(np.arange(1, _SIZE + 2, dtype=np.uint64) * _BASE) | np.uint64(1)
         self._clear()
 
     def _clear(self) -> None:
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        # hashes, rising, and what they stand for: place and number of ids. New ones go to the smaller store first
+        self.stores = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))] * 2
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.n_ids = 0
+
+    def _keep(self, keys: np.ndarray, found: np.ndarray) -> None:
+        main, late = self.stores
+        late = _inserted(late, keys, found)
+        if len(late[0]) * LATE_SHARE > len(main[0]):
+            main, late = _inserted(main, *late), (late[0][:0], late[1][:0])
+        self.stores = [main, late]
+
+    def _append(self, ids: np.ndarray) -> None:
+        stop = self.n_ids + len(ids)
+        if stop > len(self.ids):
+            grown = np.zeros(max(stop, 2 * len(self.ids)), np.uint32)
+            grown[: self.n_ids] = self.ids[: self.n_ids]
+            self.ids = grown
+        self.ids[self.n_ids : stop] = ids
+        self.n_ids = stop
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -141,6 +176,20 @@ class CachedTokenizer:
             return np.concatenate(parts), np.array([len(p) for p in parts])
         return ids, per_text
 
+    def _encoded(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens, one after the other, and how many each has."""
+        if self.lengths is not None:
+            lots = [words[i : i + LOT] for i in range(0, len(words), LOT)]
+            ids = _flat(self.single.encode_batch_fast(lots, is_pretokenized=True, add_special_tokens=False))
+            # a token's bytes are known, so are a pre-token's: the last id of each is where both sums meet
+            reached = np.cumsum(self.lengths[np.minimum(ids, len(self.lengths) - 1)])
+            wanted = np.cumsum([len(word.encode()) for word in words])
+            last = np.searchsorted(reached, wanted)
+            if len(reached) and reached[-1] == wanted[-1] and (reached[last] == wanted).all():
+                return ids, np.diff(last, prepend=-1)
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return _flat(found), np.array([len(e) for e in found])
+
     def _ids_of(self, text: str, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray):
         """For each pre-token where its ids begin in the flat array and how many they are."""
         hashes = np.empty(len(starts), np.uint64)
@@ -158,33 +207,55 @@ class CachedTokenizer:
             begin = stop
         long = ends - starts > LONGEST
         hashes[long] = mix(np.flatnonzero(long).astype(np.uint64)) if long.any() else 0
-        keys, one, back = np.unique(hashes, return_index=True, return_inverse=True)
+        keys, order, first = distinct(hashes)
+        one, times = order[first], np.diff(first, append=len(order))
         short = ~long[one]
-        at = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        if len(self.keys):
-            known = (self.keys[np.minimum(at, len(self.keys) - 1)] == keys) & short
-        new = np.flatnonzero(~known)
-        key_at, key_size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
-        key_at[known], key_size[known] = self.at[at[known]], self.size[at[known]]
-        flat = self.ids
+        found = np.full(len(keys), -1, np.int64)
+        for stored, values in self.stores:
+            if len(stored):
+                at = np.minimum(np.searchsorted(stored, keys), len(stored) - 1)
+                found = np.where((stored[at] == keys) & short, values[at], found)
+        new = np.flatnonzero(found < 0)
         if len(new):
-            found = self.tokenizer.encode_batch_fast([text[starts[i] : ends[i]] for i in one[new]], add_special_tokens=False)
-            lists = [e.ids for e in found]
-            sizes = np.array([len(x) for x in lists])
-            flat = np.concatenate([self.ids, np.array([i for x in lists for i in x], np.uint32)])
-            key_size[new] = sizes
-            key_at[new] = len(self.ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            keep = new[short[new]]
-            if len(self.keys) + len(keep) > MOST_KEPT:
-                self._clear()
-            else:
-                where = np.searchsorted(self.keys, keys[keep])
-                self.keys = np.insert(self.keys, where, keys[keep])
-                self.at = np.insert(self.at, where, key_at[keep])
-                self.size = np.insert(self.size, where, key_size[keep])
-                self.ids = flat
-        return (key_at[back], key_size[back]), flat
+            own = one[new]
+            ids, sizes = self._encoded([text[a:b] for a, b in zip(starts[own].tolist(), ends[own].tolist())])
+            found[new] = ((self.n_ids + np.cumsum(sizes) - sizes) << SIZE_BITS) | sizes
+            self._append(ids)
+        flat = self.ids
+        keep = new[short[new]]
+        if sum(len(stored) for stored, _ in self.stores) + len(keep) > MOST_KEPT or self.n_ids > MOST_IDS:
+            self._clear()
+        elif len(keep):
+            self._keep(keys[keep], found[keep])
+        each = np.empty(len(order), np.int64)
+        each[order] = np.repeat(found, times)
+        return (each >> SIZE_BITS, each & ((1 << SIZE_BITS) - 1)), flat
+
+
+def _flat(encoded: list) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(e.ids for e in encoded), np.uint32)
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(the distinct 64-bit ``values``, rising; the order that sorts all; where each one's stretch begins in it).
+
+    Leading bits and place are sorted as one number, which is faster than a sort of places. Where values
+    that differ in the other bits only meet, places are sorted after all.
+    """
+    low = np.uint64((1 << len(values).bit_length()) - 1)
+    order = np.sort((values & ~low) | np.arange(len(values), dtype=np.uint64)) & low
+    order = order.astype(np.int64)
+    ranked = values[order]
+    if (ranked[1:] < ranked[:-1]).any():
+        order = np.argsort(values, kind="stable")
+        ranked = values[order]
+    starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(ranked) else np.zeros(0, np.int64)
+    return ranked[starts], order, starts
+
+
+def _inserted(store: tuple[np.ndarray, np.ndarray], keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    where = np.searchsorted(store[0], keys)
+    return np.insert(store[0], where, keys), np.insert(store[1], where, values)
 
 
 def _gather(flat: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabwright.llm.common import give_back, map_batches, spread
-from tabwright.llm.pretoken import _gather, cached_tokenizer
+from tabwright.llm.pretoken import cached_tokenizer, distinct
 from tabwright.llm.wordhash import text_bytes
 
 END_ID = 2
@@ -54,27 +54,38 @@ def _places(symbols: np.ndarray, ends: np.ndarray, least_count: int, exact: bool
     Of overlapping pairs the more frequent one is taken, of equally frequent ones that with the larger
     hash, which is the same one wherever the two meet; in a run of one symbol every second pair.
     """
-    mixed = symbols[:-1] * np.uint32(0x9E3779B1) + symbols[1:] * np.uint32(0x85EBCA77)
-    hashed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-    slot = hashed >> np.uint32(32 - _TABLE_BITS)
-    allowed = np.ones(len(symbols), bool)
-    allowed[ends[ends > 0] - 1] = False
-    allowed = allowed[:-1]
+    left, right = symbols[:-1], symbols[1:]
+    hashed = left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)
+    hashed ^= hashed >> np.uint32(15)
+    hashed *= np.uint32(0x2C1B3C6D)
+    # places of pairs that would cross a document's end
+    barred = np.unique(ends[(ends > 0) & (ends < len(symbols))]) - 1
     # counts by slot guide the choice, exact ones where those find nothing more; the pairs chosen are counted themselves
     if exact:
-        pairs = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:]
-        slot = np.unique(pairs, return_inverse=True)[1]
-    often = np.bincount(slot[allowed], minlength=1 << _TABLE_BITS)[slot]
-    weight = (often.astype(np.uint64) << np.uint64(32)) | hashed
-    weight[~allowed] = 0
-    chosen = allowed & (often >= least_count)
-    same = (symbols[:-2] == symbols[1:-1]) & (symbols[1:-1] == symbols[2:]) & allowed[1:] & allowed[:-1]
-    chosen[1:] &= (weight[1:] > weight[:-1]) | same
-    chosen[:-1] &= (weight[:-1] >= weight[1:]) | same
-    if same.any():
-        index = np.arange(len(chosen))
-        begun = np.maximum.accumulate(np.where(np.concatenate([[True], ~same]), index, 0))
-        chosen &= (index - begun) % 2 == 0
+        slot = np.unique((left.astype(np.uint64) << np.uint64(32)) | right, return_inverse=True)[1]
+    else:
+        slot = (hashed >> np.uint32(32 - _TABLE_BITS)).astype(np.int64)
+    counts = np.bincount(slot, minlength=1 << _TABLE_BITS)
+    np.subtract.at(counts, slot[barred], 1)
+    often = counts.astype(np.uint32)[slot]
+    weight = np.stack([hashed, often], axis=1).astype("<u4", copy=False).view("<u8")[:, 0]
+    weight[barred] = 0
+    chosen = often >= least_count
+    chosen[barred] = False
+    rising = weight[1:] > weight[:-1]
+    twins = left == right
+    twins[barred] = False
+    same = twins[:-1] & twins[1:]
+    inside = np.flatnonzero(same) + 1  # pairs that go on a run of one symbol
+    if len(inside):
+        chosen[1:] &= rising | same
+        chosen[:-1] &= ~rising | same
+        begins = np.concatenate([[True], np.diff(inside) != 1])
+        begun = (inside[begins] - 1)[np.cumsum(begins) - 1]
+        chosen[inside[(inside - begun) % 2 == 1]] = False
+    else:
+        chosen[1:] &= rising
+        chosen[:-1] &= ~rising
     return np.flatnonzero(chosen)
 
 
@@ -92,26 +103,28 @@ def compress(
     n_rules, exact = 0, False
     while len(symbols) > 1:
         at = _places(symbols, ends, least_count, exact)
-        pairs, which, counts = np.unique(
-            (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1], return_inverse=True, return_counts=True
-        )
+        bits = (base + n_rules).bit_length()
+        unused = np.uint64(64 - 2 * bits)
+        pairs, order, starts = distinct(((symbols[at].astype(np.uint64) << np.uint64(bits)) | symbols[at + 1]) << unused)
+        counts = np.diff(starts, append=len(at))
         frequent = counts >= least_count
-        used = frequent[which]
-        if not used.any() or used.sum() < least_gain * len(symbols):
+        n_used = int(counts[frequent].sum())
+        if not n_used or n_used < least_gain * len(symbols):
             if exact or least_gain:
                 break
             exact = True
             continue
-        names = np.cumsum(frequent) - 1 + base + n_rules
-        at, new = at[used], names[which[used]].astype(np.uint32)
-        kept = pairs[frequent]
-        rules.append(np.stack([(kept >> np.uint64(32)).astype(np.uint32), kept.astype(np.uint32)], axis=1))
+        names = (np.cumsum(frequent) - 1 + base + n_rules).astype(np.uint32)
+        used = np.repeat(frequent, counts)
+        at = at[order[used]]
+        symbols[at] = np.repeat(names[frequent], counts[frequent])
+        kept = pairs[frequent] >> unused
+        rules.append(np.stack([kept >> np.uint64(bits), kept & np.uint64((1 << bits) - 1)], axis=1).astype(np.uint32))
         n_rules += len(kept)
-        symbols[at] = new
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols = symbols[stay]
-        ends = np.concatenate([[0], np.cumsum(stay)])[ends]
+        ends = ends - np.searchsorted(np.flatnonzero(~stay), ends)
     pairs = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     return symbols, ends, pairs, base
 
@@ -233,11 +246,11 @@ def _encoder(tokenizer_path: str, shard_tokens: int, least_count: int):
         for batch in batches:
             names, place = batch.column(0).to_pylist(), 0
             for ids, counts in tokenizer.encode(*text_bytes(batch.column(1))):
-                at = 0
-                for count in counts.tolist():
-                    parts.append(np.append(ids[at : at + count], np.uint32(END_ID)))
+                at, ids = 0, np.insert(ids, np.cumsum(counts), END_ID)
+                for count in (counts + 1).tolist():
+                    parts.append(ids[at : at + count])
                     doc_ids.append(names[place])
-                    at, place, held = at + count, place + 1, held + count + 1
+                    at, place, held = at + count, place + 1, held + count
                     if held >= shard_tokens:
                         yield _shard_row(part, shard, first, doc_ids, parts, least_count)
                         shard, first, held, doc_ids, parts = shard + 1, first + held, 0, [], []

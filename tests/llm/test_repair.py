@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tabwright.llm import repair
+from tabwright.llm import pretoken, repair
 from tabwright.llm.pretoken import cached_tokenizer
 from tabwright.llm.wordhash import text_bytes
 
@@ -107,3 +107,78 @@ def test_rounds_end_when_no_pair_is_frequent():
         found, counts = np.unique(np.stack([symbols[:-1], symbols[1:]]), axis=1, return_counts=True)
         apart = found[0] != found[1]  # pairs of one symbol overlap each other
         assert counts[apart].max() < least
+
+
+class Counted:
+    """A tokenizer that notes how many texts it gets."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.texts = tokenizer, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.tokenizer.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_new_pretokens_reach_the_library_in_lots(known):
+    tokenizer = pretoken.CachedTokenizer(PATH)
+    if not known:
+        tokenizer.lengths[:] = 1  # bytes that don't add up: one by one after all
+    counted = tokenizer.single = Counted(tokenizer.single)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}é{chr(97 + i // 676)}" for i in range(3000)]
+    text = " ".join(words)
+    for _ in range(2):
+        (ids, _), = tokenizer.encode(*text_bytes(pa.array([text])))
+        assert ids.tolist() == by_library([text])[0]
+    assert 3000 / pretoken.LOT <= counted.texts <= 3000 / pretoken.LOT + 1
+
+
+def test_ids_stay_right_when_the_kept_pretokens_are_dropped(monkeypatch):
+    monkeypatch.setattr(pretoken, "MOST_KEPT", 40)
+    monkeypatch.setattr(pretoken, "MOST_IDS", 300)
+    tokenizer = pretoken.CachedTokenizer(PATH)
+    for start in range(0, 200, 15):
+        text = " ".join(f"{chr(97 + i % 26)}{'xyz' * (i % 40)}" for i in range(start, start + 30))
+        (ids, _), = tokenizer.encode(*text_bytes(pa.array([text])))
+        assert ids.tolist() == by_library([text])[0]
+        assert sum(len(keys) for keys, _ in tokenizer.stores) <= 40
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3)), max_size=60), st.sampled_from([0, 40]))
+def test_distinct_values_are_numpy_s(pairs, shift):
+    values = np.array([(a << shift) + b for a, b in pairs], np.uint64)
+    keys, order, starts = pretoken.distinct(values)
+    wanted, first, counts = np.unique(values, return_index=True, return_counts=True)
+    assert (keys == wanted).all() and (order[starts] == first).all()
+    assert (np.diff(starts, append=len(values)) == counts).all() and (values[order] == np.sort(values)).all()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=40), min_size=1, max_size=4), st.booleans())
+def test_places_are_those_of_the_most_frequent_neighbours(documents, exact):
+    symbols = np.array([x for d in documents for x in d], np.uint32)
+    ends = np.cumsum([len(d) for d in documents])
+    if len(symbols) < 2:
+        return
+    pairs = list(zip(symbols[:-1].tolist(), symbols[1:].tolist()))
+    allowed = [i + 1 not in ends for i in range(len(pairs))]
+
+    def hashed(pair):
+        mixed = (pair[0] * 0x9E3779B1 + pair[1] * 0x85EBCA77) % (1 << 32)
+        return (mixed ^ (mixed >> 15)) * 0x2C1B3C6D % (1 << 32)
+
+    often = [sum(a and p == pair for a, p in zip(allowed, pairs)) for pair in pairs]
+    weight = [(n, hashed(p)) if a else (0, 0) for n, p, a in zip(often, pairs, allowed)]
+    run = [0] * len(pairs)  # places of a run of one symbol: every second pair
+    wanted = []
+    for i, pair in enumerate(pairs):
+        goes_on = i > 0 and allowed[i] and allowed[i - 1] and pair == pairs[i - 1] and pair[0] == pair[1]
+        to_go = i + 1 < len(pairs) and allowed[i] and allowed[i + 1] and pair == pairs[i + 1] and pair[0] == pair[1]
+        run[i] = run[i - 1] + 1 if goes_on else 0
+        above = i == 0 or goes_on or weight[i] > weight[i - 1]
+        below = i + 1 == len(pairs) or to_go or weight[i] >= weight[i + 1]
+        if allowed[i] and often[i] >= 3 and above and below and run[i] % 2 == 0:
+            wanted.append(i)
+    assert repair._places(symbols, ends, 3, exact).tolist() == wanted
