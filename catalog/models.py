@@ -377,14 +377,13 @@ TWO_ROUNDS = {"n_estimators": 2, "max_depth": 1, "min_samples_leaf": 1, "min_chi
 
 def search_two_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Search, refit, test and choose over three algorithms, with tables and runs written."""
-    lines = banded_lines(spark, sf_dir)
-    algorithms = [
-        AlgoSpec("decision_tree", {"max_depth": (1, 4)}),
-        AlgoSpec("logistic_regression"),
-        AlgoSpec("xgb", {"n_estimators": (2, 4), "max_depth": (1, 2)}),
-    ]
-    spec = TrainSpec("dear", "dear", TWO_CLASS, TREE_FEATURES, algorithms, "ROC AUC", seed=SEED, n_iter=2, key=LINE_KEY)
-    return _board(train(lines, spec, work_folder(spark)).leaderboard)
+    return _board(train(banded_lines(spark, sf_dir), two_class_spec(), work_folder(spark)).leaderboard)
+
+
+def two_class_spec() -> TrainSpec:
+    """The default number of draws from the default ranges: hundreds of rounds."""
+    algorithms = [AlgoSpec("decision_tree"), AlgoSpec("logistic_regression"), AlgoSpec("xgb")]
+    return TrainSpec("dear", "dear", TWO_CLASS, TREE_FEATURES, algorithms, "ROC AUC", seed=SEED, key=LINE_KEY)
 
 
 def search_multi_class(spark: SparkSession, sf_dir: str) -> DataFrame:
